@@ -8,15 +8,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sentencepiece
+from . import sentencepiece, simhash
 from .common import table, tokenizer_path
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode_digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op4_sentencepiece": op4_sentencepiece,
 }
 
