@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Limits of one Arrow batch.  A batch closes at whichever comes first, so a
 #: Python worker holds a few MB of text however long single texts are.
@@ -63,7 +64,7 @@ def map_texts(df: DataFrame, keys: list[str | Column], text: str, fn: Callable[[
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n], *map(_array, fn(batch.column(n).to_pylist()))], names=names)
 
     narrow = df.select(*[F.col(k) if isinstance(k, str) else k for k in keys], utf8(text).alias("__utf8"))
-    names = [part.split()[0] for part in schema.split(",")]
+    names = [field.name for field in T._parse_datatype_string(schema).fields]
     return narrow.mapInArrow(run, schema)
 
 

@@ -8,10 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sentencepiece, simhash
+from . import chat, decontaminate, quality_rules, sentencepiece, simhash
 from .common import table, tokenizer_path
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One more conversation says control strings.
+    own = spark.sql("SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.read_back(chat.format_chats(turns))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -21,9 +28,68 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode_digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.statistics(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
     "op3_simhash": op3_simhash,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_decontamination": op5_decontamination,
+    "op9_quality_rules": op9_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Every mark that the chat template adds, and what its escapes count.
+_MARKS = r"(\\|<s>|</s>|\[SYS\]|\[/SYS\]|\[INST\]|\[/INST\]|\[OUT\]|\[TURN |\[/TURN\])"
+
+SQL: dict[str, str] = {
+    "op1_chat_formatting": f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t.turn, t.role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(turn, role)
+), numbered AS (
+  SELECT *, row_number() OVER w - 1 AS position, coalesce(lag(role) OVER w, '') AS before, lead(role) OVER w IS NULL AS last,
+         length(text) + len(regexp_extract_all(text, '{_MARKS}'))
+           + CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 11 WHEN 'assistant' THEN 9
+             ELSE 14 + length(role) + len(regexp_extract_all(role, '{_MARKS}')) + length(role) - length(replace(role, ']', '')) END AS chars
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), checked AS (
+  SELECT *, NOT (role = 'user' AND before IN ('', 'system', 'assistant') OR role = 'assistant' AND before = 'user' OR role = 'system' AND before = '' AND position = 0) AS bad FROM numbered
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY position)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY position) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(chars) AS BIGINT) AS formatted_chars,
+  NOT bool_or(bad) AND max_by(role, position) = 'assistant' AS valid, min(position) FILTER (bad) AS first_bad_turn
+FROM checked GROUP BY conv_id""",
+    "op5_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, least(10, len(w)) AS size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS win FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS win FROM (SELECT * FROM d, sizes WHERE len(w) >= size), unnest(range(1, len(w) - size + 2)) AS t(i)),
+hits AS (SELECT doc_id, i, size, item FROM dw JOIN bw USING (win, size)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, i, size FROM hits), unnest(range(i, i + size)) AS t(p) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op9_quality_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, regexp_extract_all(text, '[^ 	-]+') AS words, list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^ 	-]')) AS lines FROM d),
+windows AS (SELECT doc_id, i, array_to_string(words[i : i + 4], ' ') AS win FROM w, unnest(range(1, len(words) - 3)) AS t(i)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM twice, unnest(range(i, i + 5)) AS t(p) GROUP BY doc_id),
+s AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+  coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '[A-Za-z]')) AS n_letters
+  FROM w LEFT JOIN repeats USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > word_chars OR 100 * n_dup_lines > 30 * n_lines OR word_chars > 20 * n_words OR (100 * n_upper > 70 * n_letters AND n_letters >= 10)) AS kept
+FROM s""",
+}
