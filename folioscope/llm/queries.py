@@ -81,7 +81,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
     "op9_quality_rules": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-w AS (SELECT doc_id, text, regexp_extract_all(text, '[^ 	-]+') AS words, list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^ 	-]')) AS lines FROM d),
+w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM d),
 windows AS (SELECT doc_id, i, array_to_string(words[i : i + 4], ' ') AS win FROM w, unnest(range(1, len(words) - 3)) AS t(i)),
 twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows) WHERE n > 1),
 repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM twice, unnest(range(i, i + 5)) AS t(p) GROUP BY doc_id),
