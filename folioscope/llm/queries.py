@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, quality_rules, sentencepiece, simhash
+from . import chat, decontaminate, quality_classifier, quality_rules, sentencepiece, sharding, simhash, toxicity
 from .common import table, tokenizer_path
 
 
@@ -32,16 +32,32 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.statistics(table(spark, sf_dir, "documents"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), n_shards=24)
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_simhash": op3_simhash,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontamination": op5_decontamination,
+    "op6_toxicity": op6_toxicity,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
+    "op10_sharding": op10_sharding,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
