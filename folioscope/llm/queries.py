@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, quality_classifier, quality_rules, sentencepiece, sharding, simhash, toxicity
+from . import chat, decontaminate, html_text, quality_classifier, quality_rules, sentencepiece, sharding, simhash, toxicity
 from .common import table, tokenizer_path
 
 
@@ -37,6 +37,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
+    "op7_html_extraction": op7_html_extraction,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
