@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, html_text, quality_classifier, quality_rules, sentencepiece, sharding, simhash, toxicity
+from . import chat, decontaminate, html_text, quality_classifier, quality_rules, sentencepiece, sharding, simhash, token_counts, toxicity
 from .common import table, tokenizer_path
 
 
@@ -19,6 +19,13 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, token_counts.sample_edits("text"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -55,6 +62,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_token_counts": op2_token_counts,
     "op3_simhash": op3_simhash,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontamination": op5_decontamination,
