@@ -68,6 +68,24 @@ def map_texts(df: DataFrame, keys: list[str | Column], text: str, fn: Callable[[
     return narrow.mapInArrow(run, schema)
 
 
+def filter_texts(df: DataFrame, text: str, keep: Callable[[list[bytes]], list[bool]]) -> DataFrame:
+    """The whole rows whose text passes; keep gets a batch's texts as UTF-8 bytes."""
+    limit_batches(df.sparkSession)
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(keep(raw_texts(batch.column(at))), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def raw_texts(column: pa.Array) -> list[bytes]:
+    """A string column as UTF-8 bytes, null as empty."""
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+
+
 def _array(values) -> pa.Array:
     return values if isinstance(values, (pa.Array, pa.ChunkedArray)) else pa.array(values)
 

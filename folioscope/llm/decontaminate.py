@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import checkpointed, filter_texts, map_texts
 
 SPAN, GRAM = 10, 5
 #: Windows in a block of the benchmark, at most some 40 MB in a Python worker.
@@ -156,16 +156,9 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", span: int = SPAN, gram: int = GRAM, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per document: (key, n_words, n_hit, n_items, items_sha256, contaminated)."""
-    spark = docs.sparkSession
-    windows = benchmark_windows(benchmark, item, item_text, span)
-    n_blocks = -(-windows.count() // block_rows)
+    block, n_blocks = _blocks(benchmark, item, item_text, span, gram, block_rows)
     kind = docs.schema[key].dataType.simpleString()
-
-    def block(b: int):
-        part = windows.where(F.pmod(F.xxhash64("window", "item"), F.lit(n_blocks)) == b) if n_blocks > 1 else windows
-        return spark.sparkContext.broadcast(Block([(bytes(r.window), r.item) for r in part.collect()], gram))
-
-    if n_blocks <= 1:
+    if n_blocks == 1:
         sent = block(0)
         return map_texts(docs, [key], text, lambda texts: _columns(*sent.value.scan(texts)), f"{key} {kind}, {_RESULT}")
     passes = [_pass(docs, block(b), key, text, b, kind) for b in range(n_blocks)]
@@ -181,6 +174,29 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     return joined.mapInArrow(finish, f"{key} {kind}, {_RESULT}")
 
 
+def _blocks(benchmark: DataFrame, item: str, item_text: str, span: int, gram: int, block_rows: int):
+    """A function that sends block b to the executors, and the number of blocks, which the count of windows gives."""
+    windows = benchmark_windows(benchmark, item, item_text, span)
+    n_blocks = max(1, -(-windows.count() // block_rows))
+
+    def block(b: int):
+        part = windows.where(F.pmod(F.xxhash64("window", "item"), F.lit(n_blocks)) == b) if n_blocks > 1 else windows
+        return benchmark.sparkSession.sparkContext.broadcast(Block([(bytes(r.window), r.item) for r in part.collect()], gram))
+
+    return block, n_blocks
+
+
+def keep(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", span: int = SPAN, gram: int = GRAM, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The rows, with all their columns, that share no window with the benchmark."""
+    block, n_blocks = _blocks(benchmark, item, item_text, span, gram, block_rows)
+    for b in range(n_blocks):
+        sent = block(b)
+        clean = filter_texts(docs, text, lambda texts, sent=sent: [not h for h in sent.value.scan(texts)[1]])
+        # One block at a time is in a worker's memory.
+        docs = checkpointed(clean) if b < n_blocks - 1 else clean
+    return docs
+
+
 def _pass(docs: DataFrame, sent, key: str, text: str, b: int, kind: str) -> DataFrame:
     """Hits of one block by (key, text digest); repeated rows have equal hits and count once."""
 

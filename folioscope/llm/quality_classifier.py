@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of, map_texts
+from .common import filter_texts, fold_of, map_texts
 from .quality_rules import Stats, repeated_words
 
 #: Labelled rows that the fit uses, about.
@@ -126,3 +126,9 @@ def score(docs: DataFrame, model: Discriminant, key: str = "doc_id", text: str =
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return score(docs, train(docs, labels, key=key, text=text), key, text)
+
+
+def keep(docs: DataFrame, model: Discriminant, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score is GOOD or more."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_texts(docs, text, lambda texts: (sent.value.score(np.array([features(t) for t in texts])) >= GOOD).tolist())

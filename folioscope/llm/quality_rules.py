@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import filter_texts, map_texts
 
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -207,3 +207,9 @@ def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", rules:
         return [*[pa.array(c, pa.int64()) for c in zip(*own, strict=True)], pa.array(failed, pa.bool_()), pa.array(kept, pa.bool_())]
 
     return map_texts(docs, [key], text, run, f"{key} {docs.schema[key].dataType.simpleString()}, {', '.join(c + ' bigint' for c in columns)}, base_failed boolean, kept boolean")
+
+
+def keep(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows, with all their columns, that no rule rejects; each text stops at its first rejection."""
+    chain = ordered(docs, rules, key, text)
+    return filter_texts(docs, text, lambda texts: [first_rejection(Stats(t), chain) is None for t in texts])

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, checkpointed, limit_batches, map_texts
+from .common import LOWER_AZ, checkpointed, limit_batches, map_texts, raw_texts
 from .graph import components
 
 BITS, DISTANCE = 64, 3
@@ -180,11 +180,44 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     smallest key.
     """
     own = checkpointed(fingerprints(docs, key, text, width))
+    return own.join(_components(own, key), "fp").select(key, "fp", "label", "component_id")
+
+
+def _components(own: DataFrame, key: str) -> DataFrame:
+    """(fp, label, component_id) of every distinct fingerprint of (key, fp) rows."""
     distinct = checkpointed(own.groupBy("fp").agg(F.min(key).alias("least")))
     labels = components(links(distinct.select("fp")))
     labelled = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("label"))
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    return own.join(labelled.join(least, "label").select("fp", "label", "component_id"), "fp").select(key, "fp", "label", "component_id")
+    return labelled.join(least, "label").select("fp", "label", "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
+    """The row with the smallest key of each component, with all its columns.
+
+    Of repeated rows with that key one stays, and of a component of null keys
+    only one row.  Texts are dealt once, by fingerprint and key, so that copies
+    don't meet in one task.
+    """
+    own = checkpointed(fingerprints(docs, key, text, width))
+    chosen = own.join(_components(own, key), "fp").where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("label").agg(F.min("fp").alias("__fp"), F.first(key).alias("__key"), F.count("*").alias("n"))
+    chosen = checkpointed(chosen)
+    limit_batches(docs.sparkSession)
+    at, schema = docs.columns.index(text), f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema.fields)}, __fp bigint"
+
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = pa.array([fingerprint(t, width) for t in raw_texts(batch.column(at))], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, fps], names=[*batch.schema.names, "__fp"])
+
+    tagged = docs.mapInArrow(tag, schema)
+    same = lambda side: (tagged["__fp"] == side["__fp"]) & tagged[key].eqNullSafe(side["__key"])
+    kept = tagged.join(chosen, same(chosen), "left_semi")
+    repeated = chosen.where("n > 1")
+    if not repeated.isEmpty():
+        once = chosen.where("n = 1")
+        kept = tagged.join(once, same(once), "left_semi").unionByName(tagged.join(repeated, same(repeated), "left_semi").dropDuplicates(["__fp", key]))
+    return kept.select(*docs.columns)
 
 
 def hex_fingerprint(column: str = "fp"):
