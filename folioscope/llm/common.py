@@ -30,11 +30,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     The folder is the session's spark.checkpoint.dir; only where that is unset
     (tests, one machine) a temporary folder is used.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        context = spark.sparkContext
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="folioscope-checkpoint-"))
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folioscope-checkpoint-"))
     return df.checkpoint(eager=True)
 
 
