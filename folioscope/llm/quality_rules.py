@@ -124,7 +124,7 @@ BASE = (
 RULES = (
     *BASE,
     Rule("symbols", lambda s: 10 * s.n_symbols > s.word_chars),
-    Rule("repeated_lines", lambda s: 100 * s.n_dup_lines > 30 * s.n_lines),
+    Rule("repeated_lines", lambda s: 100 * s.n_dup_lines > 50 * s.n_lines),
     Rule("long_words", lambda s: s.word_chars > 20 * s.n_words),
     Rule("capitals", lambda s: 100 * s.n_upper > 70 * s.n_letters and s.n_letters >= 10),
 )

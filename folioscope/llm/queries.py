@@ -119,6 +119,6 @@ s AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to
   coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '[A-Za-z]')) AS n_letters
   FROM w LEFT JOIN repeats USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > word_chars OR 100 * n_dup_lines > 30 * n_lines OR word_chars > 20 * n_words OR (100 * n_upper > 70 * n_letters AND n_letters >= 10)) AS kept
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > word_chars OR 100 * n_dup_lines > 50 * n_lines OR word_chars > 20 * n_words OR (100 * n_upper > 70 * n_letters AND n_letters >= 10)) AS kept
 FROM s""",
 }

@@ -21,7 +21,7 @@ def brute(text):
     chars, symbols = sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>")
     upper, letters = len(re.findall("[A-Z]", text)), len(re.findall("[A-Za-z]", text))
     failed = len(words) < 10 or 100 * len(hit) > 20 * len(words)
-    kept = not (failed or 10 * symbols > chars or 100 * dups > 30 * len(lines) or chars > 20 * len(words) or (100 * upper > 70 * letters and letters >= 10))
+    kept = not (failed or 10 * symbols > chars or 100 * dups > 50 * len(lines) or chars > 20 * len(words) or (100 * upper > 70 * letters and letters >= 10))
     return len(words), chars, symbols, dups, len(hit), failed, kept
 
 
