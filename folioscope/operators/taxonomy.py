@@ -171,7 +171,11 @@ HISTORY = r"(?i)^\s*(?:\d{4}-\d{2}-\d{2}|\|\s*\d+\s*\||v?\d+\.\d+\.\d+)"
 def stale_totals(rows: DataFrame, elements: DataFrame, key: str) -> DataFrame:
     """(key, line_no, what, stated, computed) of totals in lines (key, line_no, line) that the elements don't bear out."""
     kept = rows.where(~F.col("line").rlike(HISTORY))
-    found = F.flatten(F.array(*[F.transform(F.regexp_extract_all("line", F.lit(p), F.lit(1)), lambda n, what=what: F.struct(F.lit(what).alias("what"), n.cast("bigint").alias("stated"))) for what, p in TOTALS]))
+
+    def stated(what: str, pattern: str):
+        return F.transform(F.regexp_extract_all("line", F.lit(pattern), F.lit(1)), lambda n: F.struct(F.lit(what).alias("what"), n.cast("bigint").alias("stated")))
+
+    found = F.flatten(F.array(*[stated(what, p) for what, p in TOTALS]))
     said = kept.select(key, "line_no", F.explode(found).alias("x")).select(key, "line_no", "x.*")
     computed = stats(elements).where("grouping = 'total'").select(F.col("value").alias("what"), F.col("n").alias("computed"))
     return said.join(computed, "what").where("stated <> computed").select(key, "line_no", "what", "stated", "computed").distinct()

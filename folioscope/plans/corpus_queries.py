@@ -177,7 +177,7 @@ def term_scan_files(spark, sf_dir):
 
 # Gold cases: every tenth document is cited, every seventieth wrongly.
 _CLAIMS = rf"""{DOCS}, parts AS (SELECT filename, doc_id, string_split(text, chr(10)) AS l, 1 + doc_id % 3 AS a, 1 + doc_id % 3 + doc_id % 2 AS b FROM docs),
-claims AS (SELECT doc_id AS id, filename, l, a, b, CASE WHEN doc_id % 90 = 0 THEN 'nowhere' ELSE filename || '#L' || a || CASE WHEN b > a THEN '-L' || b ELSE '' END END AS cita, CASE WHEN doc_id % 70 = 0 THEN 'zzz ' ELSE '' END || upper(left({FLAT.format('coalesce(l[a], chr(32))')}, 40)) AS verbatim FROM parts WHERE doc_id % 5 = 0)"""
+claims AS (SELECT doc_id AS id, filename, l, a, b, CASE WHEN doc_id % 90 = 0 THEN 'nowhere' ELSE filename || '#L' || a || CASE WHEN b > a THEN '-L' || b ELSE '' END END AS cita, CASE WHEN doc_id % 70 = 0 THEN 'zzz ' ELSE '' END || translate(left({FLAT.format('coalesce(l[a], chr(32))')}, 40), 'aeiou', 'AEIOU') AS verbatim FROM parts WHERE doc_id % 5 = 0)"""
 
 
 def _claims(spark, sf_dir):
@@ -185,7 +185,7 @@ def _claims(spark, sf_dir):
     b = a + F.col("doc_id") % 2
     line = F.coalesce(F.try_element_at(F.split("text", "\n"), a.cast("int")), F.lit(" "))
     cita = F.when(F.col("doc_id") % 90 == 0, "nowhere").otherwise(F.concat("filename", F.lit("#L"), a, F.when(b > a, F.concat(F.lit("-L"), b)).otherwise("")))
-    verbatim = F.concat(F.when(F.col("doc_id") % 70 == 0, "zzz ").otherwise(""), F.upper(F.left(T.flat(line), F.lit(40))))
+    verbatim = F.concat(F.when(F.col("doc_id") % 70 == 0, "zzz ").otherwise(""), F.translate(F.left(T.flat(line), F.lit(40)), "aeiou", "AEIOU"))
     return docs(spark, sf_dir).where("doc_id % 5 = 0").select(F.col("doc_id").alias("id"), cita.alias("cita"), verbatim.alias("verbatim"))
 
 

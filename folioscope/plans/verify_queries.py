@@ -27,7 +27,7 @@ _LINES = f"{DOCS}, split AS (SELECT filename, doc_id, string_split(text, {LF}) A
 # Lines with marks, links, tables, annotation blocks and page furniture, by their numbers.
 _DIRTY_CASES = """CASE line_no % 17 WHEN 3 THEN '**Concordancias:**' WHEN 5 THEN '### Capítulo ' || line_no WHEN 7 THEN '| ' || left(line, 12) || ' | | b |' WHEN 8 THEN '| --- | :---: |' WHEN 9 THEN '- [' || left(line, 9) || '](http://x.y/z) *fin*'
   WHEN 10 THEN '[ver](javascript:open(1)) ' || left(line, 15) WHEN 11 THEN 'Última Actualización: hoy' WHEN 12 THEN 'Imprimir: ' || left(line, 5) WHEN 13 THEN ' 12 34 ' WHEN 14 THEN '> ![logo](a.png) ' || left(line, 10) WHEN 15 THEN 'LEY 142 de 1994 77' WHEN 16 THEN line_no || 'o. inciso\\\\_' || left(line, 8) ELSE line END"""
-_DIRTY = f"{_LINES}, dirty AS (SELECT filename, line_no, {_DIRTY_CASES.replace(chr(92) * 4, chr(92))} AS line FROM rows_ WHERE doc_id % 2 = 0)"
+_DIRTY = f"{_LINES}, dirty AS (SELECT filename, line_no, {_DIRTY_CASES.replace(chr(92) * 2, chr(92))} AS line FROM rows_ WHERE doc_id % 2 = 0)"
 # RE2 has no lookarounds; what follows an ordinal is captured and put back.
 _ORDINAL = r"regexp_replace({}, '([0-9])(?:o|°|º)([\s.,;:)]|$)', '\1\2', 'g')"
 _EVENTS = (
@@ -86,7 +86,7 @@ def _article_rows(spark, sf_dir, source: bool):
     number = F.when(F.col("turn") == 5, 1).otherwise(F.col("turn") + 1).cast("string")
     body = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
     if source:
-        body = F.when((F.col("turn") == 1) & (F.col("conv_id") % 2 == 0), F.concat(body, F.lit(" añadido"))).otherwise(F.upper(body))
+        body = F.when((F.col("turn") == 1) & (F.col("conv_id") % 2 == 0), F.concat(body, F.lit(" añadido"))).otherwise(F.translate(body, 'aeiou', 'AEIOU'))
         number = F.when(F.col("turn") == 3, "99").otherwise(number)
     head = F.concat(F.when(F.col("turn") % 3 == 1, "Artículo ").otherwise("ARTÍCULO "), number, F.when(F.col("turn") % 2 == 0, "o. ").otherwise(". "))
     lines = F.array(F.concat(head, body), F.concat(F.lit("Parágrafo "), F.col("turn").cast("string")))
@@ -97,7 +97,7 @@ def _articles_sql(source: bool) -> str:
     body = "replace(text, chr(10), ' ')"
     number = "CASE WHEN turn = 5 THEN '1' ELSE CAST(turn + 1 AS VARCHAR) END"
     if source:
-        body = f"CASE WHEN turn = 1 AND conv_id % 2 = 0 THEN {body} || ' añadido' ELSE upper({body}) END"
+        body = f"CASE WHEN turn = 1 AND conv_id % 2 = 0 THEN {body} || ' añadido' ELSE translate({body}, 'aeiou', 'AEIOU') END"
         number = f"CASE WHEN turn = 3 THEN '99' ELSE {number} END"
     return f"(SELECT conv_id, {number} AS key, row_number() OVER (PARTITION BY conv_id, {number} ORDER BY turn) - 1 AS copy_no, {FLAT.format(f'''(CASE WHEN turn % 3 = 1 THEN 'Artículo ' ELSE 'ARTÍCULO ' END) || ({number}) || (CASE WHEN turn % 2 = 0 THEN 'o. ' ELSE '. ' END) || ({body}) || ' Parágrafo ' || turn''')} AS text FROM conversations {'WHERE turn <> 2' if source else ''})"
 
