@@ -53,6 +53,8 @@ def _text(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: Texts of Latin letters and common punctuation in which nothing expands.
+_NO_EXPANSION = r"^[\u0000-\u00BB\u00BF-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u01C3\u2010-\u2024]*+$"
 #: Expansions that running text has; they are replaced one by one before the rest.
 _COMMON = "ﬀﬁﬂﬃﬄ…½¼¾™№℠"
 
@@ -68,8 +70,9 @@ def fold(x: Column | str) -> Column:
     table = F.create_map(*[F.lit(v) for pair in long.items() for v in pair])
     expanded = F.array_join(F.transform(F.split(common, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
     every = F.when(common.rlike(found), expanded).otherwise(common)
-    # Texts in ASCII, the usual case, only change to lower case.
-    return F.lower(F.when(text.rlike(r"^[\x00-\x7F]*+$"), text).otherwise(F.translate(every, source, target)))
+    # Few texts hold expansions; the class that finds them is slow, so a short one rules most texts out.
+    simple = F.when(text.rlike(_NO_EXPANSION), F.translate(text, source, target)).otherwise(F.translate(every, source, target))
+    return F.lower(F.when(text.rlike(r"^[\x00-\x7F]*+$"), text).otherwise(simple))
 
 
 def flat(x: Column | str) -> Column:

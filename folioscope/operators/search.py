@@ -33,8 +33,8 @@ def search_scan(docs: DataFrame, queries: DataFrame, key: str, text: str = "text
     """
     per = queries.groupBy("q").agg(F.array_sort(F.collect_set("token")).alias("terms")).withColumn("lead", F.col("terms")[0])
     sets = docs.select(key, F.array_distinct(tokens(text)).alias("own"))
-    near = sets.select(key, "own", F.explode("own").alias("lead"))
-    return near.join(per, "lead").where(F.size(F.array_except("terms", "own")) == 0).select("q", key)
+    near = sets.select(key, F.explode("own").alias("lead")).join(per, "lead").select("q", key, "terms")
+    return near.join(sets, key).where(F.size(F.array_except("terms", "own")) == 0).select("q", key)
 
 
 def term_scan(docs: DataFrame, terms: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -42,8 +42,9 @@ def term_scan(docs: DataFrame, terms: DataFrame, key: str, text: str = "text") -
 
     Candidates come from a hash join on distinct tokens; each is then searched.
     """
-    near = docs.select(key, fold(text).alias("folded")).select(key, "folded", F.explode(F.array_distinct(F.regexp_extract_all("folded", F.lit(TOKEN), F.lit(0)))).alias("term"))
-    return near.join(terms.select("term").distinct(), "term").where(F.expr(r"folded rlike concat('(?U)\\b\\Q', term, '\\E\\b')")).select("term", key)
+    folded = docs.select(key, fold(text).alias("folded"))
+    near = folded.select(key, F.explode(F.array_distinct(F.regexp_extract_all("folded", F.lit(TOKEN), F.lit(0)))).alias("term")).join(terms.select("term").distinct(), "term")
+    return near.join(folded, key).where(F.expr(r"folded rlike concat('(?U)\\b\\Q', term, '\\E\\b')")).select("term", key)
 
 
 def disagreement(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
