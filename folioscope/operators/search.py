@@ -9,9 +9,15 @@ from ..functions.text import TOKEN, fold, tokens
 
 
 def document_frequency(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(token, df, tf): documents that hold a token, and its occurrences; counted within documents first."""
-    per = docs.select(key, F.explode(tokens(text)).alias("token")).groupBy(key, "token").agg(F.count("*").alias("n"))
-    return per.groupBy("token").agg(F.count("*").alias("df"), F.sum("n").alias("tf"))
+    """(token, df, tf): documents that hold a token, and its occurrences.
+
+    Distinct tokens of a document are found in its own row, so one shuffle by
+    token, of partial sums, is all there is.
+    """
+    own = docs.select(tokens(text).alias("own"))
+    marked = lambda x, d, n: F.transform(x, lambda t: F.struct(t.alias("token"), F.lit(d).cast("bigint").alias("d"), F.lit(n).cast("bigint").alias("n")))
+    rows = own.select(F.explode(F.concat(marked(F.col("own"), 0, 1), marked(F.array_distinct("own"), 1, 0))).alias("x")).select("x.*")
+    return rows.groupBy("token").agg(F.sum("d").alias("df"), F.sum("n").alias("tf"))
 
 
 def rare(df: DataFrame, low: int = 1, high: int = 8) -> DataFrame:

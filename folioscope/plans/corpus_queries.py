@@ -146,7 +146,8 @@ _SEARCHES = f"{_FIRST}, searches AS (SELECT doc_id AS q, token FROM first_rare W
 
 
 def _searches(spark, sf_dir):
-    return first_k_rare(spark, sf_dir).where("doc_id % 100 = 0").select(F.col("doc_id").alias("q"), "token")
+    # A few words for each query; several joins read them.
+    return first_k_rare(spark, sf_dir).where("doc_id % 100 = 0").select(F.col("doc_id").alias("q"), "token").persist()
 
 
 def _doc_postings(spark, sf_dir):
