@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import flat, is_blank
+from ..functions.canonical import fingerprint
+from ..functions.text import flat, is_blank, sha256
+from .gate import require_empty
 from .gold import check_citations, parse_citation
+from .manifest import set_hash
 
 
 def anchors(rows: DataFrame, patterns: dict[str, str], key: str) -> DataFrame:
@@ -112,3 +117,29 @@ def budget(log: DataFrame, delivered: DataFrame) -> DataFrame:
     a = log.where("accepted").agg(F.count("*").alias("entries"), F.coalesce(F.sum(F.length("response")), F.lit(0)).alias("response_chars")).withColumn("k", F.lit(1))
     b = delivered.agg(F.coalesce(F.sum("n_chars"), F.lit(0)).alias("delivered_chars")).withColumn("k", F.lit(1))
     return a.join(b, "k").drop("k")
+
+
+def start(diff: DataFrame, spots: DataFrame, wanted: list[str]) -> None:
+    """Refuse to start on a corpus that isn't intact, or whose anchors aren't all found."""
+    require_empty(diff, "integrity")
+    found = {r.anchor for r in spots.select("anchor").distinct().limit(len(wanted) + 1).collect()}
+    lacking = [a for a in wanted if a not in found]
+    if lacking:
+        raise RuntimeError(f"anchors not found: {lacking}")
+
+
+def certificate(rules: DataFrame, scores: DataFrame, gate_rows: DataFrame, fields: DataFrame, created_at: str) -> dict:
+    """What a finished run has shown, with a fingerprint of its fields; broken rules or a closed gate refuse it.
+
+    scores is the one-row total of gold answers; fields are (task, campo, valor).
+    """
+    require_empty(rules, "record rules")
+    require_empty(gate_rows.where("outcome <> 'pass'"), "gate")
+    total = scores.first().asDict()
+    seal = set_hash(fields.select(concat_key("task", "campo").alias("filename"), sha256(F.coalesce("valor", F.lit(""))).alias("sha256"), F.length(F.coalesce("valor", F.lit(""))).alias("bytes"))).first()
+    body = {"created_at": created_at, "gold": total, "fields": seal.file_count, "fields_hash": seal.set_hash}
+    return body | {"fingerprint": fingerprint(json.dumps(body))}
+
+
+def concat_key(*columns: str):
+    return F.concat_ws("/", *[F.col(c).cast("string") for c in columns])

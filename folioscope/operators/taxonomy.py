@@ -186,5 +186,19 @@ def missing_files(expected: DataFrame, files: DataFrame) -> DataFrame:
     return expected.select("filename").join(files.select("filename"), "filename", "left_anti")
 
 
+#: The derived documents by name.
+ARTIFACTS = {"pages": category_pages, "schema": record_schema, "ddl": ddl, "form": reading_form, "matrix": matrix, "propagation": propagation, "glossary": glossary}
+
+
+def generate(elements: DataFrame, names: tuple[str, ...] = tuple(ARTIFACTS), check: bool = True) -> dict[str, DataFrame]:
+    """The chosen documents of a taxonomy; errors (not warnings) in its rules stop it, unless the check is off."""
+    unknown = [n for n in names if n not in ARTIFACTS]
+    if unknown:
+        raise ValueError(f"unknown documents: {unknown}")
+    if check and not rules(elements).where("code LIKE 'E%'").isEmpty():
+        raise RuntimeError("the taxonomy breaks its rules")
+    return {n: ARTIFACTS[n](elements) for n in names}
+
+
 def union_all(found: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)

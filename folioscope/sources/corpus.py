@@ -56,7 +56,8 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], schema).unionByName(spark.createDataFrame([(None,)], "x int").drop("x"), allowMissingColumns=True).withColumn("problem", F.lit("missing"))
+        columns = spark.createDataFrame([], schema).schema.fields
+        return spark.range(1).select(*[F.lit(None).cast(c.dataType).alias(c.name) for c in columns], F.lit("missing").alias("problem"))
     return docs.withColumn("problem", F.when(F.col("_corrupt").isNotNull(), "invalid")).drop("_corrupt")
 
 

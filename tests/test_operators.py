@@ -169,3 +169,60 @@ def test_taxonomy_rules_one_by_one(spark):
 def test_canonical_fingerprint():
     assert canonical.fingerprint('{"b": 1, "a": "é"}') == hashlib.sha256('{"a": "é", "b": 1}'.encode()).hexdigest()
     assert canonical.fingerprint('{"a":1}', 16) == canonical.fingerprint('{ "a" : 1 }')[:16]
+
+
+def test_json_sources_report_problems(spark, tmp_path):
+    (tmp_path / "good.json").write_text('{"a": 1, "b": "x"}')
+    (tmp_path / "bad.json").write_text('{"a": ')
+    read = lambda n: [tuple(r) for r in corpus.read_json(spark, str(tmp_path / n), "a int, b string").collect()]
+    assert read("good.json") == [(1, "x", None)]
+    assert read("bad.json") == [(None, None, "invalid")]
+    assert read("none.json") == [(None, None, "missing")]
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("t", 1)], "tarea string, entrega int")
+    for _ in range(2):
+        corpus.append_log(rows, str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 2
+    corpus.write_state({"x": "é"}, str(tmp_path / "state.json"))
+    assert "é" in (tmp_path / "state.json").read_text(encoding="utf-8")
+
+
+def test_index_is_built_from_sealed_documents_only(spark, tmp_path):
+    from folioscope.operators import index
+
+    docs = spark.createDataFrame([("a.md", "# One\nley basica\n## Two\nmas"), ("b.md", "ley"), ("c.md", "")], "filename string, text string")
+    seal = M.manifest(docs, "filename")
+    index.build(docs, seal, str(tmp_path / "i"), "2026-01-01")
+    posted = spark.read.parquet(str(tmp_path / "i/postings"))
+    assert {(r.filename, r.chunk_no) for r in posted.where("token = 'ley' AND field = 'text'").collect()} == {("a.md", 0), ("b.md", 0)}
+    with pytest.raises(RuntimeError):
+        index.build(docs.withColumn("text", F.concat("text", F.lit("!"))), seal, str(tmp_path / "j"), "2026-01-01")
+    assert not (tmp_path / "j").exists()
+
+
+def test_generation_and_certificate(spark):
+    from folioscope.operators import director as D
+
+    schema = "id string, categoria string, nombre string, descripcion string, fase_lectura int, estado string, origen string, tipo_campo string, requiere_ref_articulo boolean, dependencias array<string>, glosario_terminos array<string>"
+    rows = [("A.10", "A", "n", "d", 0, "validado", "base", "fecha", True, ["A.30"], ["plazo"]), ("A.30", "A", "m", "d", 1, "validado", "base", "texto", False, [], [])]
+    found = X.generate(spark.createDataFrame(rows, schema))
+    assert {r.term: r.refs for r in found["glossary"].collect()} == {"plazo": "A.10", "vacatio legis": "A.10", "erga omnes": "A.30", "inter partes": "A.30"}
+    assert found["ddl"].first().statement == "CREATE TABLE valores_cat_a (id_ficha TEXT PRIMARY KEY, a_10 DATE, a_30 TEXT);"
+    with pytest.raises(RuntimeError):
+        X.generate(spark.createDataFrame([rows[0]], schema))
+    with pytest.raises(ValueError):
+        X.generate(spark.createDataFrame(rows, schema), ("maps",))
+    none = spark.createDataFrame([], "code string")
+    scores = spark.createDataFrame([(9, 16, 25)], "mechanical bigint, human bigint, total bigint")
+    opened = gate.run(spark, {"a": lambda: none}, order=("a",))
+    fields = spark.createDataFrame([("T1", "A.1", "v"), ("T1", "A.2", None)], "task string, campo string, valor string")
+    a, b = (D.certificate(none, scores, opened, f, "2026-01-01") for f in (fields, fields.orderBy("campo", ascending=False)))
+    assert a == b and a["gold"]["total"] == 25 and len(a["fingerprint"]) == 64
+    with pytest.raises(RuntimeError):
+        D.certificate(spark.createDataFrame([("E1",)], "code string"), scores, opened, fields, "2026-01-01")
+    spots = spark.createDataFrame([("a", 1)], "anchor string, line_no bigint")
+    D.start(none, spots, ["a"])
+    with pytest.raises(RuntimeError):
+        D.start(none, spots, ["a", "b"])
