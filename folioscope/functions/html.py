@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Elements that break lines, that hide their content, and that have none; and marks of inline elements.
 _LINES = frozenset("p div li tr td th table ul ol h1 h2 h3 h4 h5 h6 hr section article header footer nav blockquote pre form fieldset figcaption".split())
 _HIDDEN = frozenset("script style head noscript iframe svg".split())
 _EMPTY = frozenset("br img hr meta link base input col wbr embed source track area param".split())

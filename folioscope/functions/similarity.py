@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Block length, and the length beyond which windows stand for a text; their number and length; the guard of a full diff.
+# Block length, and the length beyond which windows stand for a text; their number and length; the guard of a full diff.
 BLOCK, LONG, WINDOWS, WINDOW, DIFF_CHARS, CONTEXT = 8_000, 100_000, 5, 4_000, 40_000, 60
 
 

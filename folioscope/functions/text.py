@@ -20,6 +20,7 @@ TOKEN = r"(?U)\w+"
 WORD = r"[A-Za-zÁÉÍÓÚÜÑáéíóúüñ]{6,}"
 ORDINAL = r"(?<=\d)(?:o|°|º)(?=\s|\.|,|;|:|\)|$)"
 HEADING = r"(?dm)(?=^#{1,6} )"
+GLUED = r"(?<=[a-záéíóúñ0-9])(?=[A-ZÁÉÍÓÚÑ][a-záéíóúñ])|(?<=[0-9])(?=[A-ZÁÉÍÓÚÑ]{2,}[a-záéíóúñ])"
 
 
 @cache
@@ -120,7 +121,7 @@ def pad(x: Column | str, width: int) -> Column:
 
 def unglue(x: Column | str) -> Column:
     """A space where a lower-case letter or digit runs into a capitalised word."""
-    return F.regexp_replace(_text(x), r"(?<=[a-záéíóúñ0-9])(?=[A-ZÁÉÍÓÚÑ][a-záéíóúñ])|(?<=[0-9])(?=[A-ZÁÉÍÓÚÑ]{2,}[a-záéíóúñ])", " ")
+    return F.regexp_replace(_text(x), GLUED, " ")
 
 
 def occurrences(text: Column | str, literal: Column | str) -> Column:

@@ -12,6 +12,11 @@ from ..functions import fixed
 from ..functions.text import flat, fold, fold_ordinal
 
 
+# Links that run scripts, links, images, leading marks, a separator's cell, and format marks.
+SCRIPT_LINK, LINK, IMAGE = r"(?i)\[[^\]]*\]\(javascript:[^)]*\)+", r"\[([^\]]*)\]\([^)]*\)", r"!\[[^\]]*\]\([^)]*\)"
+LEADING, SEPARATOR, MARKS = r"(?U)^\s*[-#*>]+\s*", r"^:?-{2,}:?$", "*_<>~`"
+
+
 def _any(words: list[str]) -> str:
     return "|".join(re.escape(w).replace("\\ ", " ") for w in words)
 
@@ -33,23 +38,22 @@ def outside_annotations(rows: DataFrame, key: str) -> DataFrame:
 
 def unlink(line: Column) -> Column:
     """Script links go, other links become their text; images that are left go; leading marks go."""
-    x = F.regexp_replace(line, r"(?i)\[[^\]]*\]\(javascript:[^)]*\)+", " ")
-    x = F.regexp_replace(x, r"\[([^\]]*)\]\([^)]*\)", "$1")
-    x = F.regexp_replace(x, r"!\[[^\]]*\]\([^)]*\)", " ")
-    return F.regexp_replace(x, r"(?U)^\s*[-#*>]+\s*", "")
+    x = F.regexp_replace(line, SCRIPT_LINK, " ")
+    x = F.regexp_replace(F.regexp_replace(x, LINK, "$1"), IMAGE, " ")
+    return F.regexp_replace(x, LEADING, "")
 
 
 def linear_table(line: Column) -> Column:
     """A table row as its cells with single spaces; a separator row becomes empty."""
     inner = F.regexp_replace(F.regexp_replace(line, r"(?U)^\s+|\s+$", ""), r"^\|+|\|+$", "")
     cells = F.transform(F.split(inner, r"\|"), lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
-    separator = F.forall(cells, lambda c: c.rlike(r"^:?-{2,}:?$"))
+    separator = F.forall(cells, lambda c: c.rlike(SEPARATOR))
     return F.when(F.contains(line, F.lit("|")), F.when(separator, "").otherwise(F.array_join(F.filter(cells, lambda c: c != ""), " "))).otherwise(line)
 
 
 def without_marks(line: Column) -> Column:
     """Format marks to spaces, backslashes removed, white space collapsed."""
-    return flat(F.translate(F.replace(line, F.lit("\\"), F.lit("")), "*_<>~`", "      "))
+    return flat(F.translate(F.replace(line, F.lit("\\"), F.lit("")), MARKS, " " * len(MARKS)))
 
 
 def junk(folded: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import first_difference, text_ratio
 from ..functions.text import flat, fold_ordinal, norm_key
 
+# An article's header, also with ordinal signs, and the ratio from which texts are near.
 ARTICLE = r"(?U)^\s*(?:ART[ÍI]CULO|Art[íi]culo)\s+(\d+(?:\.\d+)*[A-Za-z]?|nuevo)(?=[\.\s,:;]|$)"
 ARTICLE_ORDINAL = r"(?U)^\s*(?:ART[ÍI]CULO|Art[íi]culo)\s+(\d+(?:\.\d+)*(?:[A-Za-z]|[°º])?|nuevo)(?=[\.\s,:;]|$)"
 NEAR = 0.98

@@ -16,6 +16,7 @@ from ..functions import fixed
 from ..functions.text import is_blank, pad
 
 FIELDS = ["id", "categoria", "nombre", "descripcion", "fase_lectura", "estado", "origen", "tipo_campo", "requiere_ref_articulo", "dependencias", "glosario_terminos"]
+# The form of an element's id, alone and in running text.
 ELEMENT = r"^[A-Z]\.\d+[a-z]?$"
 REFERENCE = r"[A-Z]\.\d+[a-z]?"
 
@@ -156,7 +157,7 @@ def broken_references(texts: DataFrame, elements: DataFrame, key: str, text: str
     return refs.join(elements.select(F.col("id").alias("ref")).distinct(), "ref", "left_anti").select(key, "ref")
 
 
-#: Shapes in which running text states a total, and lines of a history that don't count.
+# Shapes in which running text states a total, and lines of a history that don't count.
 TOTALS = [
     ("elementos", r"(?i)\btotal\s+(?:de\s+)?elementos\s*[:=|]\s*(\d{1,4})\b"),
     ("elementos", r"(?i)\belementos\s+totales\s*[:=|]\s*(\d{1,4})\b"),
