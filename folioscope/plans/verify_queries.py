@@ -43,8 +43,8 @@ _PHRASES, _SHORT = "|".join(p.replace("(", "\\(").replace(")", "\\)") for p in f
 _JUNK = rf"judged AS (SELECT *, CASE WHEN f IN ('', '---') THEN 'empty' WHEN regexp_matches(f, '{_PHRASES}') THEN 'phrase' WHEN regexp_matches(f, '{fixed.JUNK_LINE}') THEN 'line' WHEN length(f) < 80 AND regexp_matches(f, '^({_SHORT})($|[ :])') THEN 'navigation' WHEN regexp_matches(f, '^[0-9\s]+$') THEN 'page_number' END AS reason FROM (SELECT *, {_ORDINAL.format(FOLD.format('line'))} AS f FROM cleaned))"
 
 
-def _dirty(spark, sf_dir):
-    rows = corpus.lines(docs(spark, sf_dir).where("doc_id % 2 = 0"), "filename")
+def _dirty(spark, sf_dir, where="doc_id % 2 = 0"):
+    rows = corpus.lines(docs(spark, sf_dir).where(where), "filename")
     return rows.select("filename", "line_no", F.expr(_DIRTY_CASES).alias("line"))
 
 

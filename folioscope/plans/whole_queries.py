@@ -1,0 +1,60 @@
+"""Queries over all documents, beside registered ones whose SQL takes a subset of them.
+
+The registered SQL stays as it is; a query here has the same SQL without the subset.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import cleaning as L
+from . import verify_queries as V
+from .registry import SQL, query
+
+
+def _without(name: str, *cuts: str | tuple[str, str]) -> str:
+    """SQL of a registered query with each cut taken out, or replaced; a cut that isn't there is an error."""
+    sql = SQL[name]
+    for cut in cuts:
+        old, new = cut if isinstance(cut, tuple) else (cut, "")
+        if old not in sql:
+            raise ValueError(f"{name}: no {old!r}")
+        sql = sql.replace(old, new)
+    return sql
+
+
+_EVEN = " WHERE doc_id % 2 = 0"
+
+
+def _all_dirty(spark, sf_dir):
+    return V._dirty(spark, sf_dir, "true")
+
+
+def _all_markdown(spark, sf_dir):
+    return _all_dirty(spark, sf_dir).select("filename", "line_no", L.clean_line(F.col("line")).alias("line"))
+
+
+@query(_without("annotation_islands", _EVEN))
+def annotation_islands_all(spark, sf_dir):
+    return L.outside_annotations(_all_dirty(spark, sf_dir), "filename")
+
+
+@query(_without("clean_markdown", _EVEN))
+def clean_markdown_all(spark, sf_dir):
+    return _all_markdown(spark, sf_dir)
+
+
+@query(_without("table_linearise", _EVEN))
+def table_linearise_all(spark, sf_dir):
+    return _all_dirty(spark, sf_dir).where("contains(line, '|')").select("filename", "line_no", L.linear_table(F.col("line")).alias("line"))
+
+
+@query(_without("junk_lines", _EVEN))
+def junk_lines_all(spark, sf_dir):
+    return _all_markdown(spark, sf_dir).select("filename", "line_no", L.junk(T.fold_ordinal("line")).alias("reason")).where("reason IS NOT NULL")
+
+
+@query(_without("clean_text", _EVEN))
+def clean_text_all(spark, sf_dir):
+    return L.clean(_all_dirty(spark, sf_dir), "filename")
