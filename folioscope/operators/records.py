@@ -50,6 +50,12 @@ def field_rules(fields: DataFrame, evidence: DataFrame, elements: DataFrame) ->
     return _broken(rows, checks, "campo")
 
 
+def presence_rules(meta: DataFrame, evidence: DataFrame) -> DataFrame:
+    """V3: a record has evidence at all, whatever its fields."""
+    bare = meta.join(evidence.select("record").distinct(), "record", "left_anti")
+    return bare.select("record", F.lit("V3:empty_evidence").alias("code"), F.col("record_id").alias("detail"))
+
+
 def evidence_rules(evidence: DataFrame, elements: DataFrame) -> DataFrame:
     """V4: the forms of evidence, and fields that exist."""
     known = elements.select(F.col("id").alias("campo")).distinct().withColumn("known", F.lit(True))

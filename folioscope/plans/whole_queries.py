@@ -5,12 +5,15 @@ The registered SQL stays as it is; a query here has the same SQL without the sub
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import cleaning as L
+from ..operators import records as R
 from . import verify_queries as V
-from .registry import SQL, query
+from .registry import SQL, docs, query
 
 
 def _without(name: str, *cuts: str | tuple[str, str]) -> str:
@@ -58,3 +61,45 @@ def junk_lines_all(spark, sf_dir):
 @query(_without("clean_text", _EVEN))
 def clean_text_all(spark, sf_dir):
     return L.clean(_all_dirty(spark, sf_dir), "filename")
+
+
+# Records of all documents; those of doc_id % 60 = 50 have no evidence.
+_FIFTH = " WHERE doc_id % 20 < 4"
+_PROVEN = ("END AS campo FROM d)", "END AS campo FROM d WHERE doc_id % 60 <> 50)")
+_BARE = " UNION ALL SELECT doc_id, 'V3:empty_evidence', 'NP-FICHA-LEY-' || doc_id || '-1994-1' FROM d WHERE doc_id % 60 = 50"
+
+
+def _all_records(spark, sf_dir):
+    return V._records(spark, sf_dir, "true")
+
+
+@query(_without("ficha_rules_v1", _FIFTH))
+def ficha_rules_v1_all(spark, sf_dir):
+    return R.meta_rules(_all_records(spark, sf_dir)[0])
+
+
+@query(_without("ficha_rules_v2", _FIFTH))
+def ficha_rules_v2_all(spark, sf_dir):
+    return R.seal_rules(_all_records(spark, sf_dir)[0], hashlib.sha256(b"corpus").hexdigest())
+
+
+@query(_without("ficha_rules_v3", _FIFTH, _PROVEN) + _BARE)
+def ficha_rules_v3_all(spark, sf_dir):
+    meta, fields, ev = _all_records(spark, sf_dir)
+    return R.field_rules(fields, ev, V._elements(spark, sf_dir)).unionByName(R.presence_rules(meta, ev))
+
+
+@query(_without("ficha_rules_v4", _FIFTH, _PROVEN))
+def ficha_rules_v4_all(spark, sf_dir):
+    return R.evidence_rules(_all_records(spark, sf_dir)[2], V._elements(spark, sf_dir))
+
+
+@query(_without("ficha_rules_v5", _FIFTH))
+def ficha_rules_v5_all(spark, sf_dir):
+    return R.verbatim_rules(_all_records(spark, sf_dir)[2], docs(spark, sf_dir))
+
+
+@query(_without("evidence_coverage", _FIFTH, _PROVEN))
+def evidence_coverage_all(spark, sf_dir):
+    _, fields, ev = _all_records(spark, sf_dir)
+    return R.coverage(fields, ev)

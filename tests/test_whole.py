@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from folioscope.operators import records as R
 from folioscope.plans import catalogue
 from folioscope.plans.registry import docs
 
@@ -14,3 +15,13 @@ def files(spark, sf):
 def test_cleaning_covers_every_document(spark, sf):
     seen = catalogue.QUERIES["clean_markdown_all"](spark, sf).select("filename").distinct().collect()
     assert {r.filename for r in seen} == files(spark, sf)
+
+
+def test_records_cover_every_document(spark, sf):
+    assert catalogue.QUERIES["evidence_coverage_all"](spark, sf).count() == docs(spark, sf).count()
+
+
+def test_a_record_without_evidence_breaks_a_rule(spark):
+    meta = spark.createDataFrame([(1, "a"), (2, "b")], "record long, record_id string")
+    evidence = spark.createDataFrame([(1, "A.1")], "record long, campo string")
+    assert [tuple(r) for r in R.presence_rules(meta, evidence).collect()] == [(2, "V3:empty_evidence", "b")]
