@@ -176,18 +176,18 @@ def term_scan_files(spark, sf_dir):
     return S.term_scan(table(spark, sf_dir, "documents"), _searches(spark, sf_dir).withColumnRenamed("token", "term"), "doc_id")
 
 
-# Gold cases: every tenth document is cited, every seventieth wrongly.
+# Gold cases: every fifth document is cited (or those of a condition), every seventieth wrongly.
 _CLAIMS = rf"""{DOCS}, parts AS (SELECT filename, doc_id, string_split(text, chr(10)) AS l, 1 + doc_id % 3 AS a, 1 + doc_id % 3 + doc_id % 2 AS b FROM docs),
 claims AS (SELECT doc_id AS id, filename, l, a, b, CASE WHEN doc_id % 90 = 0 THEN 'nowhere' ELSE filename || '#L' || a || CASE WHEN b > a THEN '-L' || b ELSE '' END END AS cita, CASE WHEN doc_id % 70 = 0 THEN 'zzz ' ELSE '' END || translate(left({FLAT.format('coalesce(l[a], chr(32))')}, 40), 'aeiou', 'AEIOU') AS verbatim FROM parts WHERE doc_id % 5 = 0)"""
 
 
-def _claims(spark, sf_dir):
+def _claims(spark, sf_dir, where="doc_id % 5 = 0"):
     a = 1 + F.col("doc_id") % 3
     b = a + F.col("doc_id") % 2
     line = F.coalesce(F.try_element_at(F.split("text", "\n"), a.cast("int")), F.lit(" "))
     cita = F.when(F.col("doc_id") % 90 == 0, "nowhere").otherwise(F.concat("filename", F.lit("#L"), a, F.when(b > a, F.concat(F.lit("-L"), b)).otherwise("")))
     verbatim = F.concat(F.when(F.col("doc_id") % 70 == 0, "zzz ").otherwise(""), F.translate(F.left(T.flat(line), F.lit(40)), "aeiou", "AEIOU"))
-    return docs(spark, sf_dir).where("doc_id % 5 = 0").select(F.col("doc_id").alias("id"), cita.alias("cita"), verbatim.alias("verbatim"))
+    return docs(spark, sf_dir).where(where).select(F.col("doc_id").alias("id"), cita.alias("cita"), verbatim.alias("verbatim"))
 
 
 def _cited_sql(clean: str) -> str:
@@ -208,18 +208,25 @@ def gold_citation_strict(spark, sf_dir):
 _MATCHING = "len(list_filter(string_split(text, chr(10)), lambda x : regexp_matches({}, {})))"
 
 
+def _count_cases(d):
+    return d.select(F.col("doc_id").alias("id"), F.col("filename").alias("norma"), (F.col("doc_id") % 7).cast("string").alias("valor"), F.lit("^(th|la)").alias("patron"))
+
+
 @query(f"WITH {DOCS} SELECT doc_id AS id, {_MATCHING.format(FOLD.format('x'), chr(39) + '^(th|la)' + chr(39))} AS n_found, n_found = doc_id % 7 AS ok FROM docs WHERE doc_id % 3 = 0")
 def gold_count(spark, sf_dir):
     d = docs(spark, sf_dir)
-    cases = d.where("doc_id % 3 = 0").select(F.col("doc_id").alias("id"), F.col("filename").alias("norma"), (F.col("doc_id") % 7).cast("string").alias("valor"), F.lit("^(th|la)").alias("patron"))
-    return G.check_counts(cases, d)
+    return G.check_counts(_count_cases(d.where("doc_id % 3 = 0")), d)
+
+
+def _absent_cases(d):
+    pattern = F.when(F.col("doc_id") % 2 == 0, "idiot|trash").otherwise("[0-9]{3}")
+    return d.select(F.col("doc_id").alias("id"), F.col("filename").alias("norma"), pattern.alias("patron"))
 
 
 @query(f"WITH {DOCS} SELECT doc_id AS id, {_MATCHING.format(FOLD.format('x'), 'CASE WHEN doc_id % 2 = 0 THEN ' + chr(39) + 'idiot|trash' + chr(39) + ' ELSE ' + chr(39) + '[0-9]{3}' + chr(39) + ' END')} AS n_found, n_found = 0 AS ok FROM docs WHERE doc_id % 4 < 2")
 def gold_absent_file(spark, sf_dir):
     d = docs(spark, sf_dir)
-    pattern = F.when(F.col("doc_id") % 2 == 0, "idiot|trash").otherwise("[0-9]{3}")
-    return G.check_absent_in_files(d.where("doc_id % 4 < 2").select(F.col("doc_id").alias("id"), F.col("filename").alias("norma"), pattern.alias("patron")), d)
+    return G.check_absent_in_files(_absent_cases(d.where("doc_id % 4 < 2")), d)
 
 
 _ABSENT = ["xylophone", r"\bthe and\b", "^ein", "creative commons", "[0-9]{12}"]

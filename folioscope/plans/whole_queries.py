@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import cleaning as L
+from ..operators import gold as G
 from ..operators import records as R
+from . import corpus_queries as Q
 from . import verify_queries as V
 from .registry import SQL, docs, query
 
@@ -103,3 +105,26 @@ def ficha_rules_v5_all(spark, sf_dir):
 def evidence_coverage_all(spark, sf_dir):
     _, fields, ev = _all_records(spark, sf_dir)
     return R.coverage(fields, ev)
+
+
+# Gold cases of all documents; moduli plant faults only.
+@query(_without("gold_citation", " WHERE doc_id % 5 = 0"))
+def gold_citation_all(spark, sf_dir):
+    return G.check_citations(Q._claims(spark, sf_dir, "true"), docs(spark, sf_dir))
+
+
+@query(_without("gold_citation_strict", " WHERE doc_id % 5 = 0"))
+def gold_citation_strict_all(spark, sf_dir):
+    return G.check_citations(Q._claims(spark, sf_dir, "true"), docs(spark, sf_dir), strict=True)
+
+
+@query(_without("gold_count", " WHERE doc_id % 3 = 0"))
+def gold_count_all(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    return G.check_counts(Q._count_cases(d), d)
+
+
+@query(_without("gold_absent_file", " WHERE doc_id % 4 < 2"))
+def gold_absent_file_all(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    return G.check_absent_in_files(Q._absent_cases(d), d)

@@ -25,3 +25,9 @@ def test_a_record_without_evidence_breaks_a_rule(spark):
     meta = spark.createDataFrame([(1, "a"), (2, "b")], "record long, record_id string")
     evidence = spark.createDataFrame([(1, "A.1")], "record long, campo string")
     assert [tuple(r) for r in R.presence_rules(meta, evidence).collect()] == [(2, "V3:empty_evidence", "b")]
+
+
+@pytest.mark.parametrize("name", ["gold_citation_all", "gold_citation_strict_all", "gold_count_all", "gold_absent_file_all"])
+def test_gold_cases_cover_every_document(spark, sf, name):
+    ids = {r.id for r in catalogue.QUERIES[name](spark, sf).select("id").collect()}
+    assert ids == {r.doc_id for r in docs(spark, sf).select("doc_id").collect()}
