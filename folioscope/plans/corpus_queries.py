@@ -59,8 +59,15 @@ def lines_numbered(spark, sf_dir):
 
 @query(f"WITH {DOCS} SELECT filename, CASE WHEN doc_id % 5 = 0 AND length(text) <> octet_length(encode(text)) THEN 'latin-1' ELSE 'utf-8' END AS encoding, sha256(text) AS text_sha256, true AS reversible FROM docs WHERE NOT regexp_matches(text, '[^\\x00-\\xFF]')")
 def decode_lossless(spark, sf_dir):
-    d = docs(spark, sf_dir).where(~F.col("text").rlike(r"[^\x00-\xFF]"))
-    raw = d.select("filename", F.when(F.col("doc_id") % 5 == 0, F.encode("text", "ISO-8859-1")).otherwise(F.col("text").cast("binary")).alias("content"))
+    return _decoded(docs(spark, sf_dir).where(~_beyond_latin()))
+
+
+def _beyond_latin():
+    return F.col("text").rlike(r"[^\x00-\xFF]")
+
+
+def _decoded(d):
+    raw = d.select("filename", F.when((F.col("doc_id") % 5 == 0) & ~_beyond_latin(), F.encode("text", "ISO-8859-1")).otherwise(F.col("text").cast("binary")).alias("content"))
     text, encoding = corpus.decode("content")
     read = raw.select("filename", "content", text.alias("text"), encoding.alias("encoding"))
     return read.select("filename", "encoding", T.sha256("text").alias("text_sha256"), (corpus.encode("text", "encoding") == F.col("content")).alias("reversible"))

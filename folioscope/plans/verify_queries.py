@@ -354,8 +354,12 @@ def plan_tasks(spark, sf_dir):
 
 @query(f"WITH {_LINES} SELECT filename, CAST(1 AS BIGINT) AS fragment, left(string_agg(line_no || chr(9) || line, chr(10) ORDER BY line_no), 500) AS body, least(500, length(string_agg(line_no || chr(9) || line, chr(10) ORDER BY line_no))) AS n_chars FROM rows_ WHERE line_no BETWEEN 2 AND 6 AND doc_id % 4 = 0 GROUP BY filename")
 def fragment_delivery(spark, sf_dir):
+    return _delivery(spark, sf_dir, "doc_id % 4 = 0")
+
+
+def _delivery(spark, sf_dir, where):
     d = docs(spark, sf_dir)
-    spans = d.where("doc_id % 4 = 0").selectExpr("filename", "1L AS fragment", "2L AS l1", "6L AS l2")
+    spans = d.where(where).selectExpr("filename", "1L AS fragment", "2L AS l1", "6L AS l2")
     return D.deliver(corpus.lines(d, "filename"), spans, "filename", 500)
 
 
@@ -405,8 +409,8 @@ def budget(spark, sf_dir):
 
 
 # Errata. RE2 has no lookarounds, so the oracle marks the pairs in two overlapping passes.
-def _glued_rows(spark, sf_dir):
-    rows = corpus.lines(docs(spark, sf_dir).where("doc_id % 3 = 0"), "filename")
+def _glued_rows(spark, sf_dir, where="doc_id % 3 = 0"):
+    rows = corpus.lines(docs(spark, sf_dir).where(where), "filename")
     return rows.select("filename", "line_no", F.when(F.col("line_no") % 2 == 0, F.regexp_replace("line", r"([a-z])[.,]? ([A-Z][a-z])", "$1$2")).otherwise(F.regexp_replace("line", r"^([A-Z]{2})", "1994$1")).alias("line"))
 
 
@@ -421,8 +425,11 @@ def glued_words(spark, sf_dir):
 
 @query(f"WITH {_GLUED} SELECT filename, CAST(i AS BIGINT) AS span_id, count(*) AS n_lines FROM fixed, (VALUES (1, 1, 4), (2, 3, 30)) AS s(i, l1, l2) WHERE f <> line AND line_no BETWEEN l1 AND l2 GROUP BY 1, 2")
 def errata_overlap(spark, sf_dir):
-    spans = docs(spark, sf_dir).where("doc_id % 3 = 0").selectExpr("filename", "inline(array(named_struct('span_id', 1L, 'l1', 1L, 'l2', 4L), named_struct('span_id', 2L, 'l1', 3L, 'l2', 30L)))")
-    return E.overlap(glued_words(spark, sf_dir), spans, "filename")
+    return E.overlap(glued_words(spark, sf_dir), _errata_spans(docs(spark, sf_dir).where("doc_id % 3 = 0")), "filename")
+
+
+def _errata_spans(d):
+    return d.selectExpr("filename", "inline(array(named_struct('span_id', 1L, 'l1', 1L, 'l2', 4L), named_struct('span_id', 2L, 'l1', 3L, 'l2', 30L)))")
 
 
 @query(f"WITH {DOCS}, e AS (SELECT filename, text, CASE WHEN doc_id % 2 = 0 THEN left(text, 25) ELSE 'the' END AS b FROM docs), n AS (SELECT *, (length(text) - length(replace(text, b, ''))) // length(b) AS n FROM e) SELECT filename, n AS n_found, CASE WHEN n = 1 THEN 'aplicada' WHEN n = 0 THEN 'no_encontrada' ELSE 'ambigua' END AS state, CASE WHEN n = 1 THEN replace(text, b, '<corregido>') ELSE text END AS text FROM n")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import cleaning as L
+from ..operators import director as D
+from ..operators import errata as E
 from ..operators import gold as G
 from ..operators import records as R
 from . import corpus_queries as Q
@@ -128,3 +130,32 @@ def gold_count_all(spark, sf_dir):
 def gold_absent_file_all(spark, sf_dir):
     d = docs(spark, sf_dir)
     return G.check_absent_in_files(Q._absent_cases(d), d)
+
+
+# Repairs, deliveries and decoding of all documents; texts beyond Latin-1 are read as UTF-8.
+_BEYOND = "regexp_matches(text, '[^\\x00-\\xFF]')"
+
+
+@query(_without("glued_words", " WHERE doc_id % 3 = 0"))
+def glued_words_all(spark, sf_dir):
+    return E.glued_words(V._glued_rows(spark, sf_dir, "true"), "filename")
+
+
+@query(_without("errata_overlap", " WHERE doc_id % 3 = 0"))
+def errata_overlap_all(spark, sf_dir):
+    return E.overlap(glued_words_all(spark, sf_dir), V._errata_spans(docs(spark, sf_dir)), "filename")
+
+
+@query(_without("fragment_delivery", " AND doc_id % 4 = 0"))
+def fragment_delivery_all(spark, sf_dir):
+    return V._delivery(spark, sf_dir, "true")
+
+
+@query(_without("budget", " AND doc_id % 4 = 0"))
+def budget_all(spark, sf_dir):
+    return D.budget(V._log(spark, sf_dir), fragment_delivery_all(spark, sf_dir))
+
+
+@query(_without("decode_lossless", f" WHERE NOT {_BEYOND}", ("doc_id % 5 = 0 AND", f"doc_id % 5 = 0 AND NOT {_BEYOND} AND")))
+def decode_lossless_all(spark, sf_dir):
+    return Q._decoded(docs(spark, sf_dir))

@@ -31,3 +31,18 @@ def test_a_record_without_evidence_breaks_a_rule(spark):
 def test_gold_cases_cover_every_document(spark, sf, name):
     ids = {r.id for r in catalogue.QUERIES[name](spark, sf).select("id").collect()}
     assert ids == {r.doc_id for r in docs(spark, sf).select("doc_id").collect()}
+
+
+def test_decoding_keeps_texts_beyond_latin_1(spark, tmp_path):
+    texts = ["plain", "se\u00f1or", "\u201cquoted\u201d", "10 \u20ac", "a", "se\u00f1al"]
+    spark.createDataFrame([(5 * i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = catalogue.QUERIES["decode_lossless_all"](spark, str(tmp_path)).orderBy("filename").collect()
+    assert [r.encoding for r in rows] == ["utf-8", "latin-1", "utf-8", "utf-8", "utf-8", "latin-1"]
+    assert all(r.reversible for r in rows)
+
+
+def test_repairs_and_deliveries_reach_documents_of_every_id(spark, sf):
+    glued = catalogue.QUERIES["glued_words_all"](spark, sf).select(F.regexp_extract("filename", r"(\d+)\.md", 1).cast("long").alias("i"))
+    assert {r.m for r in glued.select((F.col("i") % 3).alias("m")).distinct().collect()} == {0, 1, 2}
+    delivered = catalogue.QUERIES["fragment_delivery_all"](spark, sf)
+    assert delivered.select((F.regexp_extract("filename", r"(\d+)\.md", 1).cast("long") % 4).alias("m")).distinct().count() == 4
