@@ -17,7 +17,7 @@ from ..operators import gold as G
 from ..operators import records as R
 from . import corpus_queries as Q
 from . import verify_queries as V
-from .registry import SQL, docs, query
+from .registry import SQL, docs, query, table
 
 
 def _without(name: str, *cuts: str | tuple[str, str]) -> str:
@@ -159,3 +159,17 @@ def budget_all(spark, sf_dir):
 @query(_without("decode_lossless", f" WHERE NOT {_BEYOND}", ("doc_id % 5 = 0 AND", f"doc_id % 5 = 0 AND NOT {_BEYOND} AND")))
 def decode_lossless_all(spark, sf_dir):
     return Q._decoded(docs(spark, sf_dir))
+
+
+# Corrections of the whole events table, in batches of twenty.
+@query(
+    _without(
+        "apply_corrections",
+        " WHERE event_id % 7 = 0 AND event_id < 350",
+        ("event_id % 50 AS batch", "event_id // 20 AS batch"),
+        ("max_by(valor, batch)", "max_by(valor, event_id)"),
+    )
+)
+def apply_corrections_all(spark, sf_dir):
+    c = table(spark, sf_dir, "events").selectExpr("event_id", "event_id DIV 20 AS batch", "user_id % 8 AS task", "'A.' || event_id % 60 AS campo", "CASE WHEN event_id % 91 = 0 THEN ' ' ELSE 'c' || event_id END AS valor", "CASE WHEN event_id % 77 = 0 THEN 'x' ELSE 'f.md#L1' END AS cita", "true AS ref_ok")
+    return D.apply_corrections(D.merge_log(V._log(spark, sf_dir)), c, seq="event_id")

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from folioscope.operators import director as D
 from folioscope.operators import records as R
 from folioscope.plans import catalogue
 from folioscope.plans.registry import docs
@@ -46,3 +47,11 @@ def test_repairs_and_deliveries_reach_documents_of_every_id(spark, sf):
     assert {r.m for r in glued.select((F.col("i") % 3).alias("m")).distinct().collect()} == {0, 1, 2}
     delivered = catalogue.QUERIES["fragment_delivery_all"](spark, sf)
     assert delivered.select((F.regexp_extract("filename", r"(\d+)\.md", 1).cast("long") % 4).alias("m")).distinct().count() == 4
+
+
+def test_one_bad_entry_rejects_its_batch_and_ties_go_by_sequence(spark):
+    fields = spark.createDataFrame([(1, "A.1", "old"), (1, "A.2", "old")], "task int, campo string, valor string")
+    rows = [(0, 0, "A.1", "first"), (1, 0, "A.1", "second"), (2, 1, "A.1", "lost"), (3, 1, "A.2", " ")]
+    c = spark.createDataFrame([(s, b, 1, f, v, "f.md#L1", True) for s, b, f, v in reversed(rows)], "seq int, batch int, task int, campo string, valor string, cita string, ref_ok boolean")
+    got = {r.campo: r.valor for r in D.apply_corrections(fields, c, seq="seq").collect()}
+    assert got == {"A.1": "second", "A.2": "old"}
