@@ -145,6 +145,47 @@ def ddl(elements: DataFrame) -> DataFrame:
     return found.select(name.alias("table_name"), "n_columns", F.concat(F.lit("CREATE TABLE "), name, F.lit(" (id_ficha TEXT PRIMARY KEY, "), "body", F.lit(");")).alias("statement"))
 
 
+# The tables, indexes and names that every model has.
+NORMAS = [
+    "CREATE TABLE IF NOT EXISTS normas (", "    id SERIAL PRIMARY KEY,", "    urn VARCHAR(255) UNIQUE,", "    tipo VARCHAR(50),", "    numero VARCHAR(50),", "    titulo TEXT,", "    autoridad_emisora VARCHAR(255),",
+    "    fecha_expedicion DATE,", "    fecha_publicacion DATE,", "    fecha_vigencia DATE,", "    estado VARCHAR(50),", "    texto_original TEXT,", "    texto_consolidado TEXT,", "    created_at TIMESTAMP DEFAULT NOW()", ");",
+]
+FICHAS = [
+    "CREATE TABLE IF NOT EXISTS fichas (", "    id SERIAL PRIMARY KEY,", "    id_ficha VARCHAR(100) UNIQUE NOT NULL,", "    norma_id INTEGER REFERENCES normas(id),", "    analista VARCHAR(255),", "    organizacion VARCHAR(255),",
+    "    proposito TEXT,", "    estado VARCHAR(50),", "    fecha_analisis TIMESTAMP,", "    puntuacion_calidad INTEGER CHECK (puntuacion_calidad BETWEEN 0 AND 50),", "    created_at TIMESTAMP DEFAULT NOW()", ");",
+]
+CATEGORIAS = ["CREATE TABLE IF NOT EXISTS categorias (", "    codigo CHAR(1) PRIMARY KEY,", "    nombre VARCHAR(100) NOT NULL,", "    total_elementos INTEGER", ");"]
+INDEXES = [("normas", "tipo", "tipo"), ("normas", "autoridad", "autoridad_emisora"), ("normas", "fecha", "fecha_vigencia"), ("fichas", "norma", "norma_id"), ("fichas", "estado", "estado")]
+CATEGORY_NAMES = {
+    "A": "METADATOS DE IDENTIFICACION", "B": "ESTRUCTURA FORMAL INTERNA", "C": "ESTADOS DE VIGENCIA", "D": "RELACIONES NORMATIVAS", "E": "CONTROL DE VERSIONES", "F": "ANALISIS OPERATIVO", "G": "METADATOS DEL ANALISIS",
+    "H": "ELEMENTOS ESPECIALES", "I": "JERARQUIA Y VALIDEZ FORMAL", "J": "INTERPRETACION Y APLICACION", "K": "EFICACIA Y APLICABILIDAD", "L": "ANALISIS ECONOMICO / AIR", "M": "MECANISMOS DE GOBERNANZA Y SEGUIMIENTO",
+}
+
+
+def relational_model(elements: DataFrame) -> DataFrame:
+    """(part, name, statement): the reference's whole SQL model, in the order of (part, name), without comment lines.
+
+    Base tables, a wide table of five columns an element for each category,
+    indexes, the table of categories and its upserts.
+    """
+    spark = elements.sparkSession
+    fixed_rows = [(0, "normas", "\n".join(NORMAS)), (1, "fichas", "\n".join(FICHAS))]
+    fixed_rows += [(3, f"{i}", f"CREATE INDEX idx_{t}_{n} ON {t}({c});") for i, (t, n, c) in enumerate(INDEXES)] + [(4, "categorias", "\n".join(CATEGORIAS))]
+    base = spark.createDataFrame(fixed_rows, "part int, name string, statement string")
+    safe = F.replace(F.col("id"), F.lit("."), F.lit("_"))
+    parts = [("completado", "BOOLEAN DEFAULT FALSE"), ("na", "BOOLEAN DEFAULT FALSE"), ("valor", "TEXT"), ("ref_articulo", "VARCHAR(100)"), ("notas", "TEXT")]
+    columns = F.concat(*[x for suffix, kind in parts for x in (F.lit("    "), safe, F.lit(f"_{suffix} {kind},\n"))])
+    known = elements.where("id IS NOT NULL AND categoria IS NOT NULL")
+    own = known.select("categoria", F.coalesce(F.regexp_extract("id", r"\.(\d+)", 1).try_cast("bigint"), F.lit(0)).alias("no"), "id", columns.alias("line")).distinct()
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("no", "id", "line"))), lambda x: x["line"]), "")
+    head = F.concat(F.lit("CREATE TABLE IF NOT EXISTS valores_cat_"), "categoria", F.lit(" (\n    id SERIAL PRIMARY KEY,\n    ficha_id INTEGER REFERENCES fichas(id) ON DELETE CASCADE,\n"))
+    wide = own.groupBy("categoria").agg(body.alias("body")).select(F.lit(2).alias("part"), F.col("categoria").alias("name"), F.concat(head, "body", F.lit("    UNIQUE(ficha_id)\n);")).alias("statement"))
+    names = F.create_map(*[F.lit(x) for kv in CATEGORY_NAMES.items() for x in kv])
+    upserts = known.groupBy("categoria").agg(F.count("*").alias("n")).select(F.lit(5).alias("part"), F.col("categoria").alias("name"), "categoria", "n")
+    upserts = upserts.select("part", "name", F.concat(F.lit("INSERT INTO categorias (codigo, nombre, total_elementos) VALUES ('"), "categoria", F.lit("', '"), F.coalesce(F.try_element_at(names, F.col("categoria")), F.col("categoria")), F.lit("', "), F.col("n").cast("string"), F.lit(") ON CONFLICT (codigo) DO UPDATE SET total_elementos = EXCLUDED.total_elementos;")).alias("statement"))
+    return base.unionByName(wide).unionByName(upserts)
+
+
 def reading_form(elements: DataFrame) -> DataFrame:
     """(fase, categoria, section): the elements to read in each phase, by category."""
     line = F.concat(F.lit("- [ ] "), "id", F.lit(" "), F.coalesce("nombre", F.lit("")), F.when(F.col("requiere_ref_articulo"), " (art.)").otherwise(""))

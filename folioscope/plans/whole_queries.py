@@ -15,6 +15,7 @@ from ..operators import director as D
 from ..operators import errata as E
 from ..operators import gold as G
 from ..operators import records as R
+from ..operators import taxonomy as X
 from . import corpus_queries as Q
 from . import verify_queries as V
 from .registry import SQL, docs, query, table
@@ -173,3 +174,9 @@ def decode_lossless_all(spark, sf_dir):
 def apply_corrections_all(spark, sf_dir):
     c = table(spark, sf_dir, "events").selectExpr("event_id", "event_id DIV 20 AS batch", "user_id % 8 AS task", "'A.' || event_id % 60 AS campo", "CASE WHEN event_id % 91 = 0 THEN ' ' ELSE 'c' || event_id END AS valor", "CASE WHEN event_id % 77 = 0 THEN 'x' ELSE 'f.md#L1' END AS cita", "true AS ref_ok")
     return D.apply_corrections(D.merge_log(V._log(spark, sf_dir)), c, seq="event_id")
+
+
+# The whole SQL model; a test compares it with the reference's text.
+@query()
+def tax_model(spark, sf_dir):
+    return X.relational_model(V._elements(spark, sf_dir))

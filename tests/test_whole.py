@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from folioscope.operators import director as D
 from folioscope.operators import records as R
+from folioscope.operators import taxonomy as X
 from folioscope.plans import catalogue
 from folioscope.plans.registry import docs
 
@@ -55,3 +56,14 @@ def test_one_bad_entry_rejects_its_batch_and_ties_go_by_sequence(spark):
     c = spark.createDataFrame([(s, b, 1, f, v, "f.md#L1", True) for s, b, f, v in reversed(rows)], "seq int, batch int, task int, campo string, valor string, cita string, ref_ok boolean")
     got = {r.campo: r.valor for r in D.apply_corrections(fields, c, seq="seq").collect()}
     assert got == {"A.1": "second", "A.2": "old"}
+
+
+def test_model_has_every_statement_of_the_reference(spark):
+    elements = spark.createDataFrame([("A.10", "A"), ("A.2", "A"), ("B.1", "B")], "id string, categoria string")
+    rows = X.relational_model(elements).orderBy("part", "name").collect()
+    assert [(r.part, r.name) for r in rows] == [(0, "normas"), (1, "fichas"), (2, "A"), (2, "B")] + [(3, str(i)) for i in range(5)] + [(4, "categorias"), (5, "A"), (5, "B")]
+    five = lambda i: f"    {i}_completado BOOLEAN DEFAULT FALSE,\n    {i}_na BOOLEAN DEFAULT FALSE,\n    {i}_valor TEXT,\n    {i}_ref_articulo VARCHAR(100),\n    {i}_notas TEXT,\n"
+    head = "CREATE TABLE IF NOT EXISTS valores_cat_A (\n    id SERIAL PRIMARY KEY,\n    ficha_id INTEGER REFERENCES fichas(id) ON DELETE CASCADE,\n"
+    assert rows[2].statement == head + five("A_2") + five("A_10") + "    UNIQUE(ficha_id)\n);"
+    assert rows[5].statement == "CREATE INDEX idx_normas_autoridad ON normas(autoridad_emisora);"
+    assert rows[10].statement == "INSERT INTO categorias (codigo, nombre, total_elementos) VALUES ('A', 'METADATOS DE IDENTIFICACION', 2) ON CONFLICT (codigo) DO UPDATE SET total_elementos = EXCLUDED.total_elementos;"
