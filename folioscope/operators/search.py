@@ -53,6 +53,11 @@ def term_scan(docs: DataFrame, terms: DataFrame, key: str, text: str = "text") -
     return near.join(folded, key).where(F.expr(r"folded rlike concat('(?U)\\b\\Q', term, '\\E\\b')")).select("term", key)
 
 
+def outside_scan(hits: DataFrame, scanned: DataFrame, queries: DataFrame, key: str) -> DataFrame:
+    """(q, key) of hits that a scan (term, key) of the raw text doesn't bear out."""
+    return hits.join(search_and(scanned.withColumnRenamed("term", "token"), queries, [key]), ["q", key], "left_anti")
+
+
 def disagreement(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of either result that the other lacks, with the side that has them."""
     return a.select(*columns).exceptAll(b.select(*columns)).withColumn("only_in", F.lit("left")).unionByName(b.select(*columns).exceptAll(a.select(*columns)).withColumn("only_in", F.lit("right")))

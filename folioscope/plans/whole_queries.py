@@ -15,6 +15,7 @@ from ..operators import director as D
 from ..operators import errata as E
 from ..operators import gold as G
 from ..operators import records as R
+from ..operators import search as S
 from ..operators import taxonomy as X
 from . import corpus_queries as Q
 from . import verify_queries as V
@@ -180,3 +181,14 @@ def apply_corrections_all(spark, sf_dir):
 @query()
 def tax_model(spark, sf_dir):
     return X.relational_model(V._elements(spark, sf_dir))
+
+
+# Full triples of rare words: index and scan agree, hits stand in the raw text, and there are enough queries.
+@query(f"WITH {Q._SEARCHES}, triples AS (SELECT q FROM searches GROUP BY q HAVING count(*) = 3) SELECT count(*) AS n_queries, count(*) AS n_agree, CAST(0 AS BIGINT) AS n_disagree, count(*) >= 15 AS passed FROM triples")
+def search_verdict(spark, sf_dir):
+    found, d = Q._searches(spark, sf_dir), table(spark, sf_dir, "documents")
+    queries = found.join(found.groupBy("q").agg(F.count("*").alias("n")).where("n = 3"), "q", "left_semi")
+    hits = S.search_and(Q._doc_postings(spark, sf_dir), queries, ["doc_id"])
+    differing = S.disagreement(hits, S.search_scan(d, queries, "doc_id"), ["q", "doc_id"]).select("q")
+    scanned = S.term_scan(d, queries.withColumnRenamed("token", "term"), "doc_id")
+    return S.verdict(queries, differing.unionByName(S.outside_scan(hits, scanned, queries, "doc_id").select("q")))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from folioscope.operators import director as D
 from folioscope.operators import records as R
+from folioscope.operators import search as S
 from folioscope.operators import taxonomy as X
 from folioscope.plans import catalogue
 from folioscope.plans.registry import docs
@@ -67,3 +68,10 @@ def test_model_has_every_statement_of_the_reference(spark):
     assert rows[2].statement == head + five("A_2") + five("A_10") + "    UNIQUE(ficha_id)\n);"
     assert rows[5].statement == "CREATE INDEX idx_normas_autoridad ON normas(autoridad_emisora);"
     assert rows[10].statement == "INSERT INTO categorias (codigo, nombre, total_elementos) VALUES ('A', 'METADATOS DE IDENTIFICACION', 2) ON CONFLICT (codigo) DO UPDATE SET total_elementos = EXCLUDED.total_elementos;"
+
+
+def test_a_hit_that_the_raw_text_lacks_is_found(spark):
+    queries = spark.createDataFrame([(1, "a"), (1, "b")], "q int, token string")
+    hits = spark.createDataFrame([(1, 10), (1, 11)], "q int, doc int")
+    scanned = spark.createDataFrame([("a", 10), ("b", 10), ("a", 11)], "term string, doc int")
+    assert [tuple(r) for r in S.outside_scan(hits, scanned, queries, "doc").collect()] == [(1, 11)]
