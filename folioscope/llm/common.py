@@ -27,15 +27,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset
-    (tests, one machine) a temporary folder is used.
+    The folder is the session's spark.checkpoint.dir; see `shared_folder`.
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folioscope-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, or the context's folder if one was set in code.
+
+    Where neither is set, a temporary folder serves a local session, and a
+    cluster is refused: executors of other machines couldn't read it.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="folioscope-checkpoint-")
+
+
 def utf8(column: str) -> Column:
     """The text as UTF-8 bytes; null counts as an empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
@@ -46,6 +59,27 @@ def fold_of(doc_id: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, folds: int, held_out: int, rows: int) -> DataFrame:
+    """(y, t) of about `rows` labelled rows outside the held-out fold, picked by hashes; y is whether the label isn't 0.
+
+    One scan of the documents with a broadcast of the picked keys, whose number
+    is counted first.  Equal rows count once, and where one key has many
+    different texts the rows are picked once more by their text, so at most
+    about twice `rows` are left however often keys repeat.
+    """
+    known = labels.where((fold_of(key, folds) != held_out) & F.col(label).isNotNull()).select(F.col(key).alias("k"), (F.col(label) != 0).cast("int").alias("y")).distinct()
+    picked = known.where(_picked(F.xxhash64("k", F.lit(label)), rows, known.count()))
+    own = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).join(F.broadcast(picked), "k")
+    sample = checkpointed(own.groupBy("k", "y", F.xxhash64("t").alias("h")).agg(F.first("t").alias("t")))
+    n = sample.count()
+    return sample.where(_picked(F.xxhash64("h", F.lit("rows")), rows, n) if n > 2 * rows else F.lit(True)).select("y", "t")
+
+
+def _picked(hashed: Column, rows: int, total: int) -> Column:
+    """Whether a hash lies in the share of `rows` in `total`."""
+    return F.pmod(hashed, F.lit(1 << 24)) < int(min(1.0, rows / max(total, 1)) * (1 << 24)) + 1
+
+
 def map_texts(df: DataFrame, keys: list[str | Column], text: str, fn: Callable[[list[bytes]], list], schema: str) -> DataFrame:
     """Run fn over Arrow batches of UTF-8 texts.
 

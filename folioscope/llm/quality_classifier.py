@@ -13,7 +13,7 @@ the key); scoring covers every row.
 Defined results: a null or empty text has the statistics of no words and is
 scored like any other.  Labels of null are not learned from.  If the sample has
 fewer than two classes, scores are the share of good labels, or 0.5 without
-labels.  Repeated rows each get a row.
+labels.  Repeated rows each get a row and are learned from once.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filter_texts, fold_of, map_texts
+from .common import filter_texts, fold_of, labelled_sample, map_texts
 from .quality_rules import Stats, repeated_words
 
 #: Labelled rows that the fit uses, about.
@@ -102,11 +102,8 @@ def fit(x: np.ndarray, y: np.ndarray, to_pooled: float = TO_POOLED, to_identity:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Discriminant:
     """Fit on labelled rows outside the held-out fold; about `rows` of them, picked by a hash of the key."""
-    known = labels.where((fold_of(key, FOLDS) != HELD_OUT) & F.col(label).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).distinct()
-    share = min(1.0, rows / max(known.count(), 1))
-    picked = known.where(F.pmod(F.xxhash64("k", F.lit(label)), F.lit(1 << 24)) < int(share * (1 << 24)) + 1)
-    rows_ = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(picked), "k")
-    got = map_texts(rows_, ["y"], "t", lambda texts: [pa.array([features(t) for t in texts], pa.list_(pa.float64()))], "y int, x array<double>").collect()
+    sample = labelled_sample(docs, labels, label, key, text, FOLDS, HELD_OUT, rows)
+    got = map_texts(sample, ["y"], "t", lambda texts: [pa.array([features(t) for t in texts], pa.list_(pa.float64()))], "y int, x array<double>").collect()
     # Sorted, so that sums of floats don't depend on the order of arrival.
     got = sorted((r.y, r.x) for r in got)
     return fit(np.array([x for _, x in got], float), np.array([y for y, _ in got], int))
