@@ -5,10 +5,11 @@ from html.parser import HTMLParser
 import numpy as np
 import pytest
 
+from folioscope.llm import html_pages as P
 from folioscope.llm import html_text as H
 from folioscope.llm.common import table
 
-TREE = H.grow(*H.labelled())
+TREE = H.tree()
 LONG = "This is a paragraph of plain running text that goes on for a good while, with commas and all the words that a story needs to be told."
 
 
@@ -50,7 +51,67 @@ def test_given_pages(spark, sf):
 
 def test_tree_fits_its_table():
     x, y = H.labelled()
-    assert [H.decide(TREE, tuple(r)) for r in x] == y.tolist()
+    assert np.mean([H.decide(TREE, r) == k for r, k in zip(x.tolist(), y.tolist(), strict=True)]) > 0.98
+
+
+def test_pages_held_out():
+    """Precision and recall in words, by kind and by style, on pages that the tree wasn't grown on."""
+    right, kept, main = {}, {}, {}
+    for kind, style, page, texts in P.pages(20_002, 12):
+        found = H.blocks(page)
+        for b, x in zip(found, H.features(found).tolist(), strict=True):
+            k, m = H.decide(TREE, x), b.text in texts
+            for name in (kind, style):
+                right[name] = right.get(name, 0) + b.words * (k and m)
+                kept[name] = kept.get(name, 0) + b.words * k
+                main[name] = main.get(name, 0) + b.words * m
+    for name in {*P.KINDS, *P.STYLES} - {"none"}:
+        assert right[name] / kept[name] > 0.95 and right[name] / main[name] > 0.95, name
+    # Pages without an article give next to nothing.
+    assert kept["none"] < 0.01 * sum(kept.values())
+
+
+AROUND = "Some thirty words of plain prose stand here, and they say nothing that a reader of the story would want to know about it at all, so they go away."
+STORY = f"<div class='k81'><p>{LONG}</p><p>{LONG}</p></div>"
+
+
+@pytest.mark.parametrize("frame", ["<body>{story}{part}</body>", "<body>{part}{story}</body>", "<div id=page>{part}<div class=x2>{story}</div></div>", "<div class='has-sidebar'><h1></h1>{story}{part}</div>"])
+@pytest.mark.parametrize(
+    "part",
+    [
+        f"<footer>{AROUND}</footer>",
+        f"<aside>{AROUND}</aside>",
+        f"<nav>{AROUND}</nav>",
+        f"<header><p>{AROUND}</p></header>",
+        f"<form><p>{AROUND}</p><input></form>",
+        f"<div class='comments'><p>{AROUND}</p></div>",
+        f"<section id='comments'><div class='comment'><p>{AROUND}</p></div></section>",
+        f"<div class='cookie-notice'>{AROUND}</div>",
+        f"<div class='ad'>{AROUND}</div>",
+        f"<div class='sponsored-content-ad'><p>{AROUND}</p></div>",
+        f"<div role='complementary'>{AROUND}</div>",
+        f"<div class='newsletter'><p>{AROUND}</p></div>",
+        "<div class='post'>Older post title here</div>",
+    ],
+)
+def test_undeclared_article_beside_other_parts(part, frame):
+    assert text(frame.format(part=part, story=STORY)) == f"{LONG} {LONG}"
+
+
+@pytest.mark.parametrize("frame", ["<body>{story}{part}</body>", pytest.param("<body>{part}{story}</body>", marks=pytest.mark.xfail(reason="a linked headline right before takes the first of two undeclared paragraphs with it"))])
+def test_linked_teaser(frame):
+    assert text(frame.format(part="<div class='entry'><h3><a href='/x'>Another story</a></h3></div>", story=STORY)) == f"{LONG} {LONG}"
+
+
+@pytest.mark.parametrize("part", ["<footer>{}</footer>", "<div class=footer>{}</div>", "<aside>{}</aside>", "<nav>{}</nav>", "<div class='comments'>{}</div>", "<form>{}</form>"])
+def test_pages_of_one_other_part(part):
+    assert text(part.format(AROUND)) == ""
+
+
+def test_headings_of_an_article_stay():
+    assert text(f"<article><header><h1>The title</h1><p>By Someone</p></header><p>{LONG}</p></article>") == f"The title {LONG}"
+    assert text(f"<header><h1>The site</h1></header><article><p>{LONG}</p></article>") == LONG
+    assert text(f"<aside><article><header><h1>Teaser</h1></header></article></aside><article><p>{LONG}</p></article>") == LONG
 
 
 @pytest.mark.parametrize(
@@ -94,3 +155,5 @@ def test_odd_rows(spark):
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in H.extract(rows).collect()) == [(0, "a", 1), (1, "", 0), (1, "", 0)]
     assert H.extract(rows.limit(0)).count() == 0
     assert isinstance(H.grow(np.zeros((3, 2)), np.array([0, 1, 1])), int)
+    copies = rows.unionByName(rows)
+    assert H.extract(copies).count() == 6
