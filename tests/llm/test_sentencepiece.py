@@ -29,20 +29,40 @@ def test_model_is_separable():
 
 @pytest.mark.parametrize("text", TRICKY)
 def test_equals_library(text):
-    ids, decoded = S.codec(MODEL).encode(text)
+    [(ids, decoded)] = S.codec(MODEL).encode([text.encode()])
     want, back = whole(text)
     assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == want
-    assert decoded == back
+    assert bytes(decoded) == back.encode()
 
 
 def test_random_texts_and_small_table(monkeypatch):
     monkeypatch.setattr(S, "TABLE_ENTRIES", 5)
     coder, rng = S.ChunkCodec(MODEL), random.Random(7)
-    for _ in range(300):
-        text = "".join(rng.choice("ab  ▁\né.,$<>") for _ in range(rng.randrange(40)))
-        ids, decoded = coder.encode(text)
-        want, back = whole(text)
-        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == want and decoded == back
+    for _ in range(60):
+        texts = ["".join(rng.choice("ab  ▁\né.,$<>") for _ in range(rng.randrange(40))) for _ in range(rng.randrange(9))] + rng.sample(TRICKY, rng.randrange(4))
+        got = coder.encode([t.encode() for t in texts])
+        assert len(coder.table) <= 5 and len(got) == len(texts)
+        for text, (ids, decoded) in zip(texts, got, strict=True):
+            want, back = whole(text)
+            assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == want and bytes(decoded) == back.encode()
+
+
+def test_each_chunk_of_a_batch_is_segmented_once():
+    coder, seen = S.ChunkCodec(MODEL), []
+    library = coder.sp
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+        def encode(self, words, **options):
+            seen.extend(words)
+            return library.encode(words, **options)
+
+    coder.sp = Watched()
+    coder.encode([b"one two one", b"two  three", b"", b"one"])
+    coder.encode([b"three four"])
+    assert sorted(seen) == ["four", "one", "three", "two", "▁three"]
 
 
 def test_query(spark, sf):
