@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +52,92 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="folioscope-checkpoint-")
 
 
+#: Rows of one key that a join may deal to one task, and the most values that a join broadcasts without a further look at their size.
+HOT_ROWS, BROADCAST_ROWS = 200_000, 100_000
+
+
+def skew_join(left: DataFrame, right: DataFrame, on: str, rows: str, total: int) -> DataFrame:
+    """Inner join of left with a right side of one row for each key, whatever share of left one key holds.
+
+    right has in `rows` how many rows of left have the key, and total is how
+    many left has.  Keys of more than HOT_ROWS rows, or of a BROADCAST_ROWS-th
+    of all, whichever is more, are broadcast; by their definition they are at
+    most BROADCAST_ROWS.  The others are joined by a shuffle in which no key is
+    large.  The result has no `rows` column.
+    """
+    least = max(HOT_ROWS, total // BROADCAST_ROWS)
+    columns = [c for c in right.columns if c != rows]
+    if total <= least:
+        return left.join(right.select(columns), on)
+    hot = checkpointed(right.where(F.col(rows) > least).select(columns))
+    if hot.isEmpty():
+        return left.join(right.select(columns), on)
+    cold = left.join(F.broadcast(hot.select(on)), on, "left_anti").join(right.where(F.col(rows) <= least).select(columns), on)
+    return left.join(F.broadcast(hot), on).unionByName(cold)
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that none of the columns has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def located(df: DataFrame, file: str, row: str) -> DataFrame:
+    """The rows of a frame read from Parquet, with a hash of their file's path and their position in it.
+
+    A frame that isn't a plain read is first written to the shared folder.
+    """
+    try:
+        return _with_position(df, file, row)
+    except AnalysisException:
+        folder = f"{shared_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+        df.write.parquet(folder)
+        return _with_position(df.sparkSession.read.schema(df.schema).parquet(folder), file, row)
+
+
+def _with_position(df: DataFrame, file: str, row: str) -> DataFrame:
+    hidden = df.metadataColumn("_metadata")
+    found = df.select("*", F.xxhash64(hidden["file_path"]).alias(file), hidden["row_index"].alias(row))
+    found.schema  # noqa: B018  (an absent hidden column shows here)
+    return found
+
+
+#: Positions to drop that are sent to the executors at most, 16 bytes each.
+DROPPED = 4_000_000
+
+
+def drop_rows(placed: DataFrame, dropped: DataFrame, columns: list[str], most: int = DROPPED) -> DataFrame:
+    """The rows of a `located` frame, without its two last columns, whose position isn't among the distinct (f, r) of `dropped`.
+
+    Up to `most` positions are broadcast, so rows stay where they are read; more
+    of them are joined by position, which shuffles the rows.
+    """
+    file, row = placed.columns[-2:]
+    if dropped.count() > most:
+        return placed.join(dropped.select(F.col("f").alias(file), F.col("r").alias(row)), [file, row], "left_anti").select(*columns)
+    limit_batches(placed.sparkSession)
+    found = dropped.toArrow()
+    f, r = found.column("f").to_numpy(), found.column("r").to_numpy()
+    order = np.lexsort((r, f))
+    f, r = f[order], r[order]
+    files, starts = np.unique(f, return_index=True)
+    sent = placed.sparkSession.sparkContext.broadcast(dict(zip(files.tolist(), np.split(r, starts[1:]), strict=True)) if len(files) else {})
+    n = len(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, rows = batch.column(n).to_numpy(), batch.column(n + 1).to_numpy()
+            kept = np.ones(len(own), bool)
+            for x in np.unique(own).tolist():
+                if x in sent.value:
+                    kept &= ~((own == x) & np.isin(rows, sent.value[x]))
+            yield pa.RecordBatch.from_arrays(batch.columns[:n], names=batch.schema.names[:n]).filter(pa.array(kept))
+
+    return placed.mapInArrow(run, placed.select(*placed.columns[:n]).schema)
+
+
 def utf8(column: str) -> Column:
     """The text as UTF-8 bytes; null counts as an empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
@@ -123,7 +212,10 @@ def _array(values) -> pa.Array:
 
 
 def limit_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches that Python workers get, by rows and by bytes."""
+    """Bound the Arrow batches that Python workers get, by rows and by bytes.
+
+    Spark reads these settings when a job runs, so they stay set in the session.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 

@@ -9,10 +9,12 @@ benchmark, and each hit is extended to the whole window, compared word by word.
 A shorter item of L words is winnowed with grams of min(5, L) words, so that it
 too is one fingerprint.
 
-The benchmark side is split by hash into blocks of at most about BLOCK_ROWS
-windows; a block is counted before it is sent to the executors.  One block is
-the usual case and needs no shuffle.  Further blocks are further passes over
-the documents, whose hits are then united by document.
+A benchmark of up to BLOCK_ROWS windows, which are counted first, is sent to the
+executors whole, so documents are read once and not shuffled.  A larger one
+stays a table: a bitmap of its fingerprints, of bounded size, is sent, documents
+give the windows whose fingerprint it may hold, and these are joined with the
+benchmark's by fingerprint and window, dealt by a salt so that a passage of very
+many documents doesn't meet in one task.  The driver holds the bitmap only.
 
 Defined results: a null or empty text, or one without words, has no hits and the
 digest of the empty string.  Items without words give no windows.  An item with
@@ -22,8 +24,7 @@ a null id still marks words, but is not listed.  Repeated rows each get a row.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -32,11 +33,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, filter_texts, map_texts
+from .common import checkpointed, drop_rows, filter_texts, fresh, located, map_texts
 
 SPAN, GRAM = 10, 5
-#: Windows in a block of the benchmark, at most some 40 MB in a Python worker.
-BLOCK_ROWS = 200_000
+#: Windows of a benchmark that is sent whole, some 40 MB in a Python worker; bits of a larger one's bitmap at most; and tasks among which a window's hits are dealt.
+BLOCK_ROWS, FILTER_BITS, SALTS = 200_000, 1 << 27, 16
 
 #: Keeps a-z, 0-9 and bytes of other scripts, lower-cases A-Z, and turns the rest to spaces.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -81,8 +82,33 @@ def _winnow(h: np.ndarray, size: int, gram: int) -> np.ndarray:
     return out
 
 
+def _matches(texts: list[bytes], sizes: list[int], gram: int, known: Callable[[int, np.ndarray], np.ndarray]) -> tuple[list[int], list[list[tuple[int, int, bytes]]]]:
+    """For each text its number of words, and (first word, end, window) of every window whose kept hash is known."""
+    per = [words_of(t) for t in texts]
+    counts = np.array([len(w) for w in per], np.int64)
+    out: list[list[tuple[int, int, bytes]]] = [[] for _ in texts]
+    flat = list(chain.from_iterable(per))
+    if flat:
+        h, ends = _hashes(flat), np.cumsum(counts)
+        for size in sizes:
+            if len(flat) < size:
+                continue
+            own = _winnow(h, size, gram)
+            # Neighbouring windows mostly keep the same hash; look each up once.
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            found = known(size, own[first])
+            until = np.r_[first[1:], len(own)]
+            for a, b in zip(first[found].tolist(), until[found].tolist(), strict=True):
+                for s in range(a, b):
+                    d = int(np.searchsorted(ends, s, side="right"))
+                    if s + size <= ends[d]:
+                        base = int(ends[d] - counts[d])
+                        out[d].append((s - base, s - base + size, b" ".join(flat[s : s + size])))
+    return counts.tolist(), out
+
+
 class Block:
-    """A bounded part of the benchmark's windows: {size: (sorted fingerprints, {window: item ids})}."""
+    """A bounded benchmark's windows: {size: (sorted fingerprints, {window: item ids})}."""
 
     def __init__(self, rows: list[tuple[bytes, str | None]], gram: int = GRAM):
         self.gram = gram
@@ -91,38 +117,28 @@ class Block:
             items = by_size.setdefault(window.count(b" ") + 1, {}).setdefault(window, set())
             if item is not None:
                 items.add(item)
-        self.sizes = {}
-        for size, known in by_size.items():
-            kept = np.array([_winnow(_hashes(w.split(b" ")), size, gram)[0] for w in known], np.uint64)
-            self.sizes[size] = np.unique(kept), known
+        self.sizes = {size: (np.unique(np.array([_fingerprint(w, gram) for w in known], np.uint64)), known) for size, known in by_size.items()}
+
+    def _known(self, size: int, own: np.ndarray) -> np.ndarray:
+        kept = self.sizes[size][0]
+        return kept[np.minimum(np.searchsorted(kept, own), len(kept) - 1)] == own
 
     def scan(self, texts: list[bytes]) -> tuple[list[int], list[list[tuple[int, int]]], list[set[str]]]:
         """For each text its number of words, its hits as (first word, end), and the items hit."""
-        per = [words_of(t) for t in texts]
-        counts = np.array([len(w) for w in per], np.int64)
+        counts, found = _matches(texts, list(self.sizes), self.gram, self._known)
         hits: list[list[tuple[int, int]]] = [[] for _ in texts]
         items: list[set[str]] = [set() for _ in texts]
-        flat = list(chain.from_iterable(per))
-        if not flat:
-            return counts.tolist(), hits, items
-        h, ends = _hashes(flat), np.cumsum(counts)
-        for size, (kept, known) in self.sizes.items():
-            if len(flat) < size:
-                continue
-            own = _winnow(h, size, self.gram)
-            # Neighbouring windows mostly keep the same hash; look each up once.
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            at = np.searchsorted(kept, own[first])
-            found = kept[np.minimum(at, len(kept) - 1)] == own[first]
-            until = np.r_[first[1:], len(own)]
-            for a, b in zip(first[found].tolist(), until[found].tolist(), strict=True):
-                for s in range(a, b):
-                    d = int(np.searchsorted(ends, s, side="right"))
-                    if s + size <= ends[d] and (listed := known.get(b" ".join(flat[s : s + size]))) is not None:
-                        base = int(ends[d] - counts[d])
-                        hits[d].append((s - base, s - base + size))
-                        items[d] |= listed
-        return counts.tolist(), hits, items
+        for d, own in enumerate(found):
+            for a, b, window in own:
+                if (listed := self.sizes[b - a][1].get(window)) is not None:
+                    hits[d].append((a, b))
+                    items[d] |= listed
+        return counts, hits, items
+
+
+def _fingerprint(window: bytes, gram: int) -> int:
+    words = window.split(b" ")
+    return int(_winnow(_hashes(words), len(words), gram)[0])
 
 
 def _covered(hits: list[tuple[int, int]]) -> int:
@@ -156,15 +172,15 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", span: int = SPAN, gram: int = GRAM, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per document: (key, n_words, n_hit, n_items, items_sha256, contaminated)."""
-    block, n_blocks = _blocks(benchmark, item, item_text, span, gram, block_rows)
+    windows = benchmark_windows(benchmark, item, item_text, span)
     kind = docs.schema[key].dataType.simpleString()
-    if n_blocks == 1:
-        sent = block(0)
+    if (sent := _sent(windows, gram, block_rows)) is not None:
         return map_texts(docs, [key], text, lambda texts: _columns(*sent.value.scan(texts)), f"{key} {kind}, {_RESULT}")
-    passes = [_pass(docs, block(b), key, text, b, kind) for b in range(n_blocks)]
-    hits = reduce(DataFrame.unionByName, passes).groupBy("key", "digest").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    counted = map_texts(docs, [F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("digest")], text, lambda texts: [pa.array([len(words_of(t)) for t in texts], pa.int64())], f"key {kind}, digest bigint, n_words bigint")
-    joined = counted.alias("d").join(hits.alias("h"), F.col("d.key").eqNullSafe(F.col("h.key")) & (F.col("d.digest") == F.col("h.digest")), "left").select("d.key", "n_words", F.coalesce("hits", F.array()).alias("hits"), F.coalesce("items", F.array()).alias("items"))
+    # Repeated rows have equal hits, which count once.
+    scanned, hits = _joined(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), [F.col("k").alias("k"), F.xxhash64("t").alias("digest")], f"k {kind}, digest bigint", windows, gram)
+    grouped = hits.groupBy("k", "digest").agg(F.collect_set(F.struct("a", "b")).alias("hits"), F.collect_set("item").alias("items"))
+    same = F.col("d.k").eqNullSafe(F.col("h.k")) & (F.col("d.digest") == F.col("h.digest"))
+    joined = scanned.alias("d").join(grouped.alias("h"), same, "left").select("d.k", "n_words", F.coalesce("hits", F.array()).alias("hits"), F.coalesce("items", F.array()).alias("items"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -174,35 +190,54 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     return joined.mapInArrow(finish, f"{key} {kind}, {_RESULT}")
 
 
-def _blocks(benchmark: DataFrame, item: str, item_text: str, span: int, gram: int, block_rows: int):
-    """A function that sends block b to the executors, and the number of blocks, which the count of windows gives."""
-    windows = benchmark_windows(benchmark, item, item_text, span)
-    n_blocks = max(1, -(-windows.count() // block_rows))
-
-    def block(b: int):
-        part = windows.where(F.pmod(F.xxhash64("window", "item"), F.lit(n_blocks)) == b) if n_blocks > 1 else windows
-        return benchmark.sparkSession.sparkContext.broadcast(Block([(bytes(r.window), r.item) for r in part.collect()], gram))
-
-    return block, n_blocks
-
-
 def keep(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", span: int = SPAN, gram: int = GRAM, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The rows, with all their columns, that share no window with the benchmark."""
-    block, n_blocks = _blocks(benchmark, item, item_text, span, gram, block_rows)
-    for b in range(n_blocks):
-        sent = block(b)
-        clean = filter_texts(docs, text, lambda texts, sent=sent: [not h for h in sent.value.scan(texts)[1]])
-        # One block at a time is in a worker's memory.
-        docs = checkpointed(clean) if b < n_blocks - 1 else clean
-    return docs
-
-
-def _pass(docs: DataFrame, sent, key: str, text: str, b: int, kind: str) -> DataFrame:
-    """Hits of one block by (key, text digest); repeated rows have equal hits and count once."""
+    windows = benchmark_windows(benchmark, item, item_text, span)
+    if (sent := _sent(windows, gram, block_rows)) is not None:
+        return filter_texts(docs, text, lambda texts: [not h for h in sent.value.scan(texts)[1]])
+    file, row = fresh("__file", docs.columns), fresh("__row", docs.columns)
+    placed = located(docs, file, row)
+    _, hits = _joined(placed.select(F.col(file).alias("f"), F.col(row).alias("r"), F.col(text).alias("t")), ["f", "r"], "f bigint, r bigint", windows, gram)
+    return drop_rows(placed, checkpointed(hits.select("f", "r").distinct()), docs.columns)
+
+
+def _sent(windows: DataFrame, gram: int, block_rows: int):
+    """The broadcast block of a benchmark whose windows, counted first, are few enough."""
+    if windows.count() > block_rows:
+        return None
+    return windows.sparkSession.sparkContext.broadcast(Block([(bytes(r.window), r.item) for r in windows.collect()], gram))
+
+
+def _joined(rows: DataFrame, keys: list, schema: str, windows: DataFrame, gram: int) -> tuple[DataFrame, DataFrame]:
+    """(keys, n_words) of all rows of a text column t, and (keys, a, b, item) of their hits, by a join with the table of windows."""
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0).to_pylist()
+            fps = np.array([_fingerprint(w, gram) for w in own], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([w.count(b" ") + 1 for w in own], pa.int32()), pa.array(fps, pa.int64())], names=["window", "item", "size", "fp"])
+
+    table = checkpointed(windows.mapInArrow(index, "window binary, item string, size int, fp bigint"))
+    n = table.count()
+    bits = min(FILTER_BITS, 1 << max(6, (16 * n - 1).bit_length()))
+    sizes = sorted(r.size for r in table.select("size").distinct().collect())
+    # 64 bits a row, so the bitmap that comes to the driver is bounded by FILTER_BITS.
+    slot = F.col("fp").bitwiseAND(F.lit(bits - 1))
+    parts = table.select(F.shiftright(slot, 6).alias("at"), F.expr(f"shiftleft(1L, cast((fp & {min(bits, 64) - 1}) AS int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
+    bitmap = np.zeros(max(1, bits >> 6), np.uint64)
+    bitmap[parts.column("at").to_numpy()] = parts.column("bit").to_numpy().view(np.uint64)
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    def known(_: int, own: np.ndarray) -> np.ndarray:
+        at = own & np.uint64(bits - 1)
+        return (sent.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
     def run(texts: list[bytes]) -> list:
-        _, hits, items = sent.value.scan(texts)
-        return [pa.array([[{"a": x, "b": y} for x, y in h] for h in hits], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
-
-    found = map_texts(docs, [F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("digest")], text, run, f"key {kind}, digest bigint, hits array<struct<a:int;b:int>>, items array<string>".replace(";", ","))
-    return found.where(F.size("hits") > 0).dropDuplicates(["key", "digest"])
+        counts, found = _matches(texts, sizes, gram, known)
+        return [pa.array(counts, pa.int64()), pa.array([[{"a": a, "b": b, "window": w, "fp": int(np.uint64(_fingerprint(w, gram)).view(np.int64))} for a, b, w in own] for own in found], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("window", pa.binary()), ("fp", pa.int64())])))]
+
+    names = [c.split()[0] for c in schema.split(", ")]
+    scanned = checkpointed(map_texts(rows, keys, "t", run, f"{schema}, n_words bigint, found array<struct<a:int,b:int,window:binary,fp:bigint>>"))
+    suspects = scanned.select(*names, F.inline("found"), F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"))
+    dealt = table.select("window", "fp", "item", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return scanned.select(*names, "n_words"), suspects.join(dealt, ["salt", "fp", "window"]).select(*names, "a", "b", "item")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, limit_batches
+from .common import BROADCAST_ROWS, checkpointed, limit_batches, skew_join
 
 #: Bits of a dimension; bytes that a row takes besides its text.
 BITS, ROW_BYTES = 6, 8
@@ -94,11 +94,18 @@ def numbered(rows: DataFrame, order: list[str], weight: str | None = None) -> Da
     return laid.select(*kept, "__weight", "__part").mapInArrow(run, f"{schema}, rank bigint, before bigint")
 
 
-def _ordinals(rows: DataFrame, dimension: str, bits: int) -> DataFrame:
-    """(value, ordinal): the ranks of the distinct values, stretched over the range of `bits` bits."""
-    known = checkpointed(rows.select(dimension).distinct())
-    n = max(1, known.count())
-    return numbered(known, [dimension]).select(F.col(dimension), F.expr(f"cast(rank * {1 << bits} div {n} AS bigint)").alias(f"{dimension}_cell"))
+def _with_ordinal(placed: DataFrame, rows: DataFrame, dimension: str, bits: int, total: int) -> DataFrame:
+    """Add the rank of a dimension's value among its distinct ones, stretched over the range of `bits` bits.
+
+    The distinct values are counted first: few are broadcast, many are joined so
+    that a value of very many rows doesn't meet in one task.
+    """
+    known = checkpointed(rows.groupBy(dimension).agg(F.count("*").alias("__n")))
+    n = known.count()
+    ordinals = numbered(known, [dimension]).select(dimension, "__n", F.expr(f"cast(rank * {1 << bits} div {max(1, n)} AS bigint)").alias(f"{dimension}_cell"))
+    if n <= BROADCAST_ROWS:
+        return placed.join(F.broadcast(ordinals.drop("__n")), dimension)
+    return skew_join(placed, checkpointed(ordinals), dimension, "__n", total)
 
 
 def shards(docs: DataFrame, n_shards: int, dimensions: tuple[str, ...] = ("lang", "source"), key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
@@ -112,9 +119,11 @@ def shards(docs: DataFrame, n_shards: int, dimensions: tuple[str, ...] = ("lang"
     # Text is read once; everything below is narrow.
     rows = checkpointed(rows.withColumn("octave", octave("size")))
     names = [*(f"d{i}" for i in range(len(dimensions))), "octave"]
+    total, n_rows = rows.agg(F.sum("size"), F.count("*")).first()
+    total = max(1, total or 0)
     placed = rows
     for name in names:
-        placed = placed.join(_ordinals(rows, name, bits), name)
+        placed = _with_ordinal(placed, rows, name, bits, n_rows)
     cells = [f"{n}_cell" for n in names]
     limit_batches(docs.sparkSession)
 
@@ -125,7 +134,6 @@ def shards(docs: DataFrame, n_shards: int, dimensions: tuple[str, ...] = ("lang"
 
     kind = docs.schema[key].dataType.simpleString()
     curve = placed.select("k", "size", "text_crc32", "text_hash", *cells).mapInArrow(index, f"k {kind}, size bigint, text_crc32 bigint, text_hash bigint, hilbert bigint")
-    total = max(1, rows.agg(F.sum("size")).first()[0] or 0)
     # Twice the middle of a row's bytes, over twice the total, in shards.
     cut = numbered(curve, ["hilbert", "text_hash", "k"], "size").withColumn("shard", F.expr(f"cast((2 * before + size) * {n_shards}L div {2 * total}L AS int)"))
     starts = cut.groupBy("shard").agg(F.min("rank").alias("start"))

@@ -10,7 +10,9 @@ After six levels at most twelve bits are open, so no bucket holds more than
 each group of links, never all pairs; `graph.components` joins the stars.
 
 Exact copies have one fingerprint and are gathered before the blocks by an
-aggregate with partial results, so that their number never matters there.
+aggregate with partial results.  Where rows are joined with their component
+again, fingerprints and components that hold very many of them are joined apart
+(`common.skew_join`).
 
 Defined results: null and empty texts have no words and the fingerprint zero,
 which links like any other.  Repeated rows each get a row.  A null id never
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, checkpointed, limit_batches, map_texts, raw_texts
+from .common import DROPPED, LOWER_AZ, checkpointed, drop_rows, fresh, limit_batches, located, map_texts, skew_join
 from .graph import components
 
 BITS, DISTANCE = 64, 3
@@ -180,44 +182,36 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     smallest key.
     """
     own = checkpointed(fingerprints(docs, key, text, width))
-    return own.join(_components(own, key), "fp").select(key, "fp", "label", "component_id")
+    return _labelled(own, key).select(key, "fp", "label", "component_id")
 
 
-def _components(own: DataFrame, key: str) -> DataFrame:
-    """(fp, label, component_id) of every distinct fingerprint of (key, fp) rows."""
-    distinct = checkpointed(own.groupBy("fp").agg(F.min(key).alias("least")))
+def _labelled(own: DataFrame, key: str) -> DataFrame:
+    """Rows with a fingerprint, and their (label, component_id)."""
+    distinct = checkpointed(own.groupBy("fp").agg(F.min(key).alias("__least"), F.count("*").alias("__rows")))
+    n, n_rows = distinct.agg(F.count("*"), F.sum("__rows")).first()
     labels = components(links(distinct.select("fp")))
-    labelled = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("label"))
-    least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    return labelled.join(least, "label").select("fp", "label", "component_id")
+    labelled = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "__least", "__rows", F.coalesce("root", "fp").alias("label"))
+    least = labelled.groupBy("label").agg(F.min("__least").alias("component_id"), F.count("*").alias("__fps"))
+    by_fp = skew_join(labelled.select("fp", "label", "__rows"), least, "label", "__fps", n)
+    return skew_join(own, by_fp, "fp", "__rows", n_rows or 0)
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, most: int = DROPPED) -> DataFrame:
     """The row with the smallest key of each component, with all its columns.
 
     Of repeated rows with that key one stays, and of a component of null keys
-    only one row.  Texts are dealt once, by fingerprint and key, so that copies
-    don't meet in one task.
+    only one row.  Each text is fingerprinted once; all decisions are made on
+    narrow rows of key, position in the files and fingerprint.  The files are
+    then read again without the rows to drop (`common.drop_rows`).
     """
-    own = checkpointed(fingerprints(docs, key, text, width))
-    chosen = own.join(_components(own, key), "fp").where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("label").agg(F.min("fp").alias("__fp"), F.first(key).alias("__key"), F.count("*").alias("n"))
-    chosen = checkpointed(chosen)
-    limit_batches(docs.sparkSession)
-    at, schema = docs.columns.index(text), f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema.fields)}, __fp bigint"
-
-    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = pa.array([fingerprint(t, width) for t in raw_texts(batch.column(at))], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, fps], names=[*batch.schema.names, "__fp"])
-
-    tagged = docs.mapInArrow(tag, schema)
-    same = lambda side: (tagged["__fp"] == side["__fp"]) & tagged[key].eqNullSafe(side["__key"])
-    kept = tagged.join(chosen, same(chosen), "left_semi")
-    repeated = chosen.where("n > 1")
-    if not repeated.isEmpty():
-        once = chosen.where("n = 1")
-        kept = tagged.join(once, same(once), "left_semi").unionByName(tagged.join(repeated, same(repeated), "left_semi").dropDuplicates(["__fp", key]))
-    return kept.select(*docs.columns)
+    file, row = fresh("__file", docs.columns), fresh("__row", docs.columns)
+    placed = located(docs, file, row)
+    own = checkpointed(map_texts(placed, [F.col(key).alias("k"), F.col(file).alias("f"), F.col(row).alias("r")], text, lambda texts: [pa.array([fingerprint(t, width) for t in texts], pa.int64())], f"k {docs.schema[key].dataType.simpleString()}, f bigint, r bigint, fp bigint"))
+    labelled = checkpointed(_labelled(own, "k").select("label", "k", "f", "r"))
+    # Nulls come last.
+    first = labelled.groupBy("label").agg(F.min(F.struct(F.col("k").isNull(), "k", "f", "r")).alias("least")).select("least.f", "least.r")
+    dropped = checkpointed(labelled.select("f", "r").join(first, ["f", "r"], "left_anti"))
+    return drop_rows(placed, dropped, docs.columns, most)
 
 
 def hex_fingerprint(column: str = "fp"):

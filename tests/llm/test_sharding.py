@@ -64,3 +64,13 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, lang string, source string, text string, shard int")
     check(S.shards(docs, 3).collect(), brute([r[:4] for r in rows], 3), 3)
     assert S.shards(docs.limit(0), 3).count() == 0
+
+
+def test_many_values_of_a_dimension(spark, sf, monkeypatch):
+    """Beyond what is broadcast, ordinals are joined, hot values apart."""
+    from folioscope.llm import common
+
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    docs = table(spark, sf, "documents")
+    check(S.shards(docs, 24).collect(), brute([(r.doc_id, r.lang, r.source, r.text) for r in docs.collect()], 24), 24)

@@ -93,3 +93,21 @@ def test_odd_rows(spark):
     assert [g for g in got if g[2] == ab] == [(False, 4, ab, 4), (False, 4, ab, 4), (True, 0, ab, 4)]
     assert [g[3] for g in got if g[0] and g[2] != ab] == [None]
     assert S.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_hot_keys_are_joined_apart(spark, monkeypatch):
+    from folioscope.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    left = spark.range(300).selectExpr("CASE WHEN id < 200 THEN 1 ELSE id END AS k", "id AS x")
+    right = left.groupBy("k").count().selectExpr("k", "k * 2 AS twice", "count AS n").where("k <> 250")
+    joined = common.skew_join(left, right, "k", "n", 300)
+    assert sorted(map(tuple, joined.select("k", "x", "twice").collect())) == sorted((k, x, 2 * k) for k, x in left.collect() if k != 250)
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    # A hub with many leaves, and its leaves' chains.
+    edges = spark.createDataFrame([(0, i) for i in range(1, 60)] + [(i, 100 + i) for i in range(1, 60)] + [(500, 501)], "u bigint, v bigint")
+    roots = {r.node: r.root for r in graph.components(edges).collect()}
+    assert roots == {i: 0 for i in [*range(60), *range(101, 160)]} | {500: 500, 501: 500}
+    docs = spark.createDataFrame([(i, "the same words again" if i % 3 else f"text {i} of its own kind {i}") for i in range(90)], "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in S.near_duplicates(docs).collect()}
+    assert got == brute_components({i: brute_fingerprint(t) for i, t in docs.collect()})
