@@ -7,14 +7,13 @@ return the columns of documents.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.llm import decontaminate, quality_classifier, quality_rules, sentencepiece, simhash
-from folioscope.llm.common import table, tokenizer_path
+from folioscope.llm.common import shared_folder, table, tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -58,13 +57,23 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; what passes between stages lies in the cluster's shared folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="folioscope-pipeline-")
-    folder = f"{shared}/pipeline-{uuid.uuid4().hex}"
+    """The last stage's rows; what passes between stages lies in the cluster's shared folder.
+
+    A stage's folder is removed once the next one's is written; the last stage
+    is read lazily, so the folder that it reads stays.
+    """
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs.write.parquet(f"{folder}/{i}")
             docs = spark.read.parquet(f"{folder}/{i}")
+            if i:
+                _remove(spark, f"{folder}/{i - 1}")
     return docs
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
