@@ -6,6 +6,7 @@ import hashlib
 import json
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,19 @@ def fingerprint(document: str, digits: int = 64) -> str:
     return hashlib.sha256(json.dumps(json.loads(document), sort_keys=True, ensure_ascii=False).encode()).hexdigest()[:digits]
 
 
+def _try_fingerprint(document: str | None) -> str | None:
+    try:
+        return None if document is None else fingerprint(document)
+    except ValueError:
+        return None
+
+
 @F.pandas_udf(T.StringType())
 def json_fingerprint(documents: pd.Series) -> pd.Series:
-    return documents.map(lambda d: None if d is None else fingerprint(d))
+    """Fingerprints; null for null and for what isn't JSON, which `json_problem` tells apart."""
+    return pd.Series([_try_fingerprint(d) for d in documents], dtype=object)
+
+
+def json_problem(document: Column, prints: Column) -> Column:
+    """'invalid' where a document gave no fingerprint, 'missing' where there is none, else null."""
+    return F.when(document.isNull(), "missing").when(prints.isNull(), "invalid")

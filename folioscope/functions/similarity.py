@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from os.path import commonprefix
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,12 +14,16 @@ from pyspark.sql import types as T
 BLOCK, LONG, WINDOWS, WINDOW, DIFF_CHARS, CONTEXT = 8_000, 100_000, 5, 4_000, 40_000, 60
 
 
-def ratio(a: str, b: str) -> float:
-    """1 for equal texts; else the mean of positional blocks, weighted by length, or of five windows of very long texts."""
+def ratio(a: str, b: str, whole: bool = False) -> float:
+    """1 for equal texts; else the mean of positional blocks, weighted by length, or of five windows of very long texts.
+
+    With `whole` very long texts are compared by all their blocks too, in time
+    that grows with their length.
+    """
     if a == b:
         return 1.0
     size = max(len(a), len(b))
-    if size <= LONG:
+    if size <= LONG or whole:
         pieces = [(a[i : i + BLOCK], b[i : i + BLOCK]) for i in range(0, size, BLOCK)]
         weights = [max(len(x), len(y)) for x, y in pieces]
     else:
@@ -28,20 +34,44 @@ def ratio(a: str, b: str) -> float:
     return sum(s * w for s, w in zip(scores, weights, strict=True)) / sum(weights)
 
 
-def difference(a: str, b: str) -> dict[str, str | None]:
-    """The first differing stretch of both texts with its surroundings; null for equal or too long texts."""
-    if a != b and len(a) + len(b) <= DIFF_CHARS:
-        for kind, i, j, k, m in SequenceMatcher(None, a, b).get_opcodes():
+def difference(a: str, b: str, whole: bool = False) -> dict[str, str | None]:
+    """The first differing stretch of both texts with its surroundings; null for equal or too long texts.
+
+    With `whole` texts of any length have one: what they share at the start is
+    stepped over, and the matcher sees the DIFF_CHARS / 2 characters after it.
+    """
+    at = 0
+    if whole and len(a) + len(b) > DIFF_CHARS:
+        at = max(0, len(commonprefix([a, b])) - CONTEXT)
+        a_part, b_part = a[at : at + DIFF_CHARS // 2], b[at : at + DIFF_CHARS // 2]
+    elif len(a) + len(b) <= DIFF_CHARS:
+        a_part, b_part = a, b
+    else:
+        return {"left": None, "right": None}
+    if a != b:
+        for kind, i, j, k, m in SequenceMatcher(None, a_part, b_part).get_opcodes():
             if kind != "equal":
+                i, j, k, m = i + at, j + at, k + at, m + at
                 return {"left": a[max(0, i - CONTEXT) : j + CONTEXT], "right": b[max(0, k - CONTEXT) : m + CONTEXT]}
     return {"left": None, "right": None}
 
 
-@F.pandas_udf(T.DoubleType())
-def text_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+def sampled(a: Column, b: Column) -> Column:
+    """Whether windows stand for two texts in `text_ratio` without `whole`."""
+    return (a != b) & (F.greatest(F.length(a), F.length(b)) > LONG)
+
+
+def text_ratio(a: str | Column, b: str | Column, whole: bool = False) -> Column:
+    @F.pandas_udf(T.DoubleType())
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else ratio(x, y, whole) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    return run(a, b)
+
 
+def first_difference(a: str | Column, b: str | Column, whole: bool = False) -> Column:
+    @F.pandas_udf(T.StructType([T.StructField("left", T.StringType()), T.StructField("right", T.StringType())]))
+    def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([difference(x or "", y or "", whole) for x, y in zip(a, b, strict=True)], columns=["left", "right"])
 
-@F.pandas_udf(T.StructType([T.StructField("left", T.StringType()), T.StructField("right", T.StringType())]))
-def first_difference(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([difference(x or "", y or "") for x, y in zip(a, b, strict=True)], columns=["left", "right"])
+    return run(a, b)

@@ -24,9 +24,7 @@ def _any(words: list[str]) -> str:
 def annotation_event(line: Column) -> Column:
     """1 where an annotation block may start, 0 at a structural line, else null."""
     plain = fold(line)
-    marker = plain.rlike(rf"(?U)^\s*\**\s*({'|'.join(re.escape(a).replace(chr(92) + ' ', ' ').replace(' ', chr(92) + 's+') if a.startswith('texto del') else a for a in fixed.ANNOTATIONS)})\s*:?\s*\**$")
-    structural = plain.rlike(r"(?U)^\s*(#{1,4}\s|\**\s*articulo\s+(\d|nuevo)\b|\**\s*(titulo|capitulo|seccion|paragrafo)\b)")
-    return F.when(structural, 0).when(marker, 1)
+    return F.when(plain.rlike(fixed.STRUCTURAL), 0).when(plain.rlike(fixed.ANNOTATION), 1)
 
 
 def outside_annotations(rows: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.similarity import first_difference, text_ratio
+from ..functions.similarity import first_difference, sampled, text_ratio
 from ..functions.text import flat, fold_ordinal, norm_key
 
 # An article's header, also with ordinal signs, and the ratio from which texts are near.
@@ -40,24 +40,25 @@ def exact(corpus: DataFrame, source: DataFrame, doc: str) -> DataFrame:
     return own(corpus).join(own(source), [doc, "key", "h"]).select(doc, "key").distinct()
 
 
-def compare(corpus: DataFrame, source: DataFrame, doc: str, near: float = NEAR) -> DataFrame:
-    """(doc, key, state, ratio, left, right) of every article of the corpus.
+def compare(corpus: DataFrame, source: DataFrame, doc: str, near: float = NEAR, whole: bool = False) -> DataFrame:
+    """(doc, key, state, ratio, left, right, sampled) of every article of the corpus.
 
-    Only articles without an exact pair reach the matcher.  Of several pairs of
-    copies the best counts, and the first of equals.
+    Only articles without an exact pair reach the matcher, and of copies with
+    the same text only the first.  Of several pairs of copies the best counts,
+    and the first of equals.  sampled says that windows stood for a very long
+    text; with `whole` they never do.
     """
     keys = corpus.select(doc, "key").distinct()
     same = exact(corpus, source, doc).withColumn("same", F.lit(True))
     rest = corpus.join(same, [doc, "key"], "left_anti")
-    a = rest.select(doc, "key", F.col("copy_no").alias("i"), fold_ordinal("text").alias("a"))
-    b = source.select(doc, "key", F.col("copy_no").alias("j"), fold_ordinal("text").alias("b"))
-    pairs = a.join(b, [doc, "key"]).withColumn("ratio", text_ratio("a", "b"))
+    copies = lambda s, i, x: s.select(doc, "key", "copy_no", fold_ordinal("text").alias(x)).groupBy(doc, "key", x).agg(F.min("copy_no").alias(i))
+    pairs = copies(rest, "i", "a").join(copies(source, "j", "b"), [doc, "key"]).withColumn("ratio", text_ratio("a", "b", whole))
     order = F.struct((-F.col("ratio")).alias("r"), "i", "j")
     best = pairs.groupBy(doc, "key").agg(F.max("ratio").alias("ratio"), F.min_by("a", order).alias("a"), F.min_by("b", order).alias("b"))
-    shown = best.select(doc, "key", "ratio", first_difference("a", "b").alias("__diff"))
+    shown = best.select(doc, "key", "ratio", first_difference("a", "b", whole).alias("__diff"), (sampled(F.col("a"), F.col("b")) & F.lit(not whole)).alias("__sampled"))
     joined = keys.join(same, [doc, "key"], "left").join(shown, [doc, "key"], "left")
     state = F.when(F.col("same"), "exacto").when(F.col("ratio").isNull(), "ausente_en_fuente").when(F.col("ratio") >= near, "casi").otherwise("divergente")
-    return joined.select(doc, "key", state.alias("state"), F.round(F.when(F.col("same"), 1.0).otherwise(F.col("ratio")), 4).alias("ratio"), "__diff.left", "__diff.right")
+    return joined.select(doc, "key", state.alias("state"), F.round(F.when(F.col("same"), 1.0).otherwise(F.col("ratio")), 4).alias("ratio"), "__diff.left", "__diff.right", F.coalesce("__sampled", F.lit(False)).alias("sampled"))
 
 
 def summary(report: DataFrame, docs: DataFrame, doc: str, strict: bool = True) -> DataFrame:

@@ -88,21 +88,22 @@ def answer_rules(answers: DataFrame, not_applicable: DataFrame, objectives: Data
 def merge_log(log: DataFrame) -> DataFrame:
     """(task, campo, valor, n_evidence, n_writes): fields after a log (task, seq, campo, valor, accepted).
 
-    The last accepted entry of a field wins, and all accepted ones are evidence.
+    The last accepted entry of a field wins, among those of one seq the greatest
+    value, and all accepted ones are evidence.
     """
     kept = log.where("accepted")
-    return kept.groupBy("task", "campo").agg(F.max_by("valor", "seq").alias("valor"), F.countDistinct("valor").alias("n_evidence"), F.count("*").alias("n_writes"))
+    return kept.groupBy("task", "campo").agg(F.max_by("valor", F.struct("seq", "valor")).alias("valor"), F.countDistinct("valor").alias("n_evidence"), F.count("*").alias("n_writes"))
 
 
 def apply_corrections(fields: DataFrame, corrections: DataFrame, seq: str | None = None) -> DataFrame:
     """(task, campo, valor, before, corrected) after batches of corrections (batch, task, campo, valor, cita, ref_ok).
 
     A batch is applied as a whole or not at all: one blank value, malformed
-    citation or lacking reference rejects it.  Later batches win, and in a batch
-    the later entry by the column `seq`, which batches with a field twice need.
+    citation or lacking reference rejects it.  Later batches win, in a batch the
+    later entry by the column `seq`, and among those the greatest value.
     """
     valid = corrections.groupBy("batch").agg(F.bool_and(~is_blank("valor") & F.coalesce(parse_citation("cita")[0].isNotNull() & F.col("ref_ok"), F.lit(False))).alias("whole")).where("whole").select("batch")
-    final = corrections.join(valid, "batch", "left_semi").groupBy("task", "campo").agg(F.max_by("valor", F.struct(*["batch", *([seq] if seq else [])])).alias("after"))
+    final = corrections.join(valid, "batch", "left_semi").groupBy("task", "campo").agg(F.max_by("valor", F.struct("batch", *([seq] if seq else []), "valor")).alias("after"))
     joined = fields.select("task", "campo", F.col("valor").alias("before")).join(final, ["task", "campo"], "full_outer")
     return joined.select("task", "campo", F.coalesce("after", "before").alias("valor"), "before", F.col("after").isNotNull().alias("corrected"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import flat, fold, is_blank
-from ..sources.corpus import lines, pattern_problem
+from ..sources.corpus import is_pattern, lines
 
 #: Fixed values of the case format.
 CITATION = r"^([^\n]+?\.md)#L(\d+)(?:-L(\d+))?$"
@@ -36,15 +36,16 @@ def parse_citation(x: str) -> list[Column]:
 def cited(claims: DataFrame, docs: DataFrame, name: str = "filename", text: str = "text") -> DataFrame:
     """Claims (id, cita, verbatim) with what they cite: file, l1, l2, n_lines and the lines' text joined by line feeds.
 
-    The join is by file; a document's lines stay an array, of which a slice is taken.
+    Each distinct span is put together once from its numbered lines, by a join
+    on file and line, and then joined with the claims that cite it.
     """
     parsed = claims.select("id", "cita", "verbatim", *parse_citation("cita"))
-    files = docs.select(F.col(name).alias("file"), F.split(F.col(text), "\n").alias("lines"))
-    joined = parsed.join(files, "file", "left")
-    n = F.when(F.col("lines").isNotNull(), F.size("lines")).cast("bigint")
-    good = (F.col("l1") >= 1) & (F.col("l1") <= F.col("l2")) & (F.col("l2") <= n)
-    span = F.when(good, F.array_join(F.slice("lines", F.greatest(F.col("l1"), F.lit(1)).cast("int"), F.greatest(F.col("l2") - F.col("l1") + 1, F.lit(0)).cast("int")), "\n"))
-    return joined.select("id", "cita", "verbatim", "file", "l1", "l2", n.alias("n_lines"), span.alias("span"))
+    own = docs.select(F.col(name).alias("file"), F.col(text).alias("text")).join(parsed.select("file").distinct(), "file", "left_semi")
+    sizes = own.select("file", F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"))
+    spans = parsed.select("file", "l1", "l2").distinct().join(sizes, "file").where("l1 >= 1 AND l1 <= l2 AND l2 <= n_lines")
+    wanted = spans.select("file", "l1", "l2", F.explode(F.sequence("l1", "l2")).alias("line_no"))
+    found = wanted.join(lines(own, "file"), ["file", "line_no"]).groupBy("file", "l1", "l2").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("span"))
+    return parsed.join(sizes, "file", "left").join(found, ["file", "l1", "l2"], "left").select("id", "cita", "verbatim", "file", "l1", "l2", "n_lines", "span")
 
 
 def check_citations(claims: DataFrame, docs: DataFrame, strict: bool = False, name: str = "filename", text: str = "text") -> DataFrame:
@@ -62,10 +63,25 @@ def check_citations(claims: DataFrame, docs: DataFrame, strict: bool = False, na
 
 
 def check_counts(cases: DataFrame, docs: DataFrame, name: str = "filename", text: str = "text") -> DataFrame:
-    """(id, n_found, ok): lines of the named file whose folded form has the pattern, against the expected value."""
+    """(id, n_found, ok): lines of the named file whose folded form has the pattern, against the expected value.
+
+    A pattern that can't be compiled, or a file that isn't there, has no count
+    and isn't ok; `count_problems` says which.
+    """
     rows = cases.select("id", "norma", "valor", "patron").join(docs.select(F.col(name).alias("norma"), F.split(F.col(text), "\n").alias("lines")), "norma", "left")
-    n = F.size(F.filter(F.coalesce("lines", F.array()), lambda x: F.rlike(fold(x), F.concat(F.lit("(?i)"), F.col("patron"))))).cast("bigint")
-    return rows.select("id", n.alias("n_found")).join(cases.select("id", "valor"), "id").select("id", "n_found", (F.col("n_found").cast("string") == F.col("valor")).alias("ok"))
+    good = is_pattern(F.col("patron"))
+    # What is never matched stands in for what can't be compiled.
+    pattern = F.concat(F.lit("(?i)"), F.when(good, F.col("patron")).otherwise("(?!)"))
+    n = F.when(good & F.col("lines").isNotNull(), F.size(F.filter(F.coalesce("lines", F.array()), lambda x: F.rlike(fold(x), pattern))).cast("bigint"))
+    counted = rows.select("id", "valor", n.alias("n_found"))
+    return counted.select("id", "n_found", F.coalesce(F.col("n_found").cast("string") == F.col("valor"), F.lit(False)).alias("ok"))
+
+
+def count_problems(cases: DataFrame, docs: DataFrame, name: str = "filename") -> DataFrame:
+    """(id, problem) of counts and absences that can't be checked: invalid_pattern or no_such_file."""
+    rows = cases.select("id", "norma", "patron").join(docs.select(F.col(name).alias("norma"), F.lit(True).alias("there")).distinct(), "norma", "left")
+    problem = F.when(~is_pattern(F.col("patron")), "invalid_pattern").when(F.col("there").isNull(), "no_such_file")
+    return rows.select("id", problem.alias("problem")).where("problem IS NOT NULL")
 
 
 def pattern_counts(rows: DataFrame, text: str, patterns: list[str]) -> DataFrame:
@@ -87,11 +103,18 @@ def check_absent_in_files(cases: DataFrame, docs: DataFrame, name: str = "filena
 
 def check_absent(rows: DataFrame, text: str, patterns: list[str]) -> DataFrame:
     """(pattern, n, ok) over all rows, or a problem for patterns that can't be compiled."""
-    bad = {p: pattern_problem(p) for p in patterns}
-    good = pattern_counts(rows, text, [p for p in patterns if not bad[p]]).withColumn("problem", F.lit(None).cast("string"))
-    for p in (p for p in patterns if bad[p]):
-        good = good.unionByName(rows.sparkSession.createDataFrame([(p, None, bad[p])], "pattern string, n bigint, problem string"))
-    return good.select("pattern", "n", (F.col("problem").isNull() & (F.col("n") == 0)).alias("ok"), "problem")
+    spark = rows.sparkSession
+    vetted = spark.createDataFrame([(p,) for p in patterns], "pattern string").withColumn("fine", is_pattern(F.col("pattern"))).collect() if patterns else []
+    bad = [r.pattern for r in vetted if not r.fine]
+    found = spark.createDataFrame([(p, None, "invalid_pattern") for p in bad], "pattern string, n bigint, problem string")
+    if good := [r.pattern for r in vetted if r.fine]:
+        found = pattern_counts(rows, text, good).withColumn("problem", F.lit(None).cast("string")).unionByName(found)
+    return found.select("pattern", "n", (F.col("problem").isNull() & F.coalesce(F.col("n") == 0, F.lit(False))).alias("ok"), "problem")
+
+
+def pattern_examples(rows: DataFrame, key: str, text: str, pattern: str, most: int = 5) -> DataFrame:
+    """(key, line_no) of the first few rows (key, line_no, text) whose folded text has a pattern; what a failed absence shows."""
+    return rows.where(fold(text).rlike(f"(?i){pattern}")).select(key, "line_no").orderBy(key, "line_no").limit(most)
 
 
 def structure_profile(docs: DataFrame, key: str, text: str = "text", patterns: dict[str, str] | None = None) -> DataFrame:

@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import TOKEN, fold, tokens
 
 
-def document_frequency(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(token, df, tf): documents that hold a token, and its occurrences.
+#: Terms that a scan takes to every row as a literal, counted first; more of them are joined.
+LITERAL_TERMS = 5_000
 
-    Distinct tokens of a document are found in its own row, so one shuffle by
-    token, of partial sums, is all there is.
-    """
-    own = docs.select(tokens(text).alias("own"))
-    marked = lambda x, d, n: F.transform(x, lambda t: F.struct(t.alias("token"), F.lit(d).cast("bigint").alias("d"), F.lit(n).cast("bigint").alias("n")))
-    rows = own.select(F.explode(F.concat(marked(F.col("own"), 0, 1), marked(F.array_distinct("own"), 1, 0))).alias("x")).select("x.*")
-    return rows.groupBy("token").agg(F.sum("d").alias("df"), F.sum("n").alias("tf"))
+
+def postings(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(token, key, tf): the index of whole documents."""
+    return docs.select(key, F.explode(tokens(text)).alias("token")).groupBy("token", key).agg(F.count("*").alias("tf"))
+
+
+def write_postings(docs: DataFrame, key: str, path: str, text: str = "text") -> None:
+    """Store the index once, in files sorted by token, for all searches that follow."""
+    postings(docs, key, text).sortWithinPartitions("token").write.mode("overwrite").parquet(path)
+
+
+def frequencies(posted: DataFrame) -> DataFrame:
+    """(token, df, tf) from an index: documents that hold a token, and its occurrences."""
+    return posted.groupBy("token").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
+
+
+def document_frequency(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(token, df, tf) from the texts themselves."""
+    return frequencies(postings(docs, key, text))
 
 
 def rare(df: DataFrame, low: int = 1, high: int = 8) -> DataFrame:
@@ -32,25 +44,78 @@ def search_and(postings: DataFrame, queries: DataFrame, keys: list[str]) -> Data
     return hits.join(sizes, "q").where("n = n_terms").select("q", *keys)
 
 
+def _held(rows: DataFrame, own: str, terms: DataFrame, column: str) -> DataFrame:
+    """Rows with each of the terms that their array `own` holds, as a further column.
+
+    Few terms, which are counted, go to the rows as a literal, so that only those
+    found are exploded; many are joined.
+    """
+    found = [r[0] for r in terms.select(column).distinct().limit(LITERAL_TERMS + 1).collect()]
+    if len(found) <= LITERAL_TERMS:
+        wanted = F.array(*map(F.lit, sorted(x for x in found if x is not None))).cast("array<string>")
+        return rows.withColumn(column, F.explode(F.array_intersect(own, wanted)))
+    return rows.withColumn(column, F.explode(own)).join(terms.select(column).distinct(), column)
+
+
 def search_scan(docs: DataFrame, queries: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(q, key) by the token sets of the texts themselves, without an index.
 
-    A query is tested only on texts that hold its first term, by a hash join.
+    A query is tested only on texts that hold its first term.
     """
     per = queries.groupBy("q").agg(F.array_sort(F.collect_set("token")).alias("terms")).withColumn("lead", F.col("terms")[0])
     sets = docs.select(key, F.array_distinct(tokens(text)).alias("own"))
-    near = sets.select(key, F.explode("own").alias("lead")).join(per, "lead").select("q", key, "terms")
-    return near.join(sets, key).where(F.size(F.array_except("terms", "own")) == 0).select("q", key)
+    near = _held(sets, "own", per, "lead").join(per, "lead")
+    return near.where(F.size(F.array_except("terms", "own")) == 0).select("q", key)
 
 
 def term_scan(docs: DataFrame, terms: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(term, key) by whole-word search in the folded text itself.
+    """(term, key) by whole-word search in the folded text itself, terms being folded."""
+    folded = docs.select(key, fold(text).alias("folded"))
+    return _whole_words(folded, "folded", terms, key)
+
+
+def raw_scan(docs: DataFrame, terms: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(term, key) by whole-word search in the raw text, upper and lower case alike, accents not; for ASCII terms."""
+    raw = docs.select(key, F.lower(text).alias("raw"))
+    return _whole_words(raw, "raw", terms.where(is_ascii("term")).select(F.lower("term").alias("term")), key)
+
+
+def _whole_words(rows: DataFrame, text: str, terms: DataFrame, key: str) -> DataFrame:
+    """Candidates come from the distinct tokens; each is then searched, any character of it by itself."""
+    own = rows.withColumn("own", F.array_distinct(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))))
+    quoted = F.regexp_replace("term", r"([^\w\s])", r"\\$1")
+    return _held(own, "own", terms, "term").where(F.rlike(F.col(text), F.concat(F.lit(r"(?U)\b"), quoted, F.lit(r"\b")))).select("term", key)
+
 
-    Candidates come from a hash join on distinct tokens; each is then searched.
+def is_ascii(term: str) -> Column:
+    """Whether a term has ASCII characters only."""
+    return F.coalesce(F.col(term).rlike(r"^[\x00-\x7F]*$"), F.lit(False))
+
+
+def files_of_all(scanned: DataFrame, queries: DataFrame, key: str) -> DataFrame:
+    """(q, key) of texts in which a scan (term, key) found all terms of a query: the terms' sets of files intersected."""
+    return search_and(scanned.withColumnRenamed("term", "token"), queries, [key])
+
+
+def differential(queries: DataFrame, hits: DataFrame, brute: DataFrame, scanned: DataFrame, key: str, least: int = 15) -> DataFrame:
+    """One row of the whole control: index against token scan (C1), and against whole words of the raw text (C2).
+
+    (n_queries, c1_agree, c2_queries, c2_agree, dispersed, passed).  C2 takes
+    queries of ASCII terms only, and asks that hits lie within what the raw scan
+    (term, key) found; what that found beyond them is only counted, as dispersed.
+    No C2 queries don't fail the control; too few queries do.
     """
-    folded = docs.select(key, fold(text).alias("folded"))
-    near = folded.select(key, F.explode(F.array_distinct(F.regexp_extract_all("folded", F.lit(TOKEN), F.lit(0)))).alias("term")).join(terms.select("term").distinct(), "term")
-    return near.join(folded, key).where(F.expr(r"folded rlike concat('(?U)\\b\\Q', term, '\\E\\b')")).select("term", key)
+    asked = queries.groupBy("q").agg(F.bool_and(is_ascii("token")).alias("ascii"))
+    plain = asked.where("ascii").select("q")
+    found = files_of_all(scanned, queries.join(plain, "q", "left_semi"), key)
+    own = hits.join(plain, "q", "left_semi")
+    c1 = disagreement(hits, brute, ["q", key]).select("q").distinct().withColumn("c1", F.lit(1))
+    c2 = own.join(found, ["q", key], "left_anti").select("q").distinct().withColumn("c2", F.lit(1))
+    dispersed = found.join(own, ["q", key], "left_anti").agg(F.count("*").alias("dispersed"))
+    rows = asked.join(c1, "q", "left").join(c2, "q", "left")
+    totals = rows.agg(F.count("*").alias("n_queries"), (F.count("*") - F.count("c1")).alias("c1_agree"), F.count_if("ascii").alias("c2_queries"), (F.count_if("ascii") - F.count("c2")).alias("c2_agree"))
+    passed = (F.col("n_queries") >= least) & (F.col("c1_agree") == F.col("n_queries")) & (F.col("c2_agree") == F.col("c2_queries"))
+    return totals.join(dispersed).select("*", passed.alias("passed"))
 
 
 def outside_scan(hits: DataFrame, scanned: DataFrame, queries: DataFrame, key: str) -> DataFrame:

@@ -133,6 +133,7 @@ def record_schema(elements: DataFrame) -> DataFrame:
 
 
 #: SQL types of the fields' kinds.
+# Column types by field type.
 SQL_TYPES = {"checkbox": "BOOLEAN", "texto": "TEXT", "numero": "NUMERIC", "fecha": "DATE", "lista": "TEXT", "formula": "TEXT", "tabla": "TEXT"}
 
 

@@ -6,6 +6,8 @@ them, in Spark and in SQL alike.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[DataFrame, str], None], what: str = "index") -> str:
+    """The folder of what `write` has made of a table, made anew when session, folder or the table's files change.
+
+    It lies in the cluster's shared folder; a session without one that isn't
+    local is refused.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    state = files.getFileStatus(hadoop).getModificationTime(), files.getContentSummary(hadoop).getLength()
+    made = (spark.sparkContext.applicationId, path, what, *state)
+    if made not in _STORED:
+        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        if not shared and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"{shared or tempfile.mkdtemp(prefix='folioscope-stored-')}/{what}-{uuid.uuid4().hex}"
+        write(table(spark, sf_dir, name), folder)
+        _STORED[made] = folder
+    return _STORED[made]
+
+
 #: SQL of folding, of collapsing white space, and of a document's file name.
 FOLD, FLAT = "lower(strip_accents({}))", r"trim(regexp_replace({}, '\s+', ' ', 'g'))"
 NAME = "'doc-' || lpad(CAST(doc_id AS VARCHAR), 10, '0') || '.md'"

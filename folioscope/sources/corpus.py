@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 import os
-import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 MANIFEST = "format_version int, algorithm string, scope string, created_at string, file_count int, total_bytes bigint, set_hash string, files map<string, struct<sha256:string, bytes:bigint>>"
 
 
@@ -98,10 +99,6 @@ def write_index(docs: DataFrame, chunks: DataFrame, postings: DataFrame, meta: D
     meta.write.mode("overwrite").parquet(f"{path}/meta")
 
 
-def pattern_problem(pattern: str) -> str | None:
-    """Why a user's pattern can't be compiled, if it can't."""
-    try:
-        re.compile(pattern)
-    except re.error as error:
-        return str(error)
-    return None
+def is_pattern(pattern: Column) -> Column:
+    """Whether Java's engine, which will run a user's pattern, can compile it; blank ones and null can't be meant."""
+    return F.coalesce(strip(pattern) != "", F.lit(False)) & F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), pattern).isNotNull()

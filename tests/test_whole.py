@@ -1,4 +1,4 @@
-"""Queries without a subset cover every document; rules and inputs that the subsets never met."""
+"""Queries cover every document; rules and inputs that a subset never meets."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,12 +16,12 @@ def files(spark, sf):
 
 
 def test_cleaning_covers_every_document(spark, sf):
-    seen = catalogue.QUERIES["clean_markdown_all"](spark, sf).select("filename").distinct().collect()
+    seen = catalogue.QUERIES["clean_markdown"](spark, sf).select("filename").distinct().collect()
     assert {r.filename for r in seen} == files(spark, sf)
 
 
 def test_records_cover_every_document(spark, sf):
-    assert catalogue.QUERIES["evidence_coverage_all"](spark, sf).count() == docs(spark, sf).count()
+    assert catalogue.QUERIES["evidence_coverage"](spark, sf).count() == docs(spark, sf).count()
 
 
 def test_a_record_without_evidence_breaks_a_rule(spark):
@@ -30,7 +30,7 @@ def test_a_record_without_evidence_breaks_a_rule(spark):
     assert [tuple(r) for r in R.presence_rules(meta, evidence).collect()] == [(2, "V3:empty_evidence", "b")]
 
 
-@pytest.mark.parametrize("name", ["gold_citation_all", "gold_citation_strict_all", "gold_count_all", "gold_absent_file_all"])
+@pytest.mark.parametrize("name", ["gold_citation", "gold_citation_strict", "gold_count", "gold_absent_file"])
 def test_gold_cases_cover_every_document(spark, sf, name):
     ids = {r.id for r in catalogue.QUERIES[name](spark, sf).select("id").collect()}
     assert ids == {r.doc_id for r in docs(spark, sf).select("doc_id").collect()}
@@ -39,15 +39,15 @@ def test_gold_cases_cover_every_document(spark, sf, name):
 def test_decoding_keeps_texts_beyond_latin_1(spark, tmp_path):
     texts = ["plain", "se\u00f1or", "\u201cquoted\u201d", "10 \u20ac", "a", "se\u00f1al"]
     spark.createDataFrame([(5 * i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    rows = catalogue.QUERIES["decode_lossless_all"](spark, str(tmp_path)).orderBy("filename").collect()
+    rows = catalogue.QUERIES["decode_lossless"](spark, str(tmp_path)).orderBy("filename").collect()
     assert [r.encoding for r in rows] == ["utf-8", "latin-1", "utf-8", "utf-8", "utf-8", "latin-1"]
     assert all(r.reversible for r in rows)
 
 
 def test_repairs_and_deliveries_reach_documents_of_every_id(spark, sf):
-    glued = catalogue.QUERIES["glued_words_all"](spark, sf).select(F.regexp_extract("filename", r"(\d+)\.md", 1).cast("long").alias("i"))
+    glued = catalogue.QUERIES["glued_words"](spark, sf).select(F.regexp_extract("filename", r"(\d+)\.md", 1).cast("long").alias("i"))
     assert {r.m for r in glued.select((F.col("i") % 3).alias("m")).distinct().collect()} == {0, 1, 2}
-    delivered = catalogue.QUERIES["fragment_delivery_all"](spark, sf)
+    delivered = catalogue.QUERIES["fragment_delivery"](spark, sf)
     assert delivered.select((F.regexp_extract("filename", r"(\d+)\.md", 1).cast("long") % 4).alias("m")).distinct().count() == 4
 
 
