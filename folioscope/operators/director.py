@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -53,12 +53,13 @@ def deliver(rows: DataFrame, fragments: DataFrame, key: str, chars: int = fixed.
     return inside.groupBy(key, "fragment").agg(F.left(body, F.lit(chars)).alias("body")).withColumn("n_chars", F.length("body").cast("bigint"))
 
 
-def answer_rules(answers: DataFrame, not_applicable: DataFrame, objectives: DataFrame, docs: DataFrame, own_file: str, stored: DataFrame, last: bool) -> DataFrame:
+def answer_rules(answers: DataFrame, not_applicable: DataFrame, objectives: DataFrame, docs: DataFrame, own_file: str | Column, stored: DataFrame, last: bool | Column) -> DataFrame:
     """(task, code, campo) of what is wrong with an answer.
 
     answers: (task, campo, valor, cita, verbatim, ref_articulo); not_applicable:
     (task, campo, motivo); objectives: (task, campo, needs_ref); stored:
-    (task, campo) answered before.  With `last`, every objective needs an answer.
+    (task, campo) answered before.  With `last`, every objective needs an answer;
+    it can be a column of the objectives, and own_file one of the answers.
     """
     asked = objectives.select("task", "campo", "needs_ref", F.lit(True).alias("asked"))
     n = F.count("*").over(W.partitionBy("task", "campo"))
@@ -76,12 +77,13 @@ def answer_rules(answers: DataFrame, not_applicable: DataFrame, objectives: Data
     coded = lambda s, c: s.select("task", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(x, F.lit(False)), F.lit(k)) for k, x in c.items()]))).alias("code"), "campo")
     claims = answers.join(asked.select("task", "campo"), ["task", "campo"], "left_semi").select(F.struct("task", "campo").alias("id"), "cita", "verbatim")
     cited = check_citations(claims, docs).where("outcome IN ('bad_range', 'not_found')").select("id.task", F.col("outcome").alias("code"), "id.campo")
-    skipped = not_applicable.join(asked, ["task", "campo"], "left").join(answers.select("task", "campo", F.lit(True).alias("answered")).distinct(), ["task", "campo"], "left")
-    skip_checks = {"skips_no_objective": F.col("asked").isNull(), "skips_answered": F.col("asked").isNotNull() & F.col("answered").isNotNull(), "no_reason": F.col("asked").isNotNull() & is_blank("motivo")}
+    skipped = not_applicable.withColumn("n", n).join(asked, ["task", "campo"], "left").join(answers.select("task", "campo", F.lit(True).alias("answered")).distinct(), ["task", "campo"], "left")
+    skip_checks = {"skips_no_objective": F.col("asked").isNull(), "skips_answered": F.col("asked").isNotNull() & F.col("answered").isNotNull(), "skips_twice": F.col("asked").isNotNull() & (F.col("n") > 1), "no_reason": F.col("asked").isNotNull() & is_blank("motivo")}
     found = coded(rows, checks).unionByName(cited).unionByName(coded(skipped, skip_checks))
-    if last:
+    if last is not False:
+        due = objectives.where(last) if isinstance(last, Column) else objectives
         given = answers.select("task", "campo").unionByName(not_applicable.select("task", "campo")).unionByName(stored.select("task", "campo"))
-        found = found.unionByName(objectives.join(given, ["task", "campo"], "left_anti").select("task", F.lit("unanswered").alias("code"), "campo"))
+        found = found.unionByName(due.join(given, ["task", "campo"], "left_anti").select("task", F.lit("unanswered").alias("code"), "campo"))
     return found.distinct()
 
 

@@ -17,11 +17,12 @@ from ..operators import gate
 from ..operators import gold as G
 from ..operators import manifest as M
 from ..operators import records as R
+from ..operators import runs as N
 from ..operators import taxonomy as X
 from ..sources import corpus
 from ..streaming import ingest
 from .corpus_queries import _MANIFEST, _now
-from .registry import CHUNKED, DOCS, FLAT, FOLD, chunked, docs, query, table
+from .registry import CHUNKED, DOCS, FLAT, FOLD, chunked, docs, query, stored, table
 
 LF = "chr(10)"
 _LINES = f"{DOCS}, split AS (SELECT filename, doc_id, string_split(text, {LF}) AS l FROM docs), rows_ AS (SELECT filename, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS line_no FROM split)"
@@ -377,6 +378,51 @@ def response_rules(spark, sf_dir):
     return D.answer_rules(answers, skipped, objectives, docs(spark, sf_dir), own, stored, last=True)
 
 
+# Reading runs: every document is one, with two tasks and up to two fragments in the first.
+_RUNS = f"{DOCS}, r AS (SELECT doc_id, filename, string_split(text, chr(10)) AS l, len(l) AS n FROM docs)"
+
+
+def _first_version(spark, sf_dir):
+    d = docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("run"), "filename", F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"))
+    spots = d.selectExpr("run", "n_lines", "inline(array(named_struct('anchor', 'top', 'l1', 1L, 'l2', cast(null AS bigint)), named_struct('anchor', 'mid', 'l1', if(n_lines >= 4, 2L, null), 'l2', 4L)))").drop("n_lines")
+    tasks = spark.createDataFrame([(0, "T1", 1, "identity", "A.", ["mid", "top"]), (1, "T2", 2, "force", "C.", ["top"])], "idx bigint, task string, fase bigint, titulo string, prefix string, names array<string>")
+    plan = N.plan(tasks, spots, _elements(spark, sf_dir), d.select("run", "n_lines"))
+    path = stored(spark, sf_dir, "documents", lambda _, to: N.begin(plan, d.select("run", F.col("filename").alias("file")), to), "runs-0")
+    return N.Version.load(spark, path)
+
+
+def _document_lines(spark, sf_dir):
+    return corpus.lines(docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("run"), "text"), "run")
+
+
+@query(f"""WITH {_RUNS}, {_EL}, o AS (SELECT count(DISTINCT id) AS k FROM el WHERE fase_lectura = 1 AND starts_with(id, 'A.')), t AS (SELECT *, least(n, 3) AS b, array_to_string(list_transform(range(1, CAST(least(n, 3) AS BIGINT) + 1), lambda i : i || chr(9) || l[i]), chr(10)) AS body FROM r)
+SELECT CAST(doc_id AS VARCHAR) AS run, 'T1' AS task, '1/2' AS avance, CAST(1 AS BIGINT) AS de, CASE WHEN n >= 4 THEN CAST(2 AS BIGINT) ELSE 1 END AS de_total, CAST(1 AS BIGINT) AS l1, b AS l2, k AS objectives, left(body, 400) AS texto FROM t, o""")
+def run_delivery(spark, sf_dir):
+    found = N.next_delivery(_first_version(spark, sf_dir), _document_lines(spark, sf_dir), _elements(spark, sf_dir), 400)
+    return found.select("run", "task", "avance", "de", "de_total", "l1", "l2", F.size("objetivos").cast("bigint").alias("objectives"), "texto")
+
+
+def _submitted(spark, sf_dir):
+    """One step: a good answer, one that cites another file, a fragment without changes, and nothing, by doc_id % 4."""
+    elements, d = _elements(spark, sf_dir), docs(spark, sf_dir)
+    campo = elements.where("fase_lectura = 1 AND startswith(id, 'A.')").agg(F.min("id").alias("campo"))
+    answers = d.where("doc_id % 4 < 2").join(F.broadcast(campo)).selectExpr("cast(doc_id AS string) AS run", "'T1' AS task", "campo", "'v' AS valor", "CASE WHEN doc_id % 4 = 0 THEN filename || '#L1' ELSE 'other.md#L1' END AS cita", "left(split(text, '\n')[0], 10) AS verbatim", "'art. 1' AS ref_articulo", "'' AS notas", "'texto' AS tipo")
+    skipped = spark.createDataFrame([], "run string, task string, campo string, motivo string")
+    verified = d.where("doc_id % 4 = 2").selectExpr("cast(doc_id AS string) AS run")
+    first = _first_version(spark, sf_dir)
+    path = stored(spark, sf_dir, "documents", lambda _, to: N.submit(first, answers, skipped, d, "2024-01-01T00:00:00Z", elements, to, verified), "runs-1")
+    return N.Version.load(spark, path)
+
+
+@query(f"""WITH {_RUNS}, {_EL}, o AS (SELECT count(DISTINCT id) AS k FROM el WHERE fase_lectura = 1 AND starts_with(id, 'A.')), s AS (SELECT *, doc_id % 4 AS m, CASE WHEN m = 0 THEN n >= 4 OR k = 1 WHEN m = 2 THEN true ELSE false END AS ok FROM r, o)
+SELECT CAST(doc_id AS VARCHAR) AS run, CASE WHEN ok AND n < 4 THEN CAST(1 AS BIGINT) ELSE 0 END AS idx, CASE WHEN ok AND n >= 4 THEN CAST(1 AS BIGINT) ELSE 0 END AS cursor, CASE WHEN ok THEN CAST(1 AS BIGINT) ELSE 0 END AS entregas,
+CASE WHEN m = 3 THEN NULL WHEN m = 2 THEN 'verificacion-sin-cambios' WHEN ok THEN 'aceptada' ELSE 'rechazada' END AS resultado, CASE WHEN m = 0 AND ok THEN CAST(1 AS BIGINT) ELSE 0 END AS fields FROM s""")
+def run_submission(spark, sf_dir):
+    v = _submitted(spark, sf_dir)
+    counted = v.fields.groupBy("run").agg(F.count("*").alias("fields"))
+    return v.state.join(v.log.select("run", "resultado"), "run", "left").join(counted, "run", "left").select("run", "idx", "cursor", "entregas", "resultado", F.coalesce("fields", F.lit(0)).cast("bigint").alias("fields"))
+
+
 _LOG = "log AS (SELECT user_id % 8 AS task, event_id AS seq, 'A.' || event_id % 40 AS campo, event_type AS valor, event_type <> 'error' AS accepted, props AS response FROM events)"
 
 
