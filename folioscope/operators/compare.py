@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.similarity import first_difference, sampled, text_ratio
-from ..functions.text import flat, fold_ordinal, norm_key
+from ..functions.text import context, flat, fold_ordinal, norm_key
 
 # An article's header, also with ordinal signs, and the ratio from which texts are near.
 ARTICLE = r"(?U)^\s*(?:ART[ÍI]CULO|Art[íi]culo)\s+(\d+(?:\.\d+)*[A-Za-z]?|nuevo)(?=[\.\s,:;]|$)"
@@ -61,6 +61,12 @@ def compare(corpus: DataFrame, source: DataFrame, doc: str, near: float = NEAR,
     return joined.select(doc, "key", state.alias("state"), F.round(F.when(F.col("same"), 1.0).otherwise(F.col("ratio")), 4).alias("ratio"), "__diff.left", "__diff.right", F.coalesce("__sampled", F.lit(False)).alias("sampled"))
 
 
+def keyword(articles: DataFrame, doc: str, number: str, needle: str, width: int = 200) -> DataFrame:
+    """(doc, copy_no, shown): a word, accents ignored, with its surroundings in one numbered article; null where that lacks it."""
+    own = articles.where(F.col("key") == norm_key(F.lit(number)))
+    return own.select(doc, "copy_no", context("text", needle, width).alias("shown"))
+
+
 def summary(report: DataFrame, docs: DataFrame, doc: str, strict: bool = True) -> DataFrame:
     """(doc, exact, near, divergent, verdict); what is absent counts as divergent.
 

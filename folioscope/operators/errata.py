@@ -16,6 +16,18 @@ def glued_words(rows: DataFrame, key: str) -> DataFrame:
     return after.select(key, "line_no", F.left(strip("line"), F.lit(SHOWN)).alias("before"), F.left(strip("fixed"), F.lit(SHOWN)).alias("after"), (F.length("fixed") - F.length("line")).cast("bigint").alias("n_splits"))
 
 
+def repair_summary(log: DataFrame, key: str) -> DataFrame:
+    """(key, n) of a log of repaired lines, most first, and by name among equals."""
+    return log.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key)
+
+
+def write_version(docs: DataFrame, path: str, version: str, key: str, text: str = "text") -> str:
+    """The documents as a new version of a corpus beside the earlier ones; one that is there is never written over."""
+    folder = f"{path}/version={version}"
+    docs.select(key, text).write.mode("error").parquet(folder)
+    return folder
+
+
 def apply_unglue(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents repaired, as a new version; nothing is rewritten in place."""
     return docs.withColumn(text, unglue(text))

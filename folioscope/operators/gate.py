@@ -30,6 +30,18 @@ def run(spark: SparkSession, checks: dict[str, Callable[[], DataFrame]], only: t
     return spark.createDataFrame(rows, "position bigint, stage string, outcome string, violations bigint")
 
 
+def report(rows: DataFrame) -> tuple[list[str], int]:
+    """The gate's lines in the order of stages, and the exit code: 0 if it is open, else 1."""
+    lines = [f"[{r.stage}] {r.outcome}" + (f" ({r.violations} violations)" if r.violations else "") for r in rows.orderBy("position").collect()]
+    closed = rows.where("outcome = 'fail'").select("stage").first()
+    return [*lines, f"closed at {closed.stage}" if closed else "open"], int(closed is not None)
+
+
+def examples(violations: DataFrame, most: int = 5) -> list[dict]:
+    """A few of the violations, in their own order of columns, to show with a failing check."""
+    return [r.asDict(recursive=True) for r in violations.orderBy(*violations.columns).limit(most).collect()]
+
+
 def require_empty(violations: DataFrame, what: str) -> None:
     """Stop before work that needs a check to hold."""
     if not violations.isEmpty():

@@ -12,6 +12,7 @@ from ..operators import chunks as C
 from ..operators import cleaning as L
 from ..operators import compare as K
 from ..operators import director as D
+from ..operators import documents as O
 from ..operators import errata as E
 from ..operators import gate
 from ..operators import gold as G
@@ -201,9 +202,12 @@ def tax_rules(spark, sf_dir):
     return X.rules(_elements(spark, sf_dir))
 
 
-@query("SELECT 'E012' AS code, 'fecha' AS detail UNION ALL SELECT 'W002', 'categorias'")
+# A description whose date and stored figures follow from the table.
+@query("""WITH m AS (SELECT 'version' AS key, CASE WHEN count(*) > 0 THEN '1' ELSE '' END AS value FROM part UNION ALL SELECT 'fecha', CASE WHEN count(*) % 2 = 0 THEN ' ' ELSE '2024' END FROM part UNION ALL SELECT CASE WHEN count(*) > 0 THEN 'categorias' ELSE 'otra' END, CAST(count(*) AS VARCHAR) FROM part)
+SELECT code, detail FROM (VALUES ('E011', 'version'), ('E012', 'fecha')) AS t(code, detail) WHERE detail NOT IN (SELECT key FROM m WHERE trim(value) <> '') UNION ALL SELECT 'W002', key FROM m WHERE key IN ('total_elementos', 'categorias', 'fases_lectura')""")
 def tax_meta_rules(spark, sf_dir):
-    return X.meta_rules(spark.createDataFrame([("version", "1"), ("fecha", " "), ("categorias", "13")], "key string, value string"))
+    n = table(spark, sf_dir, "part").agg(F.count("*").alias("n"))
+    return X.meta_rules(n.selectExpr("inline(array(named_struct('key', 'version', 'value', if(n > 0, '1', '')), named_struct('key', 'fecha', 'value', if(n % 2 = 0, ' ', '2024')), named_struct('key', if(n > 0, 'categorias', 'otra'), 'value', string(n))))"))
 
 
 @query(f"WITH {_DEPS} SELECT * FROM kids")
@@ -261,6 +265,36 @@ def tax_ddl(spark, sf_dir):
     return X.ddl(_elements(spark, sf_dir))
 
 
+# Whole documents as lines; the fingerprint of a category's source has no SQL form and is tested apart.
+_CATEGORY_NAMES, _PHASE_NAMES = (", ".join(f"({k!r}, '{v}')" for k, v in names.items()) for names in (X.CATEGORY_NAMES, O.PHASE_NAMES))
+
+
+@query(f"""WITH {_EL}, names AS (SELECT * FROM (VALUES {_CATEGORY_NAMES}) AS t(categoria, name)), ranked AS (SELECT *, row_number() OVER (PARTITION BY categoria ORDER BY id, nombre NULLS FIRST) - 1 AS "at" FROM el),
+facts AS (SELECT categoria, count(*) AS n, min_by(fase_lectura, "at") AS fase, string_agg(DISTINCT origen, ', ' ORDER BY origen) AS origins FROM ranked GROUP BY categoria), f AS (SELECT categoria, unnest(['| Categoria      | ' || categoria || ' |', '| Elementos      | ' || n || ' |', '| Fase principal | ' || fase || ' |', '| Origenes       | ' || origins || ' |']) AS line, unnest([0, 1, 2, 3]) AS "at" FROM facts)
+SELECT categoria, CAST(0 AS INT) AS section, CAST(0 AS BIGINT) AS "at", '# CATEGORIA ' || categoria || ' — ' || coalesce(name, '') AS line FROM (SELECT DISTINCT categoria FROM el) LEFT JOIN names USING (categoria)
+UNION ALL SELECT DISTINCT categoria, 0, 1, '# NP-CAT-' || categoria || '  v1.0  2024-01-01' FROM el
+UNION ALL SELECT categoria, 1, "at", CASE WHEN length(id) < 5 THEN rpad(id, 5, ' ') ELSE id END || ' ' || CASE WHEN length(coalesce(nombre, '')) < 37 THEN rpad(coalesce(nombre, ''), 37, ' ') ELSE nombre END || ' ' || descripcion || CASE WHEN origen <> 'base' THEN ' [' || upper(origen) || ']' ELSE '' END FROM ranked
+UNION ALL SELECT categoria, 2, "at", line FROM f""")
+def tax_category_document(spark, sf_dir):
+    return O.category_documents(_elements(spark, sf_dir), "1.0", "2024-01-01").where("NOT startswith(line, '| Hash fuente')")
+
+
+@query(f"""WITH {_EL}, names AS (SELECT * FROM (VALUES {_PHASE_NAMES}) AS t(fase, name)), k AS (SELECT CAST(fase_lectura AS BIGINT) AS fase, categoria, id, nombre, requiere_ref_articulo AS need, row_number() OVER (PARTITION BY fase_lectura, categoria ORDER BY id, nombre NULLS FIRST) AS "at" FROM el), ph AS (SELECT DISTINCT fase FROM k)
+SELECT fase, '' AS categoria, CAST(0 AS BIGINT) AS "at", CAST(0 AS BIGINT) AS part, 'FASE ' || fase || ' — ' || coalesce(name, '') AS line FROM ph LEFT JOIN names USING (fase)
+UNION ALL SELECT fase, '~', 0, 0, '**Decision Fase ' || fase || ':** [ ] CONTINUAR  [ ] PAUSAR  [ ] ABANDONAR' FROM ph UNION ALL SELECT fase, '~', 1, 0, '**Firma:** {O.BLANK}  **Fecha:** {O.BLANK}' FROM ph
+UNION ALL SELECT fase, categoria, 0, 0, '### Categoria ' || categoria || ' (' || count(*) || ' elementos)' FROM k GROUP BY 1, 2
+UNION ALL SELECT fase, categoria, "at", 0, '- [ ] **' || id || '** — ' || coalesce(nombre, '') FROM k UNION ALL SELECT fase, categoria, "at", 1, '  - VALOR: {O.BLANK}' FROM k UNION ALL SELECT fase, categoria, "at", 2, '  - REF. ARTICULO: {O.BLANK}' || CASE WHEN need THEN ' (obligatorio)' ELSE '' END FROM k UNION ALL SELECT fase, categoria, "at", 3, '  - NOTAS: {O.BLANK}' FROM k
+UNION ALL SELECT -1, '', i, 0, line FROM (SELECT unnest([0, 1, 2, 3]) AS i, unnest(['# NP-FICHA  v1.0  2024-01-01', '**Total de campos:** ' || count(*), '**Categorias:** ' || count(DISTINCT categoria) || ' (' || string_agg(DISTINCT categoria, ', ' ORDER BY categoria) || ')', '**Fases:** ' || count(DISTINCT fase) || ' (' || array_to_string(list_sort(list_distinct(list(fase))), ', ') || ')']) AS line FROM k)
+UNION ALL SELECT 99, '', 0, 0, 'Elementos completados: _____ / ' || count(*) FROM k""")
+def tax_form_document(spark, sf_dir):
+    return O.form_document(_elements(spark, sf_dir), "1.0", "2024-01-01").where("fase < 99 OR at = 0")
+
+
+@query(f"""WITH {_EL} SELECT CAST(fase_lectura AS VARCHAR) AS part, id AS name, CASE WHEN bool_or(requiere_ref_articulo) AND NOT bool_and(requiere_ref_articulo) THEN greatest(max(x), max(y)) ELSE max(CASE WHEN requiere_ref_articulo THEN x ELSE y END) END AS body FROM (SELECT *, '{{"type": "object", "properties": {{"completado": {{"type": "boolean"}}, "na": {{"type": "boolean"}}, "valor": {{"type": "string"}}, "ref_articulo": {{"type": "string"' AS a, '}}, "notas": {{"type": "string"}}}}}}' AS z, a || ', "minLength": 1' || z AS x, a || z AS y FROM el) GROUP BY 1, 2""")
+def tax_schema_parts(spark, sf_dir):
+    return O.schema_parts(_elements(spark, sf_dir)).where("part NOT IN ('meta', 'evidencia')")
+
+
 # The whole SQL model; a test compares it with the statements that it should have.
 @query()
 def tax_model(spark, sf_dir):
@@ -365,10 +399,14 @@ def fragment_delivery(spark, sf_dir):
     return D.deliver(corpus.lines(d, "filename"), spans, "filename", 500)
 
 
-_OWN = f"{DOCS}, own AS (SELECT text FROM docs WHERE doc_id = 7), an AS (SELECT * FROM (VALUES ('T1', 'A.1', 'v', 'doc-0000000007.md#L1', 'x', 'art'), ('T1', 'A.2', ' ', 'doc-0000000007.md#L1-L2', '', ''), ('T1', 'A.3', 'v', 'nothing', '', ''), ('T1', 'A.4', 'v', 'doc-0000000008.md#L1', '', 'art'), ('T1', 'Z.9', 'v', 'doc-0000000007.md#L1', '', ''), ('T1', 'A.5', 'v', 'doc-0000000007.md#L9999', '', 'art'), ('T1', 'A.6', 'v', 'doc-0000000007.md#L1', 'surely absent 123', 'art')) AS t(task, campo, valor, cita, verbatim, ref_articulo))"
+_ANSWERS = "(VALUES ('A.1', 'v', 'OWN#L1', '', 'art'), ('A.2', ' ', 'OWN#L1', '', ''), ('A.3', 'v', 'nothing', '', ''), ('A.4', 'v', 'doc-0000000008.md#L1', '', 'art'), ('Z.9', 'v', 'OWN#L1', '', ''), ('A.5', 'v', 'OWN#L9999', '', 'art'), ('A.6', 'v', 'OWN#L1', 'surely absent 123', 'art')) AS t(campo, valor, cita, verbatim, ref)"
 
 
-@query("SELECT * FROM (VALUES ('T1', 'blank_value', 'A.2'), ('T1', 'no_reference', 'A.2'), ('T1', 'malformed_citation', 'A.3'), ('T1', 'other_file', 'A.4'), ('T1', 'not_an_objective', 'Z.9'), ('T1', 'bad_range', 'A.5'), ('T1', 'not_found', 'A.6'), ('T1', 'skips_no_objective', 'Q.1'), ('T1', 'skips_answered', 'A.1'), ('T1', 'no_reason', 'A.7'), ('T1', 'unanswered', 'A.8')) AS t(task, code, campo)")
+@query(rf"""WITH {DOCS}, an AS (SELECT campo, valor, replace(cita, 'OWN', 'doc-0000000007.md') AS cita, verbatim, ref, regexp_extract(cita, '^(.+\.md)#L', 1) AS file FROM (SELECT campo, valor, replace(cita, 'OWN', 'doc-0000000007.md') AS cita, verbatim, ref FROM {_ANSWERS})), ob AS (SELECT 'A.' || i AS campo, i % 2 = 0 AS need FROM range(1, 10) AS t(i)), sk AS (SELECT * FROM (VALUES ('Q.1', 'r'), ('A.1', 'r'), ('A.7', ' ')) AS t(campo, motivo)),
+c AS (SELECT an.*, need, need IS NOT NULL AS asked, string_split(d.text, chr(10)) AS l, CAST(nullif(regexp_extract(cita, '#L(\d+)$', 1), '') AS BIGINT) AS n FROM an LEFT JOIN ob USING (campo) LEFT JOIN docs d ON d.filename = an.file)
+SELECT 'T1' AS task, code, campo FROM (SELECT 'not_an_objective' AS code, campo FROM c WHERE NOT asked UNION ALL SELECT 'blank_value', campo FROM c WHERE asked AND trim(valor) = '' UNION ALL SELECT 'malformed_citation', campo FROM c WHERE asked AND n IS NULL UNION ALL SELECT 'other_file', campo FROM c WHERE asked AND n IS NOT NULL AND file <> 'doc-0000000007.md' UNION ALL SELECT 'no_reference', campo FROM c WHERE asked AND need AND trim(ref) = ''
+UNION ALL SELECT 'bad_range', campo FROM c WHERE asked AND l IS NOT NULL AND n NOT BETWEEN 1 AND len(l) UNION ALL SELECT 'not_found', campo FROM c WHERE asked AND n BETWEEN 1 AND len(l) AND NOT contains({FOLD.format('l[n]')}, verbatim)
+UNION ALL SELECT 'skips_no_objective', campo FROM sk WHERE campo NOT IN (SELECT campo FROM ob) UNION ALL SELECT 'skips_answered', campo FROM sk WHERE campo IN (SELECT campo FROM ob) AND campo IN (SELECT campo FROM an) UNION ALL SELECT 'no_reason', campo FROM sk WHERE campo IN (SELECT campo FROM ob) AND trim(motivo) = '' UNION ALL SELECT 'unanswered', campo FROM ob WHERE campo NOT IN (SELECT campo FROM an UNION SELECT campo FROM sk) AND campo <> 'A.9')""")
 def response_rules(spark, sf_dir):
     own = "doc-0000000007.md"
     answers = spark.createDataFrame([("T1", "A.1", "v", f"{own}#L1", "", "art"), ("T1", "A.2", " ", f"{own}#L1", "", ""), ("T1", "A.3", "v", "nothing", "", ""), ("T1", "A.4", "v", "doc-0000000008.md#L1", "", "art"), ("T1", "Z.9", "v", f"{own}#L1", "", ""), ("T1", "A.5", "v", f"{own}#L9999", "", "art"), ("T1", "A.6", "v", f"{own}#L1", "surely absent 123", "art")], "task string, campo string, valor string, cita string, verbatim string, ref_articulo string")
@@ -504,7 +542,7 @@ def gate_report(spark, sf_dir):
     return gate.run(spark, checks, order=("lossless", "integrity", "taxonomy"))
 
 
-@query()
+@query("""SELECT event_id, sha256('{"k": ' || CAST(json_extract(props, '$.k') AS VARCHAR) || '}') AS fingerprint FROM events""")
 def canonical_fingerprint(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", canonical.json_fingerprint("props").alias("fingerprint"))
 
@@ -514,7 +552,8 @@ def log_tumbling(spark, sf_dir):
     return ingest.tumbling_log(table(spark, sf_dir, "events"), "ts", "event_type")
 
 
-@query(f"WITH {DOCS}, {_EL}, refs AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z]\\.[0-9]+[a-z]?')) FROM docs) GROUP BY 1) SELECT 'readme.md' AS filename")
+@query(f"WITH {DOCS}, expected AS (SELECT 'readme.md' AS filename UNION ALL SELECT 'doc-' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') || '.md' FROM part) SELECT filename FROM expected WHERE filename NOT IN (SELECT filename FROM docs)")
 def narrative_missing(spark, sf_dir):
-    expected = spark.createDataFrame([("readme.md",), ("doc-0000000001.md",)], "filename string")
+    named = table(spark, sf_dir, "part").select(F.format_string("doc-%010d.md", "p_partkey").alias("filename"))
+    expected = spark.createDataFrame([("readme.md",)], "filename string").unionByName(named)
     return X.missing_files(expected, docs(spark, sf_dir))

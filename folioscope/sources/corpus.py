@@ -70,6 +70,20 @@ def write_manifest(manifest: DataFrame, path: str, created_at: str, scope: str)
     set_hash(manifest).select(F.lit(1).alias("format_version"), F.lit("sha256").alias("algorithm"), F.lit(scope).alias("scope"), F.lit(created_at).alias("created_at"), "file_count", "total_bytes", "set_hash").write.mode("overwrite").json(f"{path}/totals")
 
 
+def write_manifest_document(manifest: DataFrame, path: str, created_at: str, scope: str) -> None:
+    """The manifest as one JSON document, as `read_manifest` reads it; its files stream to the driver in the order of names."""
+    from ..operators.manifest import set_hash
+
+    total = set_hash(manifest).first()
+    head = {"format_version": 1, "algorithm": "sha256", "scope": scope, "created_at": created_at, "file_count": total.file_count, "total_bytes": total.total_bytes, "set_hash": total.set_hash}
+    with open(f"{path}.new", "w", encoding="utf-8") as out:
+        out.write(json.dumps(head, ensure_ascii=False)[:-1] + ', "files": {')
+        for i, r in enumerate(manifest.orderBy("filename").toLocalIterator()):
+            out.write((", " if i else "") + json.dumps(r.filename, ensure_ascii=False) + ": " + json.dumps({"sha256": r.sha256, "bytes": r.bytes}))
+        out.write("}}\n")
+    os.replace(f"{path}.new", path)
+
+
 def append_log(rows: DataFrame, path: str) -> None:
     """Append JSON lines."""
     rows.write.mode("append").json(path)
