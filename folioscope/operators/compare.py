@@ -29,6 +29,17 @@ def segments(rows: DataFrame, doc: str, ordinals: bool = False) -> DataFrame:
     return found.select(doc, "key", copy.cast("bigint").alias("copy_no"), "text")
 
 
+def offsets(docs: DataFrame, doc: str, text: str = "text") -> DataFrame:
+    """(doc, key, start, end): where articles lie in a text, in characters, from one header to the next; what comes before the first is left out."""
+    # White space before a header is its line's own, not that of empty lines above.
+    opening = "(?m)(?=" + ARTICLE.replace(r"^\s*", r"^[^\S\n]*") + ")"
+    cut = docs.select(doc, F.posexplode(F.split(F.col(text), opening)).alias("at", "piece"))
+    w = W.partitionBy(doc).orderBy("at")
+    end = F.sum(F.length("piece")).over(w).cast("bigint")
+    found = cut.select(doc, F.nullif(F.regexp_extract("piece", ARTICLE, 1), F.lit("")).alias("header"), end.alias("end"), F.length("piece").alias("n"))
+    return found.where("header IS NOT NULL").select(doc, norm_key("header").alias("key"), (F.col("end") - F.col("n")).cast("bigint").alias("start"), "end")
+
+
 def missing(a: DataFrame, b: DataFrame, doc: str) -> DataFrame:
     """(doc, key) of articles in a without a counterpart in b."""
     return a.select(doc, "key").distinct().join(b.select(doc, "key").distinct(), [doc, "key"], "left_anti")

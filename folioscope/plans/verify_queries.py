@@ -148,6 +148,35 @@ def verdict_summary(spark, sf_dir):
     return K.summary(K.compare(_articles(spark, sf_dir, False), _articles(spark, sf_dir, True), "conv_id"), table(spark, sf_dir, "conversations"), "conv_id")
 
 
+# What of a comparison needs no matcher: equal articles, absent ones, and the rest.
+_STATES = f"{_ART}, states AS (SELECT DISTINCT conv_id, key, CASE WHEN (conv_id, key) IN (SELECT conv_id, key FROM same) THEN 'exacto' WHEN (conv_id, key) NOT IN (SELECT conv_id, key FROM b) THEN 'ausente_en_fuente' ELSE 'distinto' END AS state FROM a)"
+
+
+def _compared(spark, sf_dir):
+    return K.compare(_articles(spark, sf_dir, False), _articles(spark, sf_dir, True), "conv_id")
+
+
+@query(f"WITH {_STATES} SELECT * FROM states")
+def article_states(spark, sf_dir):
+    return _compared(spark, sf_dir).select("conv_id", "key", F.when(F.col("state").isin("casi", "divergente"), "distinto").otherwise(F.col("state")).alias("state"))
+
+
+@query(f"WITH {_STATES}, c AS (SELECT conv_id, count(*) FILTER (state = 'exacto') AS exact, count(*) FILTER (state <> 'exacto') AS other FROM states GROUP BY 1) SELECT conv_id, coalesce(exact, 0) AS exact, coalesce(other, 0) AS other, CASE WHEN coalesce(exact + other, 0) = 0 THEN 'SIN_ARTICULOS' WHEN other = 0 THEN 'VERIFICADA' ELSE 'NO_TODA_IGUAL' END AS verdict FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN c USING (conv_id)")
+def verdict_counts(spark, sf_dir):
+    s = K.summary(_compared(spark, sf_dir), table(spark, sf_dir, "conversations"), "conv_id")
+    other = (F.col("near") + F.col("divergent")).alias("other")
+    return s.select("conv_id", "exact", other, F.when(F.col("verdict") == "SIN_ARTICULOS", F.col("verdict")).when(other == 0, "VERIFICADA").otherwise("NO_TODA_IGUAL").alias("verdict"))
+
+
+@query(f"""WITH {DOCS}, cut AS (SELECT filename, string_split(text, chr(10)) AS l FROM docs), rows_ AS (SELECT filename, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM cut), laid AS (SELECT filename, i, 'Artículo ' || i || '. ' || line AS line FROM rows_ WHERE i > 1 UNION ALL SELECT filename, i, line FROM rows_ WHERE i = 1)
+SELECT filename, CAST(i - 1 AS VARCHAR) AS n, CAST(sum(length(line) + 1) OVER (PARTITION BY filename ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS "start", CAST(sum(length(line) + 1) OVER (PARTITION BY filename ORDER BY i) - CASE WHEN lead(i) OVER (PARTITION BY filename ORDER BY i) IS NULL THEN 1 ELSE 0 END AS BIGINT) AS "end" FROM laid QUALIFY i > 1""")
+def article_offsets(spark, sf_dir):
+    # Every line but the first opens an article.
+    numbered = F.array_join(F.transform(F.split("text", "\n"), lambda x, i: F.when(i == 0, x).otherwise(F.concat(F.lit("Artículo "), (i + 1).cast("string"), F.lit(". "), x))), "\n")
+    found = K.offsets(docs(spark, sf_dir).select("filename", numbered.alias("text")), "filename")
+    return found.select("filename", (F.col("key").cast("bigint") - 1).cast("string").alias("n"), "start", "end")
+
+
 @query(r"SELECT p_partkey, lower(regexp_replace(regexp_replace(trim(k), '\.+$', ''), '([0-9])(?:o|°|º)$', '\1')) AS key FROM (SELECT p_partkey, ' ' || p_size || CASE p_partkey % 5 WHEN 0 THEN 'o.' WHEN 1 THEN '°' WHEN 2 THEN 'º..' WHEN 3 THEN '.2A' ELSE '.' END || ' ' AS k FROM part)")
 def norm_keys(spark, sf_dir):
     k = F.expr("' ' || p_size || CASE p_partkey % 5 WHEN 0 THEN 'o.' WHEN 1 THEN '°' WHEN 2 THEN 'º..' WHEN 3 THEN '.2A' ELSE '.' END || ' '")
@@ -159,6 +188,18 @@ def keyword_context(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", T.context("text", "the", 30).alias("shown")).where("shown IS NOT NULL")
 
 
+# The eight patterns of a law's structure, over documents whose lines are turned into headings and notes.
+_LAW = """CASE i % 11 WHEN 1 THEN '**Artículo ' || i || '. x' WHEN 2 THEN '### TÍTULO ' || i WHEN 3 THEN '#### Capítulo' WHEN 4 THEN 'Parágrafo ' || l[i] WHEN 5 THEN '**ARTÍCULO NUEVO' WHEN 6 THEN '(Derogado)' WHEN 7 THEN 'Suprime ' || l[i] WHEN 8 THEN 'Disposición final' WHEN 9 THEN 'disposiciones transitorias' ELSE l[i] END"""
+_PROFILED = ", ".join(f"len(list_filter(f, lambda x : regexp_matches(x, '{p}'))) AS {n}" for n, p in G.PROFILE.items())
+
+
+@query(f"WITH {DOCS}, s AS (SELECT filename, string_split(text, chr(10)) AS l FROM docs), t AS (SELECT filename, list_transform(range(1, len(l) + 1), lambda i : {FOLD.format(f'({_LAW})')}) AS f FROM s) SELECT filename, {_PROFILED} FROM t")
+def structure_profile_law(spark, sf_dir):
+    line = lambda x, i: F.when(i % 11 == 1, F.concat(F.lit("**Artículo "), i, F.lit(". x"))).when(i % 11 == 2, F.concat(F.lit("### TÍTULO "), i)).when(i % 11 == 3, "#### Capítulo").when(i % 11 == 4, F.concat(F.lit("Parágrafo "), x)).when(i % 11 == 5, "**ARTÍCULO NUEVO").when(i % 11 == 6, "(Derogado)").when(i % 11 == 7, F.concat(F.lit("Suprime "), x)).when(i % 11 == 8, "Disposición final").when(i % 11 == 9, "disposiciones transitorias").otherwise(x)
+    laid = F.array_join(F.transform(F.split("text", "\n"), lambda x, i: line(x, i + 1)), "\n")
+    return G.structure_profile(docs(spark, sf_dir).select("filename", laid.alias("text")), "filename")
+
+
 # A taxonomy from parts, with a fault of each kind at some modulus.
 def _element(k: str, engine: str) -> str:
     text = "VARCHAR" if engine == "duck" else "STRING"

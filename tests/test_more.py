@@ -55,6 +55,12 @@ def test_whole_texts_are_compared(spark):
     assert [r.shown for r in K.keyword(arts, "doc", "2.", "dos").collect()] == ["dos"]
 
 
+def test_offsets_of_articles(spark):
+    text = "before\n\n  Artículo 1o. Uno\nmore\n\nARTÍCULO nuevo. x\nartículo 3. no header\nArtículo 2.1A: y"
+    got = [(r.key, text[r.start : r.end]) for r in K.offsets(spark.createDataFrame([("d", text), ("e", None), ("f", "")], "d string, text string"), "d").orderBy("start").collect()]
+    assert got == [("1", "  Artículo 1o. Uno\nmore\n\n"), ("nuevo", "ARTÍCULO nuevo. x\nartículo 3. no header\n"), ("2.1a", "Artículo 2.1A: y")]
+
+
 def test_structure_profile_of_eight_patterns(spark):
     text = "### TÍTULO I\n#### CAPÍTULO I\n**Artículo 1. Uno.\n**Artículo 2.\nParágrafo. x\n**Artículo nuevo\n(Derogado)\nSuprime el\nDisposición final y disposiciones  transitoria\n### Titulo II"
     row = G.structure_profile(spark.createDataFrame([("a", text)], "d string, text string"), "d").first().asDict()
