@@ -1,7 +1,10 @@
 """The discriminant against explicit formulas, accuracy on the held-out fold, and odd rows."""
 
+import math
 import os
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -38,6 +41,41 @@ def test_held_out_accuracy():
     assert (good == y[out]).mean() > 0.98 and good[y[out] == 1].mean() > 0.98
 
 
+def plain_features(text):
+    """The twelve statistics by plain string work, written apart from the operator."""
+    text = text or ""
+    words = [w for w in re.split("[\x20\x09-\x0d]+", text) if w]
+    lines = [x for x in text.split("\n") if x.strip("\x20\t\n\x0b\x0c\r")]
+    n, chars, letters = max(len(words), 1), max(sum(map(len, words)), 1), max(len(re.findall("[A-Za-z]", text)), 1)
+    share = lambda marks, of: (sum(text.count(m) for m in marks) / of) ** 0.5
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    seen = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if seen[w] > 1 for k in range(5)}
+    dups = (len(lines) - len(set(lines))) / max(len(lines), 1)
+    return [
+        math.log1p(len(words)), math.log(chars / n), (len(re.findall("[A-Z]", text)) / letters) ** 0.5, share("#*$%&|<>", chars), share("!", chars), share(".,;:?'\"()-", chars), share("0123456789", chars), share("|", n),
+        math.log1p(len(set(words))) / math.log1p(n), dups**0.5, math.log1p(n / max(len(lines), 1)), (len(repeated) / n) ** 0.5,
+    ]
+
+
+def test_query_against_plain_formulas(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    texts, good = {r.doc_id: r.text for r in docs.collect()}, {r.doc_id: r.quality for r in labels.collect()}
+    learnt = [d for d in texts if good.get(d) is not None and zlib.crc32(str(d).encode()) % 4 != 2]
+    x, y = np.array([plain_features(texts[d]) for d in learnt]), np.array([good[d] for d in learnt])
+    cov = [np.cov(x[y == k], rowvar=False, bias=True) for k in (0, 1)]
+    pooled = sum((y == k).sum() * cov[k] for k in (0, 1)) / len(y)
+    target = (1 - Q.TO_IDENTITY) * pooled + Q.TO_IDENTITY * np.trace(pooled) / len(pooled) * np.eye(len(pooled))
+    got = {r.doc_id: r for r in Q.classify(docs, labels).collect()}
+    for d, text in texts.items():
+        logs = []
+        for k in (0, 1):
+            c, off = (1 - Q.TO_POOLED) * cov[k] + Q.TO_POOLED * target, np.array(plain_features(text)) - x[y == k].mean(axis=0)
+            logs.append(math.log((y == k).mean()) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * off @ np.linalg.inv(c) @ off)
+        want = 1 / (1 + math.exp(min(500, max(-500, (logs[0] - logs[1]) / Q.TEMPERATURE))))
+        assert abs(got[d].score - want) < 1e-6 and got[d].predicted == (want >= 0.7)
+
+
 def test_fit_survives_missing_kinds():
     assert Q.fit(np.zeros((0, 12)), np.zeros(0, int)).score(np.zeros((2, 12))).tolist() == [0.5, 0.5]
     assert Q.fit(np.zeros((3, 12)), np.ones(3, int)).score(np.zeros((1, 12))).tolist() == [1.0]
