@@ -87,14 +87,25 @@ def fresh(name: str, columns: list[str]) -> str:
 def located(df: DataFrame, file: str, row: str) -> DataFrame:
     """The rows of a frame read from Parquet, with a hash of their file's path and their position in it.
 
-    A frame that isn't a plain read is first written to the shared folder.
+    A frame that isn't a plain read, whose rows could share a position, is first
+    written to the shared folder.
     """
-    try:
-        return _with_position(df, file, row)
-    except AnalysisException:
-        folder = f"{shared_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
-        df.write.parquet(folder)
-        return _with_position(df.sparkSession.read.schema(df.schema).parquet(folder), file, row)
+    if _plain_read(df):
+        try:
+            return _with_position(df, file, row)
+        except AnalysisException:
+            pass  # A source without positions.
+    folder = f"{shared_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return _with_position(df.sparkSession.read.schema(df.schema).parquet(folder), file, row)
+
+
+def _plain_read(df: DataFrame) -> bool:
+    """Whether a frame is a read of files, of which at most columns and rows are chosen."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    return plan.getClass().getSimpleName() == "LogicalRelation"
 
 
 def _with_position(df: DataFrame, file: str, row: str) -> DataFrame:

@@ -64,6 +64,15 @@ def test_keep_one_reads_files_in_place(spark, sf):
     assert "documents.parquet" in plan and "Exchange" not in plan
 
 
+def test_rows_of_a_join_have_places_of_their_own(spark, tmp_path):
+    """Rows that share a position in a file must not fall together."""
+    spark.createDataFrame([(1, "a b c d"), (2, "x y z w")], "k bigint, text string").write.parquet(str(tmp_path / "t"))
+    twice = spark.read.parquet(str(tmp_path / "t")).join(spark.range(2), how="cross").selectExpr("k * 10 + id AS doc_id", "if(id = 0, text, concat(text, ' of its own kind')) AS text")
+    assert sorted(r.doc_id for r in simhash.keep_one(twice).collect()) == [10, 11, 20, 21]
+    some = spark.read.parquet(str(tmp_path / "t")).where("k = 2").selectExpr("text", "k AS doc_id")
+    assert [tuple(r) for r in simhash.keep_one(some).collect()] == [("x y z w", 2)]
+
+
 def test_cluster_needs_a_shared_folder():
     class Conf:
         def get(self, name, other):
