@@ -39,6 +39,37 @@ def set_hash(files: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "file_count bigint, total_bytes bigint, set_hash string")
 
 
+def bucket_hash(files: DataFrame, buckets: int = 256) -> DataFrame:
+    """One row (file_count, total_bytes, bucket_hash): a seal whose digests are taken side by side.
+
+    Files are dealt to buckets by a hash of their name; each bucket's lines are
+    sorted and digested in a task of their own, and the seal is the digest of the
+    buckets' digests in their order.  It isn't the set hash, whose one digest is
+    sequential, but tells the same changes at any number of files.
+    """
+    bucket = F.pmod(F.xxhash64("filename"), F.lit(buckets)).cast("int")
+    lines = files.select(bucket.alias("bucket"), "filename", F.concat_ws(":", "filename", "sha256").alias("line"), F.col("bytes").cast("bigint").alias("bytes"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, digest, count, total = None, hashlib.sha256(), 0, 0
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([count], pa.int64()), pa.array([total], pa.int64()), pa.array([digest.hexdigest()])], names=["bucket", "n", "bytes", "digest"])
+        for batch in batches:
+            for b, line, size in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if b != own:
+                    if own is not None:
+                        yield row()
+                    own, digest, count, total = b, hashlib.sha256(), 0, 0
+                digest.update(f"{line}\n".encode())
+                count, total = count + 1, total + (size or 0)
+        if own is not None:
+            yield row()
+
+    dealt = lines.repartition("bucket").sortWithinPartitions("bucket", "filename").select("bucket", "line", "bytes")
+    each = dealt.mapInArrow(run, "bucket int, n bigint, bytes bigint, digest string")
+    parts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "digest"))), lambda x: F.concat(x["bucket"].cast("string"), F.lit(":"), x["digest"])), "\n")
+    return each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("file_count"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"), F.sha2(parts, 256).alias("bucket_hash"))
+
+
 def integrity_diff(current: DataFrame, sealed: DataFrame) -> DataFrame:
     """(filename, status, sealed_sha, current_sha) of every file added, removed or modified; no rows mean the seal holds."""
     a, b = sealed.select("filename", F.col("sha256").alias("sealed_sha")), current.select("filename", F.col("sha256").alias("current_sha"))

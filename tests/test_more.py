@@ -131,3 +131,12 @@ def test_scans_take_any_character_of_a_term(spark):
     assert tuple(got) == (2, 1, 1, 0, 1, False)
     good = S.differential(queries, hits.where("d < 9"), hits.where("d < 9"), scanned, "d", least=2).first()
     assert tuple(good) == (2, 2, 1, 1, 1, True)
+
+
+def test_bucket_hash_tells_any_change(spark):
+    rows = [(f"f{i}.md", hashlib.sha256(b"%d" % i).hexdigest(), i) for i in range(500)]
+    seal = lambda r, n=4: M.bucket_hash(spark.createDataFrame(r, "filename string, sha256 string, bytes bigint").repartition(n)).first()
+    own = seal(rows)
+    assert (own.file_count, own.total_bytes) == (500, sum(range(500))) and seal(rows[::-1], 7) == own
+    assert seal(rows[1:]).bucket_hash != own.bucket_hash != seal([("g.md", *rows[0][1:]), *rows[1:]]).bucket_hash
+    assert seal([]).file_count == 0
