@@ -2,13 +2,13 @@
 
 In a vocabulary whose pieces carry the white space marker only as a leading
 run, no merge can cross from a word into the marker that follows it.  The texts
-of an Arrow batch are then cut before each run of markers, the batch's chunks
+of a block of BLOCK_BYTES are then cut before each run of markers, the block's chunks
 are put into a table of distinct ones, each of those is segmented once, and
 their ids are joined back by position: a take over the positions lays all ids of
-the batch out in order, and a text's ids are a slice of that.  A worker keeps
-the segments of TABLE_ENTRIES chunks from batch to batch.
+the block out in order, and a text's ids are a slice of that.  A worker keeps
+the segments of TABLE_ENTRIES chunks from block to block.
 
-The table is one batch's and not the corpus's: every distinct chunk of a corpus
+The table is one block's and not the corpus's: every distinct chunk of a corpus
 in one table would have to be joined with every position of it, which moves more
 than the texts themselves (README, figures).
 
@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame
 from .common import map_texts
 
 MARKER = "▁"
+#: Bytes of text whose chunks share one table, or one longer text.
+BLOCK_BYTES = 2 << 20
 #: Chunks that a worker keeps from batch to batch, and the longest of them; the table starts anew when full.
 TABLE_ENTRIES, TABLE_WORD = 250_000, 48
 
@@ -94,14 +96,26 @@ class ChunkCodec:
             yield ids[at[start] : at[end]], decoded[to[start] : max(to[start], to[end] - 1)]
             start = end
 
-    def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
+    def encode(self, texts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """For each text in UTF-8 its ids with begin and end as little-endian 32-bit integers, and the text that they decode to."""
         begin, end = self.ends
         if not self.separable:
-            whole = [self.sp.encode(t.decode()) for t in texts]
-            return [(begin + array("I", ids).tobytes() + end, self.sp.decode(ids).encode()) for ids in whole]
-        if not texts:
-            return []
+            for t in texts:
+                ids = self.sp.encode(t.decode())
+                yield begin + array("I", ids).tobytes() + end, self.sp.decode(ids).encode()
+            return
+        at = 0
+        while at < len(texts):
+            to, size = at, 0
+            while to < len(texts) and (to == at or size + len(texts[to]) <= BLOCK_BYTES):
+                size += len(texts[to])
+                to += 1
+            for ids, decoded in self._block(texts[at:to]):
+                yield begin + ids + end, decoded
+            at = to
+
+    def _block(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """Ids without begin and end, and decoded texts, by one table of distinct chunks."""
         column = pa.array(texts, pa.large_binary()).cast(pa.large_string())
         # Runs of markers, and markers at an end, are cut one text at a time.
         plain = pc.and_not(pc.not_equal(column, ""), pc.match_substring_regex(column, rf"  |{MARKER}|\A | \z"))
@@ -118,7 +132,7 @@ class ChunkCodec:
             flat = pa.array([w for words in lists for w in words], pa.large_string())
             for i, found in zip(odd, self._joined(flat, np.cumsum([len(words) for words in lists])), strict=True):
                 out[i] = found
-        return [(begin + ids + end, decoded) for ids, decoded in out]
+        return out
 
 
 def _laid(values: pa.Array) -> tuple[memoryview, list[int]]:
@@ -139,7 +153,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     """Ids and decoded text of every row: (key, ids array<int>, decoded string)."""
 
     def run(texts: list[bytes]) -> list:
-        pairs = codec(model).encode(texts)
+        pairs = [(ids, bytes(decoded)) for ids, decoded in codec(model).encode(texts)]
         return [pa.array([array("i", ids) for ids, _ in pairs], pa.list_(pa.int32())), pa.array([d for _, d in pairs], pa.binary()).cast(pa.string())]
 
     return map_texts(docs, [key], text, run, f"{key} {docs.schema[key].dataType.simpleString()}, ids array<int>, decoded string")
@@ -149,8 +163,7 @@ def encode_digests(docs: DataFrame, model: str, key: str = "doc_id", text: str =
     """Counts and digests in place of ids and texts: (key, n_tokens, ids_sha256, decoded_sha256)."""
 
     def run(texts: list[bytes]) -> list:
-        pairs = codec(model).encode(texts)
-        counts = pa.array([len(ids) // 4 for ids, _ in pairs], pa.int64())
-        return [counts, [hashlib.sha256(ids).hexdigest() for ids, _ in pairs], [hashlib.sha256(d).hexdigest() for _, d in pairs]]
+        found = [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(d).hexdigest()) for ids, d in codec(model).encode(texts)]
+        return [pa.array([n for n, *_ in found], pa.int64()), [x for _, x, _ in found], [x for *_, x in found]]
 
     return map_texts(docs, [key], text, run, f"{key} {docs.schema[key].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
