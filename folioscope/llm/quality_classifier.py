@@ -23,7 +23,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import filter_texts, fold_of, labelled_sample, map_texts
 from .quality_rules import Stats, repeated_words
