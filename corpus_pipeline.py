@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from folioscope.llm import decontaminate, quality_classifier, quality_rules, sentencepiece, simhash
 from folioscope.llm.common import shared_folder, table, tokenizer_path
