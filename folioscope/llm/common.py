@@ -180,11 +180,12 @@ def _picked(hashed: Column, rows: int, total: int) -> Column:
     return F.pmod(hashed, F.lit(1 << 24)) < int(min(1.0, rows / max(total, 1)) * (1 << 24)) + 1
 
 
-def map_texts(df: DataFrame, keys: list[str | Column], text: str, fn: Callable[[list[bytes]], list], schema: str) -> DataFrame:
+def map_texts(df: DataFrame, keys: list[str | Column], text: str, fn: Callable[..., list], schema: str, with_keys: bool = False) -> DataFrame:
     """Run fn over Arrow batches of UTF-8 texts.
 
-    fn gets the batch's texts as bytes and returns one sequence or Arrow array
-    for each column after the keys.  schema names all columns, keys first.
+    fn gets the batch's texts as bytes, and with_keys the first key's values, and
+    returns one sequence or Arrow array for each column after the keys.  schema
+    names all columns, keys first.
     """
     spark = df.sparkSession
     limit_batches(spark)
@@ -193,7 +194,8 @@ def map_texts(df: DataFrame, keys: list[str | Column], text: str, fn: Callable[[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([*batch.columns[:n], *map(_array, fn(batch.column(n).to_pylist()))], names=names)
+                more = [batch.column(0).to_pylist()] if with_keys else []
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n], *map(_array, fn(batch.column(n).to_pylist(), *more))], names=names)
 
     narrow = df.select(*[F.col(k) if isinstance(k, str) else k for k in keys], utf8(text).alias("__utf8"))
     names = [field.name for field in T._parse_datatype_string(schema).fields]

@@ -6,9 +6,12 @@ the same rows where SQL can express them.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, quality_classifier, quality_rules, sentencepiece, sharding, simhash, token_counts, toxicity
+from . import chat, decontaminate, html_text, packing, periodic, quality_classifier, quality_rules, resampling, sentencepiece, sharding, simhash, token_counts, toxicity
 from .common import table, tokenizer_path
 
 
@@ -60,6 +63,38 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"), n_shards=24)
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def planted_run(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A text's words, in one of ten documents with a run from a place and with a period that follow from the id."""
+    h, n = zlib.crc32(b"" if doc_id is None else b"%d" % doc_id), len(words)
+    g = h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    head = words[a : a + p]
+    return words[:a] + (head * (-(-(n - a) // len(head))))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), reword=planted_run)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n")))), "")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_token_counts": op2_token_counts,
@@ -71,6 +106,9 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
+    "op11_resampling": op11_resampling,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_packing": op13_packing,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -121,4 +159,22 @@ s AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > word_chars OR 100 * n_dup_lines > 50 * n_lines OR word_chars > 20 * n_words OR (100 * n_upper > 70 * n_letters AND n_letters >= 10)) AS kept
 FROM s""",
+    "op11_resampling": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark),
+df AS (SELECT doc_id, unnest(w) AS f FROM d UNION ALL SELECT doc_id, w[i] || ' ' || w[i + 1] FROM d, unnest(range(1, len(w))) AS t(i)),
+bf AS (SELECT unnest(w) AS f FROM b UNION ALL SELECT w[i] || ' ' || w[i + 1] FROM b, unnest(range(1, len(w))) AS t(i)),
+crcs AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda c, k : CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) AS r(i))),
+known AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+placed AS (SELECT f, xor(list_reduce(range(length(h) // 2), lambda c, k : xor(c >> 8, t[1 + (xor(c, CAST('0x' || h[2 * k + 1 : 2 * k + 2] AS BIGINT)) & 255)]), 4294967295), 4294967295) % 10000 AS bucket FROM known, crcs),
+source AS (SELECT bucket, count(*) AS s FROM df JOIN placed USING (f) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM bf JOIN placed USING (f) GROUP BY bucket),
+sums AS (SELECT CAST(coalesce((SELECT sum(s) FROM source), 0) AS DOUBLE) AS n_source, CAST(coalesce((SELECT sum(t) FROM target), 0) AS DOUBLE) AS n_target),
+gained AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * (n_source + 10000) / ((s + 1) * (n_target + 10000)))) AS BIGINT) AS gain FROM source LEFT JOIN target USING (bucket), sums),
+summed AS (SELECT doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total FROM df JOIN placed USING (f) JOIN gained USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, CASE WHEN n > 0 THEN (total - (total % n + n) % n) // n ELSE 0 END AS weight,
+  CAST('0x' || sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) AS h FROM d LEFT JOIN summed USING (doc_id)),
+final AS (SELECT doc_id, n_words, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM final WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * (SELECT count(*) FROM ranked) // 100 THEN place END AS rank FROM final LEFT JOIN ranked USING (doc_id)""",
 }
