@@ -3,8 +3,7 @@
 `fold` is compatibility decomposition without combining marks, in lower case.
 Spark has no such function, so its tables are generated from Python's Unicode
 data: single characters go through one `translate`, and characters that expand
-to several are replaced only in texts that hold any.  Hangul syllables and
-characters beyond the basic plane stay as they are.
+to several, and Hangul syllables, are replaced only in texts that hold any.
 """
 
 from __future__ import annotations
@@ -23,15 +22,23 @@ HEADING = r"(?dm)(?=^#{1,6} )"
 GLUED = r"(?<=[a-záéíóúñ0-9])(?=[A-ZÁÉÍÓÚÑ][a-záéíóúñ])|(?<=[0-9])(?=[A-ZÁÉÍÓÚÑ]{2,}[a-záéíóúñ])"
 
 
+#: Code points of composed Hangul syllables, from which leading consonants, vowels and final consonants follow by division.
+_HANGUL, _LAST_HANGUL = 0xAC00, 0xD7A3
+_LEADS, _VOWELS, _FINALS = "".join(map(chr, range(0x1100, 0x1113))), "".join(map(chr, range(0x1161, 0x1176))), "".join(map(chr, range(0x11A8, 0x11C3)))
+
+
 @cache
 def _fold_tables() -> tuple[str, str, dict[str, str], str]:
-    """Single characters and what they become, marks to delete at the end; expansions, and a class of ranges that holds them all."""
+    """Single characters and what they become, marks to delete at the end; expansions, and a class of ranges that holds them and Hangul syllables."""
     source, target, marks, long = [], [], [], {}
-    for code in range(0x80, 0x10000):
+    for code in (*range(0x80, _HANGUL), *range(_LAST_HANGUL + 1, 0xD800), *range(0xE000, 0x110000)):
         c = chr(code)
-        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
+        if unicodedata.category(c) in ("Cn", "Co"):
             continue
         plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if plain == c and (code > 0xFFFF or code in _NEW_CAPITALS):
+            # The JVM may not know this capital yet.
+            plain = c.lower()
         if plain == c:
             continue
         if not plain:
@@ -42,12 +49,23 @@ def _fold_tables() -> tuple[str, str, dict[str, str], str]:
         else:
             long[c] = plain
     ranges: list[list[int]] = []
-    for code in sorted(map(ord, long)):
-        if ranges and code - ranges[-1][1] <= 3:
+    for code in sorted([*map(ord, long), _HANGUL, _LAST_HANGUL]):
+        if ranges and (code - ranges[-1][1] <= 3 or code == _LAST_HANGUL):
             ranges[-1][1] = code
         else:
             ranges.append([code, code])
-    return "".join(source + marks), "".join(target), long, "[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges) + "]"
+    return "".join(source + marks), "".join(target), long, "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+
+
+#: Capitals of the basic plane that came with Unicode 14 to 16.
+_NEW_CAPITALS = frozenset([0x2C2F, 0xA7C0, 0xA7CB, 0xA7CC, 0xA7D0, 0xA7D6, 0xA7D8, 0xA7DA, 0xA7DC])
+
+
+def _syllable(c: Column) -> Column:
+    """A Hangul syllable as its letters."""
+    n = F.ascii(c) - _HANGUL
+    part = lambda letters, i: F.substring(F.lit(letters), i.cast("int") + 1, F.lit(1))
+    return F.concat(part(_LEADS, F.floor(n / 588)), part(_VOWELS, F.floor(n % 588 / 28)), F.when(n % 28 > 0, part(_FINALS, n % 28 - 1)).otherwise(""))
 
 
 def _text(x: Column | str) -> Column:
@@ -68,8 +86,9 @@ def fold(x: Column | str) -> Column:
     for c in _COMMON:
         common = F.replace(common, F.lit(c), F.lit(long[c]))
     common = F.when(text.rlike(f"[{_COMMON}]"), common).otherwise(text)
-    table = F.create_map(*[F.lit(v) for pair in long.items() for v in pair])
-    expanded = F.array_join(F.transform(F.split(common, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    table = F.map_from_arrays(*[F.split(F.lit("\0".join(x)), "\0") for x in (long.keys(), long.values())])
+    letters = lambda c: F.when(c.between(F.lit(chr(_HANGUL)), F.lit(chr(_LAST_HANGUL))), _syllable(c)).otherwise(F.coalesce(F.try_element_at(table, c), c))
+    expanded = F.array_join(F.transform(F.split(common, ""), letters), "")
     every = F.when(common.rlike(found), expanded).otherwise(common)
     # Few texts hold expansions; the class that finds them is slow, so a short one rules most texts out.
     simple = F.when(text.rlike(_NO_EXPANSION), F.translate(text, source, target)).otherwise(F.translate(every, source, target))

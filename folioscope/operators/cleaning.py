@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import flat, fold, fold_ordinal
+from .running import last_event
 
 
 # Links that run scripts, links, images, leading marks, a separator's cell, and format marks.
@@ -29,9 +29,7 @@ def annotation_event(line: Column) -> Column:
 
 def outside_annotations(rows: DataFrame, key: str) -> DataFrame:
     """Lines (key, line_no, line) that aren't in an annotation block: the last marker or structural line up to them isn't a marker."""
-    w = W.partitionBy(key).orderBy("line_no").rowsBetween(W.unboundedPreceding, W.currentRow)
-    state = F.last("event", ignorenulls=True).over(w)
-    return rows.withColumn("event", annotation_event(F.col("line"))).withColumn("state", state).where("coalesce(state, 0) = 0").drop("event", "state")
+    return last_event(rows, key, annotation_event(F.col("line")), "__state").where("coalesce(__state, 0) = 0").drop("__state")
 
 
 def unlink(line: Column) -> Column:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.similarity import first_difference, sampled, text_ratio
+from ..functions.similarity import BLOCK, first_difference, letters, text_ratio
 from ..functions.text import context, flat, fold_ordinal, norm_key
+from ..sources.shared import checkpointed
+from .running import count_events
 
 # An article's header, also with ordinal signs, and the ratio from which texts are near.
 ARTICLE = r"(?U)^\s*(?:ART[ÍI]CULO|Art[íi]culo)\s+(\d+(?:\.\d+)*[A-Za-z]?|nuevo)(?=[\.\s,:;]|$)"
@@ -21,8 +25,8 @@ def segments(rows: DataFrame, doc: str, ordinals: bool = False) -> DataFrame:
     With `ordinals`, headers numbered like 1° open an article too.
     """
     header = F.regexp_extract("line", ARTICLE_ORDINAL if ordinals else ARTICLE, 1)
-    w = W.partitionBy(doc).orderBy("line_no")
-    numbered = rows.select(doc, "line_no", "line", F.nullif(header, F.lit("")).alias("header")).withColumn("seg", F.count("header").over(w)).where("seg > 0")
+    laid = rows.select(doc, "line_no", "line", F.nullif(header, F.lit("")).alias("header"))
+    numbered = count_events(laid, doc, F.col("header"), "seg").where("seg > 0")
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
     found = numbered.groupBy(doc, "seg").agg(norm_key(F.max("header")).alias("key"), flat(F.array_join(ordered, " ")).alias("text"))
     copy = F.row_number().over(W.partitionBy(doc, "key").orderBy("seg")) - 1
@@ -51,25 +55,81 @@ def exact(corpus: DataFrame, source: DataFrame, doc: str) -> DataFrame:
     return own(corpus).join(own(source), [doc, "key", "h"]).select(doc, "key").distinct()
 
 
-def compare(corpus: DataFrame, source: DataFrame, doc: str, near: float = NEAR, whole: bool = False) -> DataFrame:
-    """(doc, key, state, ratio, left, right, sampled) of every article of the corpus.
+#: Pairs of an article's copies that are all compared; with more, those that can't be the best are ruled out first.
+FEW_PAIRS = 64
+#: Ratios that are tried as the best one of many copies, from the highest on.
+STEPS = (0.98, 0.95, 0.9, 0.8, 0.6, 0.4, 0.2, 0.0)
+_ROUNDING = 1e-9
+
+
+def best_pairs(left: DataFrame, right: DataFrame, keys: list[str], few: int = FEW_PAIRS) -> DataFrame:
+    """(keys, ratio, i, j, compared): each key's pair of texts of highest ratio, of equals the first, and how many pairs the matcher saw.
+
+    left: (keys, i, a), right: (keys, j, b).  With more than `few` pairs a key is
+    searched from high ratios down.  Texts can't be more alike than their lengths
+    and, up to one block, their counts of letters allow, so at each step only
+    pairs whose bound reaches it go to the matcher; once the best of them reaches
+    it too, no other pair can be better.  Lengths are joined by classes as wide
+    as the step allows.
+    """
+    sizes = left.groupBy(*keys).agg(F.count("*").alias("na")).join(right.groupBy(*keys).agg(F.count("*").alias("nb")), keys)
+    many = sizes.where(F.col("na") * F.col("nb") > few).select(*keys)
+    most = lambda rows: rows.groupBy(*keys).agg(F.min(F.struct((-F.col("ratio")).alias("r"), "i", "j")).alias("x"), F.count("*").alias("compared")).select(*keys, (-F.col("x.r")).alias("ratio"), "x.i", "x.j", "compared")
+    direct = left.join(right, keys).join(many, keys, "left_anti").withColumn("ratio", text_ratio("a", "b"))
+    if many.isEmpty():
+        return most(direct)
+    many = checkpointed(many)
+    own = lambda s, x: checkpointed(s.join(many, keys, "left_semi").withColumn("n", F.length(x)).withColumn("letters", letters(x)))
+    a, b = own(left, "a"), own(right, "b")
+    best = None
+    for step, above in zip(STEPS, (2.0, *STEPS), strict=False):
+        pairs = _within(a.drop("a"), b.drop("b"), many, keys, step, above)
+        scored = pairs.join(a.select(*keys, "i", "a"), [*keys, "i"]).join(b.select(*keys, "j", "b"), [*keys, "j"]).select(*keys, "i", "j", text_ratio("a", "b").alias("ratio"))
+        found = most(scored).select(*keys, "ratio", "i", "j", "compared")
+        if best is not None:
+            order = F.min(F.struct((-F.col("ratio")).alias("r"), "i", "j")).alias("x")
+            found = found.unionByName(best).groupBy(*keys).agg(order, F.sum("compared").alias("compared")).select(*keys, (-F.col("x.r")).alias("ratio"), "x.i", "x.j", "compared")
+        best = checkpointed(found)
+        many = checkpointed(many.join(best.where(F.col("ratio") >= step).select(*keys), keys, "left_anti"))
+        if many.isEmpty():
+            break
+    return most(direct).unionByName(best)
+
+
+def _within(a: DataFrame, b: DataFrame, keys_left: DataFrame, keys: list[str], step: float, above: float) -> DataFrame:
+    """(keys, i, j) of pairs of the keys left whose bound is at least `step` and less than `above`."""
+    a, b = (s.join(keys_left, keys, "left_semi") for s in (a, b))
+    on = list(keys)
+    if step:
+        # Lengths whose quotient the step allows are in neighbouring classes at most.
+        width = math.log((2 - step) / step) + _ROUNDING
+        band = F.floor(F.log(F.col("n")) / width)
+        a, b = a.where("n > 0").withColumn("band", band), b.where("n > 0").withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
+        on.append("band")
+    pairs = a.select(*on, "i", F.col("n").alias("m"), F.col("letters").alias("u")).join(b.select(*on, "j", "n", F.col("letters").alias("v")), on)
+    both = F.greatest(F.col("m") + F.col("n"), F.lit(1))
+    shared = F.aggregate(F.zip_with("u", "v", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
+    bound = F.when(F.greatest("m", "n") <= BLOCK, shared).otherwise(F.least("m", "n")) * 2.0 / both + _ROUNDING
+    return pairs.withColumn("bound", bound).where((F.col("bound") >= step) & (F.col("bound") < above)).select(*keys, "i", "j")
+
+
+def compare(corpus: DataFrame, source: DataFrame, doc: str, near: float = NEAR) -> DataFrame:
+    """(doc, key, state, ratio, left, right, compared) of every article of the corpus.
 
     Only articles without an exact pair reach the matcher, and of copies with
     the same text only the first.  Of several pairs of copies the best counts,
-    and the first of equals.  sampled says that windows stood for a very long
-    text; with `whole` they never do.
+    and the first of equals; `compared` is how many the matcher saw.
     """
     keys = corpus.select(doc, "key").distinct()
     same = exact(corpus, source, doc).withColumn("same", F.lit(True))
     rest = corpus.join(same, [doc, "key"], "left_anti")
     copies = lambda s, i, x: s.select(doc, "key", "copy_no", fold_ordinal("text").alias(x)).groupBy(doc, "key", x).agg(F.min("copy_no").alias(i))
-    pairs = copies(rest, "i", "a").join(copies(source, "j", "b"), [doc, "key"]).withColumn("ratio", text_ratio("a", "b", whole))
-    order = F.struct((-F.col("ratio")).alias("r"), "i", "j")
-    best = pairs.groupBy(doc, "key").agg(F.max("ratio").alias("ratio"), F.min_by("a", order).alias("a"), F.min_by("b", order).alias("b"))
-    shown = best.select(doc, "key", "ratio", first_difference("a", "b", whole).alias("__diff"), (sampled(F.col("a"), F.col("b")) & F.lit(not whole)).alias("__sampled"))
+    a, b = checkpointed(copies(rest, "i", "a")), checkpointed(copies(source.join(same, [doc, "key"], "left_anti"), "j", "b"))
+    best = best_pairs(a, b, [doc, "key"]).join(a, [doc, "key", "i"]).join(b, [doc, "key", "j"])
+    shown = best.select(doc, "key", "ratio", "compared", first_difference("a", "b").alias("__diff"))
     joined = keys.join(same, [doc, "key"], "left").join(shown, [doc, "key"], "left")
     state = F.when(F.col("same"), "exacto").when(F.col("ratio").isNull(), "ausente_en_fuente").when(F.col("ratio") >= near, "casi").otherwise("divergente")
-    return joined.select(doc, "key", state.alias("state"), F.round(F.when(F.col("same"), 1.0).otherwise(F.col("ratio")), 4).alias("ratio"), "__diff.left", "__diff.right", F.coalesce("__sampled", F.lit(False)).alias("sampled"))
+    return joined.select(doc, "key", state.alias("state"), F.round(F.when(F.col("same"), 1.0).otherwise(F.col("ratio")), 4).alias("ratio"), "__diff.left", "__diff.right", F.coalesce("compared", F.lit(0)).cast("bigint").alias("compared"))
 
 
 def keyword(articles: DataFrame, doc: str, number: str, needle: str, width: int = 200) -> DataFrame:

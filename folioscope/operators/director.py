@@ -46,8 +46,14 @@ def plan(elements: DataFrame, tasks: DataFrame, spots: DataFrame, n_lines: int,
 
 
 def deliver(rows: DataFrame, fragments: DataFrame, key: str, chars: int = fixed.DELIVERY_CHARS) -> DataFrame:
-    """(key, fragment, body, n_chars): numbered lines of each fragment (key, fragment, l1, l2), cut to the budget."""
-    inside = rows.join(fragments, key).where(F.col("line_no").between(F.col("l1"), F.col("l2")))
+    """(key, fragment, body, n_chars): numbered lines of each fragment (key, fragment, l1, l2), cut to the budget.
+
+    A numbered line has two characters and a line feed at least, so no more than
+    chars / 3 + 1 lines of a fragment are asked for, each by its number.
+    """
+    most = F.least("l2", F.col("l1") + chars // 3)
+    wanted = fragments.where("l1 <= l2").select(key, "fragment", F.explode(F.sequence(F.col("l1").cast("bigint"), most.cast("bigint"))).alias("line_no"))
+    inside = rows.withColumn("line_no", F.col("line_no").cast("bigint")).join(wanted, [key, "line_no"])
     line = F.concat_ws("\t", F.col("line_no").cast("string"), "line")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", line.alias("t")))), lambda x: x["t"]), "\n")
     return inside.groupBy(key, "fragment").agg(F.left(body, F.lit(chars)).alias("body")).withColumn("n_chars", F.length("body").cast("bigint"))

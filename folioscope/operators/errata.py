@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import occurrences, strip, unglue
@@ -44,10 +44,38 @@ def unique_replace(docs: DataFrame, errata: DataFrame, key: str, text: str = "te
     return joined.select(key, n.alias("n_found"), state.alias("state"), F.when(n == 1, F.replace(F.col(text), F.col("buscar"), F.col("reemplazar"))).otherwise(F.col(text)).alias("text"))
 
 
+#: Lines of a block of the first level, blocks of a block of the next, and levels; together 16^8 lines.
+RADIX, DEPTH = 16, 8
+
+
+def _cover(l1: Column, l2: Column) -> Column:
+    """Blocks (level, block) that together are the lines from l1 to l2, at most two runs of less than RADIX on each level."""
+    none = F.array().cast("array<struct<level:int,block:bigint>>")
+    run = lambda level, a, b: F.when(a < b, F.transform(F.sequence(a, b - 1), lambda x: F.struct(level.alias("level"), x.alias("block")))).otherwise(none)
+
+    def step(state, level):
+        low, high = F.ceil(state["low"] / RADIX), F.floor(state["high"] / RADIX)
+        apart = low < high
+        ends = F.concat(run(level, state["low"], low * RADIX), run(level, high * RADIX, state["high"]))
+        taken = F.when(apart, ends).otherwise(run(level, state["low"], state["high"]))
+        return F.struct(F.concat(state["out"], taken).alias("out"), F.when(apart, low).otherwise(0).cast("bigint").alias("low"), F.when(apart, high).otherwise(0).cast("bigint").alias("high"))
+
+    start = F.struct(none.alias("out"), l1.cast("bigint").alias("low"), (l2 + 1).cast("bigint").alias("high"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(DEPTH - 1)), start, step, lambda s: s["out"])
+
+
 def overlap(changed: DataFrame, spans: DataFrame, key: str) -> DataFrame:
-    """(key, span_id, n_lines): changed lines (key, line_no) inside spans (key, span_id, l1, l2)."""
-    inside = changed.select(key, "line_no").distinct().join(spans, key).where(F.col("line_no").between(F.col("l1"), F.col("l2")))
-    return inside.groupBy(key, "span_id").agg(F.count("*").alias("n_lines"))
+    """(key, span_id, n_lines): how many changed lines (key, line_no) lie inside spans (key, span_id, l1, l2), none left out.
+
+    Changes are counted for blocks of 1, 16, 256 and so on lines, and a span is
+    the sum of the few blocks that make it up; so no line meets a span.
+    """
+    lines = changed.select(key, F.col("line_no").cast("bigint").alias("line_no")).distinct()
+    level = F.explode(F.sequence(F.lit(0), F.lit(DEPTH - 1))).alias("level")
+    counted = lines.select(key, "line_no", level).groupBy(key, "level", F.floor(F.col("line_no") / F.pow(F.lit(RADIX), F.col("level"))).alias("block")).agg(F.count("*").alias("n"))
+    wanted = spans.where("l1 <= l2").select(key, "span_id", "l1", "l2").withColumn("__blocks", _cover(F.col("l1"), F.col("l2")))
+    met = wanted.select(key, "span_id", F.inline("__blocks")).join(counted, [key, "level", "block"])
+    return met.groupBy(key, "span_id").agg(F.sum("n").alias("n_lines"))
 
 
 def dry_run(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,19 +35,37 @@ def parse_citation(x: str) -> list[Column]:
     return [part(1).alias("file"), l1.alias("l1"), F.coalesce(part(3).try_cast("bigint"), l1).alias("l2")]
 
 
+#: Spans or patterns that one row takes to a file's lines; a file with more of them is split over several rows.
+AT_ONCE = 1_000
+
+
+def _with_lines(wanted: DataFrame, what: list[str], docs: DataFrame, name: str, text: str, each: Callable[[Column], Column] = lambda x: x) -> DataFrame:
+    """(file, n_lines, lines, wanted): the lines, each made by `each`, of the files asked for, beside arrays of about AT_ONCE of the distinct (file, what...) at most.
+
+    A file that isn't there has no row.
+    """
+    asked = wanted.select("file", *what).distinct()
+    parts = asked.groupBy("file").agg(F.ceil(F.count("*") / AT_ONCE).alias("__parts"))
+    grouped = asked.join(parts, "file").groupBy("file", F.pmod(F.xxhash64(*what), "__parts").alias("__part")).agg(F.collect_list(F.struct(*what)).alias("wanted"))
+    # The lines are made below the join, so what is above it looks them up.
+    own = docs.select(F.col(name).alias("file"), F.col(text).alias("text")).join(asked.select("file").distinct(), "file", "left_semi")
+    cut = own.select("file", F.transform(F.split("text", "\n"), each).alias("lines"))
+    return cut.join(grouped, "file").select("file", F.size("lines").cast("bigint").alias("n_lines"), "lines", "wanted")
+
+
 def cited(claims: DataFrame, docs: DataFrame, name: str = "filename", text: str = "text") -> DataFrame:
     """Claims (id, cita, verbatim) with what they cite: file, l1, l2, n_lines and the lines' text joined by line feeds.
 
-    Each distinct span is put together once from its numbered lines, by a join
-    on file and line, and then joined with the claims that cite it.
+    A file's text is cut into lines once, and each distinct span is a slice of
+    them; what moves is the cited files and the claims.
     """
     parsed = claims.select("id", "cita", "verbatim", *parse_citation("cita"))
-    own = docs.select(F.col(name).alias("file"), F.col(text).alias("text")).join(parsed.select("file").distinct(), "file", "left_semi")
-    sizes = own.select("file", F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"))
-    spans = parsed.select("file", "l1", "l2").distinct().join(sizes, "file").where("l1 >= 1 AND l1 <= l2 AND l2 <= n_lines")
-    wanted = spans.select("file", "l1", "l2", F.explode(F.sequence("l1", "l2")).alias("line_no"))
-    found = wanted.join(lines(own, "file"), ["file", "line_no"]).groupBy("file", "l1", "l2").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("span"))
-    return parsed.join(sizes, "file", "left").join(found, ["file", "l1", "l2"], "left").select("id", "cita", "verbatim", "file", "l1", "l2", "n_lines", "span")
+    laid = _with_lines(parsed, ["l1", "l2"], docs, name, text)
+    there = lambda s: (s["l1"] >= 1) & (s["l1"] <= s["l2"]) & (s["l2"] <= F.col("n_lines"))
+    slice_of = lambda s: F.array_join(F.slice("lines", s["l1"].cast("int"), (s["l2"] - s["l1"] + 1).cast("int")), "\n")
+    spans = laid.select("file", "n_lines", F.explode(F.transform("wanted", lambda s: F.struct(s["l1"], s["l2"], F.when(there(s), slice_of(s)).alias("span")))).alias("s")).select("file", "n_lines", "s.*")
+    same = [F.col("p.file") == F.col("s.file"), F.col("p.l1").eqNullSafe(F.col("s.l1")), F.col("p.l2").eqNullSafe(F.col("s.l2"))]
+    return parsed.alias("p").join(spans.alias("s"), same, "left").select("id", "cita", "verbatim", "p.file", "p.l1", "p.l2", "n_lines", "span")
 
 
 def check_citations(claims: DataFrame, docs: DataFrame, strict: bool = False, name: str = "filename", text: str = "text") -> DataFrame:
@@ -68,13 +88,13 @@ def check_counts(cases: DataFrame, docs: DataFrame, name: str = "filename", text
     A pattern that can't be compiled, or a file that isn't there, has no count
     and isn't ok; `count_problems` says which.
     """
-    rows = cases.select("id", "norma", "valor", "patron").join(docs.select(F.col(name).alias("norma"), F.split(F.col(text), "\n").alias("lines")), "norma", "left")
-    good = is_pattern(F.col("patron"))
-    # What is never matched stands in for what can't be compiled.
-    pattern = F.concat(F.lit("(?i)"), F.when(good, F.col("patron")).otherwise("(?!)"))
-    n = F.when(good & F.col("lines").isNotNull(), F.size(F.filter(F.coalesce("lines", F.array()), lambda x: F.rlike(fold(x), pattern))).cast("bigint"))
-    counted = rows.select("id", "valor", n.alias("n_found"))
-    return counted.select("id", "n_found", F.coalesce(F.col("n_found").cast("string") == F.col("valor"), F.lit(False)).alias("ok"))
+    asked = cases.select("id", "valor", F.col("norma").alias("file"), "patron").withColumn("good", is_pattern(F.col("patron")))
+    laid = _with_lines(asked.where("good"), ["patron"], docs, name, text, fold)
+    # A pattern is compiled once for all lines of a file.
+    found = lambda w: F.size(F.filter("lines", lambda x: F.regexp_instr(x, F.concat(F.lit("(?i)"), w["patron"])) > 0)).cast("bigint")
+    counted = laid.select("file", F.explode(F.transform("wanted", lambda w: F.struct(w["patron"], found(w).alias("n_found")))).alias("c")).select("file", "c.*")
+    rows = asked.join(counted, ["file", "patron"], "left").select("id", "valor", "n_found")
+    return rows.select("id", "n_found", F.coalesce(F.col("n_found").cast("string") == F.col("valor"), F.lit(False)).alias("ok"))
 
 
 def count_problems(cases: DataFrame, docs: DataFrame, name: str = "filename") -> DataFrame:

@@ -1,23 +1,25 @@
 """Reading runs: many documents are read at once, task by task and fragment by fragment, with answers checked before they count.
 
-A run is a document's reading.  Its state is a version of five tables, written
-once and never changed in place: tasks, state (which task, which fragment),
-fields, evidence and log.  So a step reads what the last one has written, and
-its plan doesn't grow with the steps before.  One step takes the submissions of any number of runs: it checks them,
-logs what was wrong, merges what was right, moves the cursor and closes a task
-after its last fragment, if the record holds its rules by then.
+A run is a document's reading.  Its state is a version of five tables: tasks,
+state (which task, which fragment), fields, evidence and log.  A step writes the
+rows that it changes or adds, beside those of the steps before, and nothing is
+changed in place; after COMPACT steps all are put together.  One step takes the
+submissions of any number of runs: it checks them, logs what was wrong, merges
+what was right, moves the cursor and closes a task after its last fragment, if
+the record holds its rules by then.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..sources.shared import checkpointed
 from .director import answer_rules
 
 # Outcomes in the log, the lines that a fragment without an end takes beyond its first, and the rules told to a reader.
@@ -29,25 +31,69 @@ LOG = "run string, ts string, task string, entrega bigint, extracciones bigint,
 CONTRACT = {"extracciones": ["campo", "valor", "ref_articulo", "cita", "verbatim", "notas"], "no_aplica": ["campo", "motivo"], "reglas": ["every objective is answered or doesn't apply", "citations of delivered lines, with literal text", "one answer a field"]}
 
 
+#: Tables that a step adds rows to, and what tells rows of which the newest counts.
+TABLES = {"state": ["run"], "fields": ["run", "campo"], "evidence": None, "log": None}
+SCHEMAS = {"state": "run string, file string, idx bigint, cursor bigint, entregas bigint, caracteres bigint", "fields": FIELD, "evidence": EVIDENCE, "log": LOG}
+#: Steps after which all of them are put together in one.
+COMPACT = 64
+
+
 @dataclass(frozen=True)
 class Version:
-    """tasks: (run, idx, task, fase, titulo, objetivos, fragmentos, datos); state: (run, file, idx, cursor, entregas, caracteres)."""
+    """tasks: (run, idx, task, fase, titulo, objetivos, fragmentos, datos); state: (run, file, idx, cursor, entregas, caracteres).
+
+    A version is a chain of folders, the first of which has the tasks.  Each has
+    the rows that its step changed or added, and at last a record of the folder
+    before it: a folder without that record is no version, so a step that broke
+    off leaves the version before as it was.
+    """
 
     tasks: DataFrame
     state: DataFrame
     fields: DataFrame
     evidence: DataFrame
     log: DataFrame
+    chain: tuple[str, ...] = ()
 
-    def save(self, path: str) -> "Version":
-        """Write the version, and give it as read from there."""
-        for f in fields(self):
-            getattr(self, f.name).write.parquet(f"{path}/{f.name}")
-        return Version.load(self.state.sparkSession, path)
+    @classmethod
+    def write(cls, spark: SparkSession, rows: dict[str, DataFrame], to: str, before: tuple[str, ...] = ()) -> Version:
+        """The version of a chain and one more step's rows; a chain that has grown long is put together."""
+        for name in ("tasks", *TABLES):
+            if name in rows:
+                rows[name].withColumn("step", F.lit(len(before))).write.parquet(f"{to}/{name}")
+        spark.createDataFrame([(i, p) for i, p in enumerate([*before, to])], "at int, path string").coalesce(1).write.json(f"{to}/chain")
+        found = cls.load(spark, to)
+        return found.compact(f"{to}/all") if len(found.chain) > COMPACT else found
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> "Version":
-        return cls(*[spark.read.parquet(f"{path}/{f.name}") for f in fields(cls)])
+    def load(cls, spark: SparkSession, path: str) -> Version:
+        """The version whose last step's folder is given; where the steps were put together after it, from there."""
+        for place in (f"{path}/all", path):
+            if _exists(spark, f"{place}/chain/_SUCCESS"):
+                break
+        else:
+            raise FileNotFoundError(f"{path} has no whole version")
+        chain = tuple(r.path for r in spark.read.schema("at int, path string").json(f"{place}/chain").orderBy("at").collect())
+        return cls(spark.read.parquet(f"{chain[0]}/tasks").drop("step"), *[_newest(spark, chain, name) for name in TABLES], chain)
+
+    def compact(self, to: str) -> Version:
+        """The same version as a chain of one folder."""
+        return Version.write(self.state.sparkSession, {"tasks": self.tasks, **{n: getattr(self, n) for n in TABLES}}, to)
+
+
+def _newest(spark: SparkSession, chain: tuple[str, ...], name: str) -> DataFrame:
+    """All rows of a table over a chain, of those with equal keys the newest."""
+    every = spark.read.schema(f"{SCHEMAS[name]}, step int").parquet(*[f"{p}/{name}" for p in chain])
+    keys = TABLES[name]
+    if not keys or len(chain) == 1:
+        return every.drop("step")
+    rest = [c for c in every.columns if c not in (*keys, "step")]
+    return every.groupBy(*keys).agg(F.max_by(F.struct(*rest), "step").alias("x")).select(*keys, "x.*").select(*[c for c in every.columns if c != "step"])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def plan(tasks: DataFrame, spots: DataFrame, elements: DataFrame, sizes: DataFrame, computed: DataFrame | None = None) -> DataFrame:
@@ -77,7 +123,7 @@ def begin(tasks: DataFrame, files: DataFrame, to: str) -> Version:
     """The first version: every run at the first fragment of its first task, no fields, an empty log; written to `to`. files: (run, file)."""
     spark = tasks.sparkSession
     state = files.select("run", "file", *[F.lit(0).cast("bigint").alias(c) for c in ("idx", "cursor", "entregas", "caracteres")])
-    return Version(tasks, state, *[spark.createDataFrame([], s) for s in (FIELD, EVIDENCE, LOG)]).save(to)
+    return Version.write(spark, {"tasks": tasks, "state": state, **{n: spark.createDataFrame([], SCHEMAS[n]) for n in ("fields", "evidence", "log")}}, to)
 
 
 def _current(v: Version) -> DataFrame:
@@ -116,19 +162,16 @@ def submit(v: Version, answers: DataFrame, skipped: DataFrame, docs: DataFrame,
     the (run) of records that break a rule, which then keep their task open.
     """
     spark = v.state.sparkSession
-
-    def put(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.parquet(f"{to}/step/{name}")
-        return spark.read.parquet(f"{to}/step/{name}")
-
     verified = (verified if verified is not None else spark.createDataFrame([], "run string")).select("run").distinct()
-    now = _current(v).select("run", "file", F.col("task").alias("current"), "fase", "idx", "cursor", "entregas", "objetivos", (F.col("cursor") >= F.size("fragmentos") - 1).alias("last"), F.size("fragmentos").alias("n"))
-    now = put(now, "now")
-    verified = put(verified.join(now.select("run"), "run", "left_semi"), "verified")
-    answers, skipped = (put(s.join(now.select("run"), "run", "left_semi").join(verified, "run", "left_anti"), n) for s, n in ((answers, "answers"), (skipped, "skipped")))
+    now = _current(v).select("run", "file", F.col("task").alias("current"), "fase", "idx", "cursor", "entregas", "caracteres", "objetivos", (F.col("cursor") >= F.size("fragmentos") - 1).alias("last"), F.size("fragmentos").alias("n"))
+    # Only runs that this step is about.
+    sent = verified.unionByName(answers.select("run")).unionByName(skipped.select("run")).distinct()
+    now = checkpointed(now.join(sent, "run", "left_semi"))
+    verified = verified.join(now.select("run"), "run", "left_semi")
+    answers, skipped = (checkpointed(s.join(now.select("run"), "run", "left_semi").join(verified, "run", "left_anti")) for s in (answers, skipped))
     sent = answers.groupBy("run").agg(F.count("*").alias("na")).join(skipped.groupBy("run").agg(F.count("*").alias("ns")), "run", "full_outer").na.fill(0, ["na", "ns"])
     errors = _errors(v, answers, skipped, now, docs, elements).groupBy("run").agg(F.array_sort(F.collect_set(F.concat_ws(":", "campo", "code"))).alias("errores"))
-    judged = put(sent.join(errors, "run", "left"), "judged")
+    judged = checkpointed(sent.join(errors, "run", "left"))
     good = judged.where("errores IS NULL").select("run")
     moved = good.unionByName(verified)
     # Of a field's values the newest stands.
@@ -136,20 +179,21 @@ def submit(v: Version, answers: DataFrame, skipped: DataFrame, docs: DataFrame,
     done = mine(answers).select("run", "fase", "campo", F.lit(True).alias("completado"), F.lit(False).alias("na"), "valor", F.coalesce("ref_articulo", F.lit("")).alias("ref_articulo"), F.coalesce("notas", F.lit("")).alias("notas"))
     none = mine(skipped).select("run", "fase", "campo", F.lit(False).alias("completado"), F.lit(True).alias("na"), F.lit("").alias("valor"), F.lit("").alias("ref_articulo"), F.concat(F.lit("[no aplica] "), "motivo").alias("notas"))
     written = done.unionByName(none)
-    kept = v.fields.join(written.select("run", "campo"), ["run", "campo"], "left_anti").unionByName(written)
-    proof = v.evidence.unionByName(mine(answers).select("run", "campo", "cita", F.coalesce("tipo", F.lit("texto")).alias("tipo"), "verbatim"))
+    proof = mine(answers).select("run", "campo", "cita", F.coalesce("tipo", F.lit("texto")).alias("tipo"), "verbatim")
     size = mine(answers).groupBy("run").agg(F.sum(F.length(F.to_json(F.struct("campo", "valor", "cita", "verbatim", "ref_articulo")))).alias("chars"))
-    merged = replace(v, fields=put(kept, "fields"), evidence=put(proof, "evidence"))
-    blocked = (check(merged) if check else spark.createDataFrame([], "run string")).select("run").distinct()
     ends = now.join(moved, "run", "left_semi").where("cursor + 1 >= n").select("run")
-    stuck, closed = (put(ends.join(blocked, "run", how), n) for how, n in (("left_semi", "stuck"), ("left_anti", "closed")))
+    if check:
+        kept = v.fields.join(written.select("run", "campo"), ["run", "campo"], "left_anti").unionByName(written)
+        blocked = check(replace(v, fields=kept, evidence=v.evidence.unionByName(proof))).select("run").distinct()
+    else:
+        blocked = spark.createDataFrame([], "run string")
+    stuck, closed = (checkpointed(ends.join(blocked, "run", how)) for how in ("left_semi", "left_anti"))
     flag = lambda s, c: s.select("run", F.lit(True).alias(c))
-    joined = v.state.join(flag(moved, "moved"), "run", "left").join(flag(closed, "closed"), "run", "left").join(size, "run", "left")
-    step = F.when(F.col("moved"), 1).otherwise(0)
-    state = joined.select("run", "file", (F.col("idx") + F.when(F.col("closed"), 1).otherwise(0)).alias("idx"), F.when(F.col("closed"), F.lit(0).cast("bigint")).otherwise(F.col("cursor") + step).alias("cursor"), (F.col("entregas") + step).alias("entregas"), (F.col("caracteres") + F.coalesce("chars", F.lit(0))).alias("caracteres"))
+    joined = now.join(flag(moved, "moved"), "run").join(flag(closed, "closed"), "run", "left").join(size, "run", "left")
+    state = joined.select("run", "file", (F.col("idx") + F.when(F.col("closed"), 1).otherwise(0)).cast("bigint").alias("idx"), F.when(F.col("closed"), F.lit(0)).otherwise(F.col("cursor") + 1).cast("bigint").alias("cursor"), (F.col("entregas") + 1).cast("bigint").alias("entregas"), (F.col("caracteres") + F.coalesce("chars", F.lit(0))).cast("bigint").alias("caracteres"))
     entry = lambda s, outcome, errors=None: s.join(now.select("run", "current", "entregas"), "run").select("run", F.lit(ts).alias("ts"), F.col("current").alias("task"), (F.col("entregas") + 1).alias("entrega"), *[(F.col(c) if c in s.columns else F.lit(0)).cast("bigint").alias(n) for c, n in (("na", "extracciones"), ("ns", "no_aplica"))], F.lit(outcome).alias("resultado"), (F.col(errors) if errors else F.array().cast("array<string>")).alias("errores"))
-    log = v.log.unionByName(entry(judged.where("errores IS NULL"), ACCEPTED)).unionByName(entry(judged.where("errores IS NOT NULL"), REJECTED, "errores")).unionByName(entry(verified, VERIFIED)).unionByName(entry(stuck, BLOCKED))
-    return replace(merged, state=state, log=log).save(to)
+    log = entry(judged.where("errores IS NULL"), ACCEPTED).unionByName(entry(judged.where("errores IS NOT NULL"), REJECTED, "errores")).unionByName(entry(verified, VERIFIED)).unionByName(entry(stuck, BLOCKED))
+    return Version.write(spark, {"state": state, "fields": written, "evidence": proof, "log": log}, to, v.chain)
 
 
 def _errors(v: Version, answers: DataFrame, skipped: DataFrame, now: DataFrame, docs: DataFrame, elements: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from ..functions import text as T
 from ..operators import chunks as C
 from ..operators import gold as G
 from ..operators import manifest as M
+from ..operators import positional as P
 from ..operators import search as S
 from ..sources import corpus
 from .registry import CHUNKED, CHUNKS, DOCS, FLAT, FOLD, chunked, docs, query, stored, table
@@ -42,6 +43,26 @@ def integrity_diff(spark, sf_dir):
     return M.integrity_diff(M.manifest(_now(spark, sf_dir), "filename"), M.manifest(docs(spark, sf_dir), "filename"))
 
 
+def _seal(spark, sf_dir):
+    """The documents' seal, written once, and that of the current state, an update of it that holds what changed."""
+    base = stored(spark, sf_dir, "documents", lambda to: M.Seal.write(M.manifest(docs(spark, sf_dir), "filename"), to, 2), "seal")
+    seal = M.Seal.open(spark, [base])
+    d = docs(spark, sf_dir)
+    gone = d.where("doc_id % 97 = 0").selectExpr("filename", "cast(null AS string) AS sha256", "0L AS bytes")
+    other = d.where("doc_id % 97 <> 0 AND doc_id % 101 = 0").select("filename", F.concat("text", F.lit("!")).alias("text"))
+    new = d.where("doc_id % 103 = 0").select(F.concat(F.lit("new-"), "filename").alias("filename"), "text")
+    changes = gone.unionByName(M.manifest(other.unionByName(new), "filename"))
+    now = stored(spark, sf_dir, "documents", lambda to: seal.update(changes, to), "seal-now")
+    return seal, M.Seal.open(spark, [base, now])
+
+
+@query(f"""WITH {_CURRENT} SELECT filename, CASE WHEN s.sha256 IS NULL THEN 'added' WHEN c.sha256 IS NULL THEN 'removed' ELSE 'modified' END AS status, s.sha256 AS sealed_sha, c.sha256 AS current_sha
+FROM sealed s FULL JOIN current c USING (filename) WHERE s.sha256 IS DISTINCT FROM c.sha256""")
+def seal_diff(spark, sf_dir):
+    seal, now = _seal(spark, sf_dir)
+    return seal.diff(now)
+
+
 @query(f"""WITH {_CURRENT}, i AS (SELECT filename FROM now WHERE doc_id % 89 <> 0)
 SELECT 'disk_not_indexed' AS difference, filename FROM (SELECT filename FROM now EXCEPT SELECT filename FROM i)
 UNION ALL SELECT 'indexed_not_on_disk', filename FROM (SELECT filename FROM i EXCEPT SELECT filename FROM now)
@@ -83,7 +104,7 @@ _TOKENS = rf"toks AS (SELECT doc_id, unnest(regexp_extract_all({FOLD.format('tex
 
 def _postings_of_documents(spark, sf_dir):
     """The documents' index, written once for a table and session and read by every search."""
-    path = stored(spark, sf_dir, "documents", lambda d, to: S.write_postings(d, "doc_id", to))
+    path = stored(spark, sf_dir, "documents", lambda to: S.write_postings(table(spark, sf_dir, "documents"), "doc_id", to), "index")
     return spark.read.parquet(path)
 
 
@@ -160,7 +181,7 @@ def _searches(spark, sf_dir):
 
 
 def _stored_searches(spark, sf_dir):
-    path = stored(spark, sf_dir, "documents", lambda _, to: _searches(spark, sf_dir).write.mode("overwrite").parquet(to), "searches")
+    path = stored(spark, sf_dir, "documents", lambda to: _searches(spark, sf_dir).write.mode("overwrite").parquet(to), "searches")
     return spark.read.parquet(path)
 
 
@@ -203,6 +224,43 @@ def search_verdict(spark, sf_dir):
     return S.differential(queries, hits, S.search_scan(d, queries, "doc_id"), S.raw_scan(d, queries.withColumnRenamed("token", "term"), "doc_id"), "doc_id")
 
 
+# Positional searches: words of every hundredth document, against all documents.
+_PLACED = rf"pos AS (SELECT doc_id, unnest(l) AS token, generate_subscripts(l, 1) - 1 AS place FROM (SELECT doc_id, regexp_extract_all({FOLD.format('text')}, '[\p{{L}}\p{{N}}_]+') AS l FROM documents))"
+
+
+def _positions(spark, sf_dir):
+    path = stored(spark, sf_dir, "documents", lambda to: P.write_index(table(spark, sf_dir, "documents"), "doc_id", to), "positions")
+    return P.Index(spark, path, "doc_id")
+
+
+def _words_at(spark, sf_dir, first: int, n: int, step: int = 1):
+    """(q, i, token): n words of each hundredth document, from a place on."""
+    own = table(spark, sf_dir, "documents").where("doc_id % 100 = 0").select(F.col("doc_id").alias("q"), T.tokens("text").alias("own"))
+    picked = F.array(*[F.try_element_at("own", F.lit(first + 1 + j * step)) for j in range(n)])
+    return own.where(F.size("own") > first + (n - 1) * step).select("q", F.posexplode(picked).alias("i", "token"))
+
+
+@query(f"""WITH {_PLACED}, a AS (SELECT doc_id AS q, place - 2 AS i, token FROM pos WHERE doc_id % 100 = 0 AND place BETWEEN 2 AND 4), w AS (SELECT q FROM a GROUP BY q HAVING count(*) = 3)
+SELECT q, doc_id, count(*) AS n, min(start) AS first FROM (SELECT q, doc_id, place - i AS start FROM a JOIN pos USING (token) WHERE q IN (SELECT q FROM w) GROUP BY ALL HAVING count(*) = 3) GROUP BY q, doc_id""")
+def phrase_search(spark, sf_dir):
+    return P.phrases(_positions(spark, sf_dir), _words_at(spark, sf_dir, 2, 3))
+
+
+@query(f"""WITH {_PLACED}, a AS (SELECT doc_id AS q, place AS i, token FROM pos WHERE doc_id % 100 = 0 AND place IN (0, 4, 8)), w AS (SELECT q FROM a GROUP BY q HAVING count(*) = 3), t AS (SELECT q, token, row_number() OVER (PARTITION BY q ORDER BY min(i)) AS i, count(*) OVER (PARTITION BY q) AS m FROM a WHERE q IN (SELECT q FROM w) GROUP BY q, token),
+e AS (SELECT q, doc_id, m, place, max(place) FILTER (i = 1) OVER v AS x, max(place) FILTER (i = 2) OVER v AS y, max(place) FILTER (i = 3) OVER v AS z FROM t JOIN pos USING (token) WINDOW v AS (PARTITION BY q, doc_id ORDER BY place)),
+g AS (SELECT q, doc_id, min(greatest(place - CASE m WHEN 1 THEN x WHEN 2 THEN least(x, y) ELSE least(x, y, z) END - 1, 0)) AS gap FROM e WHERE x IS NOT NULL AND (m < 2 OR y IS NOT NULL) AND (m < 3 OR z IS NOT NULL) GROUP BY q, doc_id) SELECT * FROM g WHERE gap <= 10""")
+def near_search(spark, sf_dir):
+    return P.near(_positions(spark, sf_dir), _words_at(spark, sf_dir, 0, 3, 4), 10)
+
+
+@query(rf"""WITH {_PLACED}, len AS (SELECT doc_id, len(regexp_extract_all({FOLD.format('text')}, '[\p{{L}}\p{{N}}_]+')) AS n FROM documents), mean AS (SELECT count(*) AS docs, avg(n) AS mean FROM len), tf AS (SELECT doc_id, token, count(*) AS tf FROM pos GROUP BY ALL), dfs AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
+a AS (SELECT DISTINCT doc_id AS q, token FROM pos WHERE doc_id % 100 = 0 AND place < 5 AND doc_id IN (SELECT doc_id FROM len WHERE n >= 5)),
+s AS (SELECT q, doc_id, CAST(sum(CAST(floor(1000000 * ln(1 + (CAST(docs AS DOUBLE) - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * (tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n / mean)))) AS BIGINT)) AS BIGINT) AS score FROM a JOIN tf USING (token) JOIN dfs USING (token) JOIN len USING (doc_id), mean GROUP BY q, doc_id)
+SELECT q, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s QUALIFY rank <= 10""")
+def ranked_search(spark, sf_dir):
+    return P.ranked(_positions(spark, sf_dir), _words_at(spark, sf_dir, 0, 5), 10)
+
+
 # Gold cases: every document is cited, every seventieth wrongly.
 _CLAIMS = rf"""{DOCS}, parts AS (SELECT filename, doc_id, string_split(text, chr(10)) AS l, 1 + doc_id % 3 AS a, 1 + doc_id % 3 + doc_id % 2 AS b FROM docs),
 claims AS (SELECT doc_id AS id, filename, l, a, b, CASE WHEN doc_id % 90 = 0 THEN 'nowhere' ELSE filename || '#L' || a || CASE WHEN b > a THEN '-L' || b ELSE '' END END AS cita, CASE WHEN doc_id % 70 = 0 THEN 'zzz ' ELSE '' END || translate(left({FLAT.format('coalesce(l[a], chr(32))')}, 40), 'aeiou', 'AEIOU') AS verbatim FROM parts)"""

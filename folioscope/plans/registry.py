@@ -6,13 +6,14 @@ them, in Spark and in SQL alike.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import remove, shared_folder
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -31,28 +32,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_STORED: dict[tuple, str] = {}
+#: By session, folder and what is stored: the tables' state and the folder.
+_STORED: dict[tuple, tuple] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[DataFrame, str], None], what: str = "index") -> str:
-    """The folder of what `write` has made of a table, made anew when session, folder or the table's files change.
+def stored(spark: SparkSession, sf_dir: str, names: str | tuple[str, ...], write: Callable[[str], None], what: str) -> str:
+    """The folder of what `write` has made of tables, made anew when the session, a folder or any of the tables' files change.
 
-    It lies in the cluster's shared folder; a session without one that isn't
-    local is refused.
+    names are all tables that `write` reads.  A table's state is the names,
+    lengths and times of its files.  The result lies in the cluster's shared
+    folder; a session without one that isn't local is refused.  What an older
+    state of the tables had given is removed.
     """
-    path = f"{sf_dir}/{name}.parquet"
+    tables = (names,) if isinstance(names, str) else names
+    place = (spark.sparkContext.applicationId, sf_dir, what)
+    state = tuple(_state(spark, f"{sf_dir}/{n}.parquet") for n in tables)
+    if _STORED.get(place, (None,))[0] != state:
+        folder = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+        write(folder)
+        if place in _STORED:
+            remove(spark, _STORED[place][1])
+        _STORED[place] = state, folder
+    return _STORED[place][1]
+
+
+def _state(spark: SparkSession, path: str) -> tuple:
+    """Names, lengths and times of a table's files."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    state = files.getFileStatus(hadoop).getModificationTime(), files.getContentSummary(hadoop).getLength()
-    made = (spark.sparkContext.applicationId, path, what, *state)
-    if made not in _STORED:
-        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-        if not shared and not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = f"{shared or tempfile.mkdtemp(prefix='folioscope-stored-')}/{what}-{uuid.uuid4().hex}"
-        write(table(spark, sf_dir, name), folder)
-        _STORED[made] = folder
-    return _STORED[made]
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = system.listFiles(hadoop, True)
+    found = []
+    while files.hasNext():
+        one = files.next()
+        found.append((one.getPath().getName(), one.getLen(), one.getModificationTime()))
+    return tuple(sorted(found))
 
 
 #: SQL of folding, of collapsing white space, and of a document's file name.

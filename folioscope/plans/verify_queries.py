@@ -466,7 +466,7 @@ def _first_version(spark, sf_dir):
     spots = d.selectExpr("run", "n_lines", "inline(array(named_struct('anchor', 'top', 'l1', 1L, 'l2', cast(null AS bigint)), named_struct('anchor', 'mid', 'l1', if(n_lines >= 4, 2L, null), 'l2', 4L)))").drop("n_lines")
     tasks = spark.createDataFrame([(0, "T1", 1, "identity", "A.", ["mid", "top"]), (1, "T2", 2, "force", "C.", ["top"])], "idx bigint, task string, fase bigint, titulo string, prefix string, names array<string>")
     plan = N.plan(tasks, spots, _elements(spark, sf_dir), d.select("run", "n_lines"))
-    path = stored(spark, sf_dir, "documents", lambda _, to: N.begin(plan, d.select("run", F.col("filename").alias("file")), to), "runs-0")
+    path = stored(spark, sf_dir, ("documents", "part"), lambda to: N.begin(plan, d.select("run", F.col("filename").alias("file")), to), "runs-0")
     return N.Version.load(spark, path)
 
 
@@ -489,7 +489,7 @@ def _submitted(spark, sf_dir):
     skipped = spark.createDataFrame([], "run string, task string, campo string, motivo string")
     verified = d.where("doc_id % 4 = 2").selectExpr("cast(doc_id AS string) AS run")
     first = _first_version(spark, sf_dir)
-    path = stored(spark, sf_dir, "documents", lambda _, to: N.submit(first, answers, skipped, d, "2024-01-01T00:00:00Z", elements, to, verified), "runs-1")
+    path = stored(spark, sf_dir, ("documents", "part"), lambda to: N.submit(first, answers, skipped, d, "2024-01-01T00:00:00Z", elements, to, verified), "runs-1")
     return N.Version.load(spark, path)
 
 

@@ -1,11 +1,11 @@
-"""Bad patterns and JSON, similarity without windows, whole documents, and the small operators."""
+"""Bad patterns and JSON, many claims on one file, whole documents, and the small operators."""
 
 import hashlib
 import json
 
 import pytest
 
-from folioscope.functions import canonical, html, similarity
+from folioscope.functions import canonical, html
 from folioscope.operators import compare as K
 from folioscope.operators import documents as O
 from folioscope.operators import errata as E
@@ -41,20 +41,23 @@ def test_invalid_json_is_told(spark):
     assert got == {1: (hashlib.sha256('{"a": "é", "b": 1}'.encode()).hexdigest(), None), 2: (None, "invalid"), 3: (None, "missing")}
 
 
-def test_whole_texts_are_compared(spark):
-    a = "x" * 60_000 + "palabra " * 9_000
-    b = a[:90_001] + "OTRA" + a[90_005:]
-    assert similarity.ratio(a, b, whole=True) < 1
-    found = similarity.difference(a, b, whole=True)
-    assert "OTRA" in found["right"] and similarity.difference(a, b) == {"left": None, "right": None}
-    seen = spark.createDataFrame([(a, b), ("a", "b")], "a string, b string")
-    assert sorted(r[0] for r in seen.select(similarity.sampled(seen.a, seen.b)).collect()) == [False, True]
-    arts = spark.createDataFrame([(1, "1", 0, "uno"), (1, "1", 1, "uno"), (1, "2", 0, "dos")], "doc int, key string, copy_no long, text string")
+def test_copies_and_states(spark):
+    arts = spark.createDataFrame([(1, "1", 0, "uno"), (1, "1", 1, "uno"), (1, "2", 0, "dos"), (1, "3", 0, "tres")], "doc int, key string, copy_no long, text string")
     source = spark.createDataFrame([(1, "1", 0, "unos"), (1, "1", 1, "unos"), (1, "2", 0, "dos")], "doc int, key string, copy_no long, text string")
-    assert sorted((r.key, r.state, r.sampled) for r in K.compare(arts, source, "doc").collect()) == [("1", "divergente", False), ("2", "exacto", False)]
+    got = sorted((r.key, r.state, r.ratio, r.compared) for r in K.compare(arts, source, "doc").collect())
+    assert got == [("1", "divergente", round(6 / 7, 4), 1), ("2", "exacto", 1.0, 0), ("3", "ausente_en_fuente", None, 0)]
     assert [r.shown for r in K.keyword(arts, "doc", "2.", "dos").collect()] == ["dos"]
 
 
+def test_many_claims_and_cases_on_one_file(spark):
+    text = "\n".join(f"linea {i} x{i % 7}" for i in range(3000))
+    docs = spark.createDataFrame([("a.md", text), ("b.md", "otra")], "filename string, text string")
+    claims = spark.range(2500).selectExpr("id", "concat('a.md#L', id + 1, '-L', id + 2) AS cita", "concat('LINEA ', id + 1) AS verbatim")
+    assert {r.outcome: r.n for r in G.check_citations(claims, docs).groupBy("outcome").agg({"id": "count"}).toDF("outcome", "n").collect()} == {"ok": 2500}
+    cases = spark.range(2100).selectExpr("id", "'a.md' AS norma", "'1' AS valor", "concat('^linea ', id, ' ') AS patron")
+    assert G.check_counts(cases, docs).where("ok AND n_found = 1").count() == 2100
+
+
 def test_offsets_of_articles(spark):
     text = "before\n\n  Artículo 1o. Uno\nmore\n\nARTÍCULO nuevo. x\nartículo 3. no header\nArtículo 2.1A: y"
     got = [(r.key, text[r.start : r.end]) for r in K.offsets(spark.createDataFrame([("d", text), ("e", None), ("f", "")], "d string, text string"), "d").orderBy("start").collect()]

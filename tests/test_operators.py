@@ -118,7 +118,7 @@ def test_ratio_and_difference():
     long = a * 300
     assert 0 < similarity.ratio(long, long[:70_000] + "!" + long[70_001:]) <= 1
     assert similarity.difference("xxabc", "xxadc") == {"left": "xxabc", "right": "xxadc"}
-    assert similarity.difference("a" * 30_000, "b" * 30_000)["left"] is None
+    assert similarity.difference("a" * 30_000, "b" * 30_000) == {"left": "a" * 30_000, "right": "b" * 30_000}
 
 
 def test_article_headers(spark):
@@ -226,3 +226,14 @@ def test_generation_and_certificate(spark):
     D.start(none, spots, ["a"])
     with pytest.raises(RuntimeError):
         D.start(none, spots, ["a", "b"])
+
+
+def test_overlap_by_blocks(spark):
+    import random
+
+    rng = random.Random(2)
+    lines = [(f"f{rng.randrange(3)}", rng.choice((rng.randrange(1, 40), rng.randrange(1, 5000), rng.randrange(1, 10**7)))) for _ in range(600)]
+    spans = [(f"f{rng.randrange(4)}", i, *sorted((rng.choice((1, rng.randrange(1, 300), rng.randrange(1, 10**7))), rng.randrange(1, 6000)))) for i in range(150)] + [("f0", 900, 5, 4), ("f0", 901, 7, 7)]
+    got = {(r.filename, r.span_id): r.n_lines for r in E.overlap(spark.createDataFrame(lines, "filename string, line_no int"), spark.createDataFrame(spans, "filename string, span_id long, l1 long, l2 long"), "filename").collect()}
+    want = {(f, i): n for f, i, a, b in spans if (n := len({x for g, x in lines if g == f and a <= x <= b}))}
+    assert got == want

@@ -41,3 +41,30 @@ def test_entry_needs_no_session_to_import():
 
     code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries()); print(len(e.queries()))"
     assert int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) > 80
+
+
+def test_entry_without_a_library_of_the_subpackage():
+    import subprocess
+    import sys
+
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries()); assert not [n for n in e.queries() if n.startswith('op')]; print(len(e.queries()))"
+    assert int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) > 95
+
+
+def test_stored_results_follow_every_table(spark, sf, tmp_path):
+    import shutil
+
+    copy = tmp_path / "sf"
+    copy.mkdir()
+    for t in ("documents", "part"):
+        src = f"{sf}/{t}.parquet"
+        shutil.copytree(src, copy / f"{t}.parquet") if __import__("os").path.isdir(src) else shutil.copy(src, copy / f"{t}.parquet")
+    run = lambda: {r.objectives for r in catalogue.QUERIES["run_delivery"](spark, str(copy)).collect()}
+    before = run()
+    some = spark.read.parquet(f"{sf}/part.parquet").where("p_partkey <> 0").limit(40)
+    some.write.parquet(str(tmp_path / "part"))
+    path = copy / "part.parquet"
+    shutil.rmtree(path) if path.is_dir() else path.unlink()
+    shutil.copytree(tmp_path / "part", path)
+    fewer = run()
+    assert before != fewer
