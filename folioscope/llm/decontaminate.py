@@ -12,9 +12,9 @@ too is one fingerprint.
 A benchmark of up to BLOCK_ROWS windows, which are counted first, is sent to the
 executors whole, so documents are read once and not shuffled.  A larger one
 stays a table: a bitmap of its fingerprints, of bounded size, is sent, documents
-give the windows whose fingerprint it may hold, and these are joined with the
-benchmark's by fingerprint and window, dealt by a salt so that a passage of very
-many documents doesn't meet in one task.  The driver holds the bitmap only.
+give the windows whose fingerprint it may hold, one row each, and these are
+joined with the benchmark's; windows of very many documents are joined apart, so
+that they don't meet in one task.  The driver holds the bitmap only.
 
 Defined results: a null or empty text, or one without words, has no hits and the
 digest of the empty string.  Items without words give no windows.  An item with
@@ -31,13 +31,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import checkpointed, drop_rows, filter_texts, fresh, located, map_texts
+from .common import checkpointed, drop_rows, filter_texts, fresh, limit_batches, located, map_texts, raw_texts, skew_join
 
 SPAN, GRAM = 10, 5
-#: Windows of a benchmark that is sent whole, some 40 MB in a Python worker; bits of a larger one's bitmap at most; and tasks among which a window's hits are dealt.
-BLOCK_ROWS, FILTER_BITS, SALTS = 200_000, 1 << 27, 16
+#: Windows of a benchmark that is sent whole, some 40 MB in a Python worker; bits of a larger one's bitmap at most; and suspect windows that a worker puts out at once.
+BLOCK_ROWS, FILTER_BITS, SUSPECTS = 200_000, 1 << 27, 10_000
 
 #: Keeps a-z, 0-9 and bytes of other scripts, lower-cases A-Z, and turns the rest to spaces.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -178,16 +179,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         return map_texts(docs, [key], text, lambda texts: _columns(*sent.value.scan(texts)), f"{key} {kind}, {_RESULT}")
     # Repeated rows have equal hits, which count once.
     scanned, hits = _joined(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), [F.col("k").alias("k"), F.xxhash64("t").alias("digest")], f"k {kind}, digest bigint", windows, gram)
-    grouped = hits.groupBy("k", "digest").agg(F.collect_set(F.struct("a", "b")).alias("hits"), F.collect_set("item").alias("items"))
-    same = F.col("d.k").eqNullSafe(F.col("h.k")) & (F.col("d.digest") == F.col("h.digest"))
-    joined = scanned.alias("d").join(grouped.alias("h"), same, "left").select("d.k", "n_words", F.coalesce("hits", F.array()).alias("hits"), F.coalesce("items", F.array()).alias("items"))
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            intervals = [[(i["a"], i["b"]) for i in row] for row in x.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([x.column(0), *map(lambda v: v if isinstance(v, pa.Array) else pa.array(v), _columns(x.column(1).to_pylist(), intervals, x.column(3).to_pylist()))], names=[key, *[c.split()[0] for c in _RESULT.split(", ")]])
-
-    return joined.mapInArrow(finish, f"{key} {kind}, {_RESULT}")
+    reach = F.max("b").over(W.partitionBy("k", "digest").orderBy("a", "b").rowsBetween(W.unboundedPreceding, -1))
+    new = F.greatest(F.col("b") - F.greatest("a", F.coalesce(reach, F.lit(0))), F.lit(0))
+    covered = hits.select("k", "digest", new.alias("new")).groupBy("k", "digest").agg(F.sum("new").alias("n_hit"))
+    named = hits.select("k", "digest", F.explode("items").alias("item")).distinct().groupBy("k", "digest").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    out = scanned
+    for i, more in enumerate((covered, named)):
+        own = more.withColumnsRenamed({"k": f"k{i}", "digest": f"digest{i}"})
+        out = out.join(own, F.col("k").eqNullSafe(F.col(f"k{i}")) & (F.col("digest") == F.col(f"digest{i}")), "left")
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return out.select(F.col("k").alias(key), "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def keep(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", span: int = SPAN, gram: int = GRAM, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -209,15 +211,17 @@ def _sent(windows: DataFrame, gram: int, block_rows: int):
 
 
 def _joined(rows: DataFrame, keys: list, schema: str, windows: DataFrame, gram: int) -> tuple[DataFrame, DataFrame]:
-    """(keys, n_words) of all rows of a text column t, and (keys, a, b, item) of their hits, by a join with the table of windows."""
+    """(keys, n_words) of all rows of a text column t, and (keys, a, b, items) of their hits, by a join with the table of windows."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch.column(0).to_pylist()
             fps = np.array([_fingerprint(w, gram) for w in own], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([w.count(b" ") + 1 for w in own], pa.int32()), pa.array(fps, pa.int64())], names=["window", "item", "size", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([w.count(b" ") + 1 for w in own], pa.int32()), pa.array(fps, pa.int64())], names=["window", "items", "size", "fp"])
 
-    table = checkpointed(windows.mapInArrow(index, "window binary, item string, size int, fp bigint"))
+    # A window's items that have an id; all windows mark words.
+    listed = windows.groupBy("window").agg(F.collect_list("item").alias("items"))
+    table = checkpointed(listed.mapInArrow(index, "window binary, items array<string>, size int, fp bigint"))
     n = table.count()
     bits = min(FILTER_BITS, 1 << max(6, (16 * n - 1).bit_length()))
     sizes = sorted(r.size for r in table.select("size").distinct().collect())
@@ -232,12 +236,23 @@ def _joined(rows: DataFrame, keys: list, schema: str, windows: DataFrame, gram:
         at = own & np.uint64(bits - 1)
         return (sent.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
-    def run(texts: list[bytes]) -> list:
-        counts, found = _matches(texts, sizes, gram, known)
-        return [pa.array(counts, pa.int64()), pa.array([[{"a": a, "b": b, "window": w, "fp": int(np.uint64(_fingerprint(w, gram)).view(np.int64))} for a, b, w in own] for own in found], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("window", pa.binary()), ("fp", pa.int64())])))]
-
     names = [c.split()[0] for c in schema.split(", ")]
-    scanned = checkpointed(map_texts(rows, keys, "t", run, f"{schema}, n_words bigint, found array<struct<a:int,b:int,window:binary,fp:bigint>>"))
-    suspects = scanned.select(*names, F.inline("found"), F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"))
-    dealt = table.select("window", "fp", "item", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return scanned.select(*names, "n_words"), suspects.join(dealt, ["salt", "fp", "window"]).select(*names, "a", "b", "item")
+    limit_batches(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row of each text with its number of words as b, and a row of each suspect window."""
+        for batch in batches:
+            for at in range(batch.num_rows):
+                counts, found = _matches(raw_texts(batch.column(len(names)).slice(at, 1)), sizes, gram, known)
+                every = [(-1, counts[0], None), *found[0]]
+                for start in range(0, len(every), SUSPECTS):
+                    part = every[start : start + SUSPECTS]
+                    own = [c.take(pa.array([at] * len(part))) for c in batch.columns[: len(names)]]
+                    a, b, window = zip(*part, strict=True)
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(window, pa.binary())], names=[*names, "a", "b", "window"])
+
+    emitted = checkpointed(rows.select(*keys, "t").mapInArrow(run, f"{schema}, a bigint, b bigint, window binary"))
+    suspects = emitted.where("a >= 0")
+    met = suspects.groupBy("window").agg(F.count("*").alias("n")).join(table.select("window", "items"), "window")
+    hits = skew_join(suspects, met, "window", "n", suspects.count())
+    return emitted.where("a < 0").select(*names, F.col("b").alias("n_words")), hits.select(*names, "a", "b", "items")

@@ -14,7 +14,7 @@ from __future__ import annotations
 import random
 from collections.abc import Iterator
 
-KINDS = ("news", "blog", "docs", "table", "notes", "wrapped", "sections", "short", "single", "none")
+KINDS = ("news", "blog", "docs", "table", "notes", "wrapped", "sections", "short", "single", "bare", "none")
 STYLES = ("elements", "names", "random", "wrong", "article only", "rest only")
 
 #: How the parts of a page are named where its style tells them.
@@ -22,12 +22,12 @@ ELEMENT = {"menu": "nav", "head": "header", "foot": "footer", "side": "aside", "
 NAMES = {
     "menu": ("main-nav", "menu", "navbar", "topbar", "breadcrumbs"),
     "head": ("header", "site-header", "masthead"),
-    "foot": ("footer", "site-footer", "pageFooter"),
-    "side": ("sidebar", "widget", "related", "side-widget"),
+    "foot": ("footer", "site-footer", "pageFooter", "footer-content", "colophon"),
+    "side": ("sidebar", "widget", "related", "side-widget", "related-post", "latest-content"),
     "form": ("newsletter", "search", "signup"),
-    "notice": ("cookie-notice", "notice", "gdpr-banner", "popup"),
+    "notice": ("cookie-notice", "notice", "gdpr-banner", "popup", "modal-content"),
     "advert": ("ad", "advert", "sponsored", "promo"),
-    "comments": ("comments", "comment-list", "replies"),
+    "comments": ("comments", "comment-list", "replies", "comment-content"),
     "byline": ("byline", "post-meta", "share"),
     "article": ("article", "post-content", "entry", "story", "article-body"),
 }
@@ -137,6 +137,8 @@ class Writer:
                 out.append(f"<{(tag := r.choice(('section', 'div')))}>{self.kept('h2', self.phrase(1, 5))}{para(*r.choice(((20, 80), (5, 30))))}{caption}{para(10, 60)}{items}</{tag}>")
             if self.told and r.random() < 0.3:
                 return f"<header>{title}{lead}</header>" + "".join(out)
+        elif kind == "bare":
+            return "".join(para(20, 60) for _ in range(r.randint(2, 4)))
         elif kind in ("short", "single"):
             sure = self.told or self.style == "names"
             size = (1, r.choice((3, 20, 40))) if sure else (25, 60)
@@ -177,10 +179,17 @@ class Writer:
         inline = " ".join(f"<a href='/{i}'>{self.phrase(1, 2)}</a>" for i in range(r.randint(2, 5)))
         foot = maybe(0.7, lambda: self.part("foot", r.choice((line, line + few, few + line, few, inline, inline + line))))
         alone = maybe(0.5, lambda: self.part("side", self.teaser()) if self.style != "wrong" else self.teaser())
-        article = self.part("article", self.article(kind)) if kind != "none" else ""
+        article = self.article(kind) if kind != "none" else ""
+        # A bare article stands among the other parts half of the time.
+        if article and (kind != "bare" or r.random() < 0.5):
+            article = self.part("article", article)
         middle = [article, alone, form, comments] if r.random() < 0.5 else [alone, article, form, comments]
         middle.insert(r.choice((0, len(middle))), side)
-        if r.random() < 0.3:
+        if kind == "bare" and r.random() < 0.7:
+            # Right after links.
+            before = r.choice((few, self.links(r.randint(1, 2), 1, 2), inline, f"<div>{inline}</div>", self.teaser(), f"<h3><a href='/t'>{self.phrase(2, 8)}</a></h3>", f"<p><a href='/t'>{self.phrase(1, 8)}</a></p>"))
+            middle[middle.index(article)] = f"<table><tr><td>{before}</td>{r.choice(('', '</tr><tr>'))}<td>{article}</td></tr></table>" if r.random() < 0.4 else before + article
+        if r.random() < 0.3 and kind != "bare":
             # Few of the other parts, in any place.
             middle = r.sample([article, r.choice((notice, advert, side, form, comments, foot, head, alone, alone))], 2)
             notice = head = advert = foot = ""
@@ -189,7 +198,7 @@ class Writer:
             middle, notice, head, advert, foot = [article], "", "", "", ""
         body = "".join(middle)
         if r.random() < 0.3:
-            body = f'<div class="{r.choice(("has-sidebar", "with-header", "wrap", "page"))}">{body}</div>'
+            body = f'<div class="{r.choice(("has-sidebar", "with-header", "wrap", "page", "header-wrap", "menu-open", "page-with-banner"))}">{body}</div>'
         parts = [notice, head, advert, body, foot] if r.random() < 0.7 else [head, body, advert, foot, notice]
         return f"<!DOCTYPE html><html><head><title>{self.phrase(2, 5)}</title></head><body>{''.join(parts)}</body></html>"
 

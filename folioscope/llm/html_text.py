@@ -2,17 +2,22 @@
 
 A page is cut at block-level tags into flat blocks.  Of each block are measured:
 its words, link density and sentences, words and link density of its two
-neighbours and whether they share its container, whether it is a heading, its container's share of the page's text,
-and how strongly its ancestors declare a role such as navigation or article, by
+neighbours and whether they share its container, whether it is a heading, its
+container's share of the page's text, and how strongly its ancestors declare a role such as navigation or article, by
 element (2) or by class, id or ARIA role (1).  A decision tree by Gini impurity,
 grown on the blocks of the labelled pages that `html_pages` makes, says which
 blocks are main text; they are joined in page order.
 
-What names declare is one measure among the others.  A name that declares a
-container no main text is void if more than half of the page's text, and a first
-heading or a declared article, lie in it, and so is a form that frames the page; how much of the page's text is
-declared main is a measure too, so a teaser named "post" beside a long undeclared
-text doesn't hide that.
+What names declare is one measure among the others.  Of the parts of a name that
+say something, those for other things than the article count first, so
+"footer-content" is a footer.  A container that holds more than half of the
+page's text doesn't count as something else for a name that can be the page's
+frame or state, such as "header-wrap" or "menu-open", nor if a first heading or
+a declared article lies in it, nor if it is a form.  How much of the page's text
+is declared main is a measure too, so a teaser named "post" beside a long
+undeclared text doesn't hide that.  Words of scripts that don't part them by
+spaces are counted by letters, and cells of tables that hold blocks are
+containers like any other.
 
 Markup that the tree never sees: comments, scripts, styles and the other
 elements whose content isn't text.  Tags that a page's end cuts off are dropped.
@@ -46,12 +51,17 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 #: What an element declares by itself: main text above zero, not main below.
 ELEMENTS = {"article": 2, "main": 2, "form": -1} | dict.fromkeys("nav header footer aside menu dialog button select label noscript template svg math object video audio canvas map head".split(), -2)
 ROLES = {"main": 2, "article": 2} | dict.fromkeys("navigation banner contentinfo complementary search menu menubar toolbar dialog alertdialog alert form".split(), -2)
-#: What a part of a class or id declares; the last known part of a name counts.
-PARTS = dict.fromkeys("article content entry main post story".split(), 1) | dict.fromkeys(
-    "ad ads advert advertisement advertising adverts aside banner banners breadcrumb breadcrumbs byline comment commentlist comments consent cookie cookies copyright disclaimer disqus discussion feedback foot footer form forms gdpr header links login masthead menu menubar meta modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup privacy promo promotion recommended related replies reply respond responses search share sharing sidebar sidenav signup sitemap skip social sponsor sponsored sponsors subscribe tags teaser teasers toolbar topbar tracking widget widgets".split(), -1
-)
-#: Names that begin so say what a page has, not what the element is.
-LAYOUT = frozenset("has with without no is show hide".split())
+#: Parts of a class or id that declare main text, and those that declare something else and count before them.
+MAIN_PARTS = frozenset("article content entry main post story".split())
+OTHER_PARTS = frozenset(
+    "ad ads advert advertisement advertising adverts aside banner banners breadcrumb breadcrumbs byline colophon comment commentlist comments consent cookie cookies copyright disclaimer discussion feedback foot footer form forms gdpr header latest links login masthead menu menubar meta modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup popular privacy promo promotion recent recommended related replies reply respond responses search share sharing sidebar sidenav signup sitemap skip social sponsor sponsored sponsors subscribe tags teaser teasers toolbar topbar tracking trending widget widgets".split()
+)
+#: A header of these is the article's own.
+OWN_PARTS = frozenset("article entry post story".split())
+#: What follows these in a name says what a page has, not what the element is.
+LAYOUT = frozenset("has with without no not is show hide and".split())
+#: Names with these can be about the page, or its state, as well: they are void around most of its text.
+FRAME = frozenset("active app body closed collapsed container expanded fixed frame holder inner layout loaded on open opened outer page root shell site sticky view visible wrap wrapper".split())
 #: Elements that hold blocks together; text-level and table elements don't.
 CONTAINERS = frozenset("div section article main aside nav footer header form body center details fieldset dialog".split())
 #: A form with most of the page's text and more words than that is the page's frame.
@@ -68,31 +78,51 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Letters of scripts that don't part words by spaces; two of them count as a word.
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def n_words(text: str) -> int:
+    """Words of a text without white space at its ends, at least one."""
+    return text.count(" ") + 1 + (0 if text.isascii() else len(_UNSPACED.findall(text)) // 2)
+
 
+def named(name: str) -> tuple[int, bool]:
+    """What one class or id says: 1 main text, -1 something else, 0 nothing; and whether it can be the page's frame."""
+    parts = [x.lower() for x in _PART.findall(name)]
+    for i, part in enumerate(parts):
+        if part in LAYOUT:
+            parts = parts[:i]
+            break
+    other = OTHER_PARTS.intersection(parts)
+    if other and not (other <= {"header"} and OWN_PARTS.intersection(parts)):
+        return -1, not FRAME.isdisjoint(parts)
+    return int(not other and not MAIN_PARTS.isdisjoint(parts)), False
 
-def declared(name: str, attributes: str) -> int:
-    """What an element says about its content: 2 or 1 main text, -1 or -2 not, 0 nothing."""
+
+def declared(name: str, attributes: str) -> tuple[int, bool]:
+    """What an element says about its content: 2 or 1 main text, -1 or -2 not, 0 nothing; and whether it can be the page's frame."""
     own = ELEMENTS.get(name, 0)
     if not attributes.strip() or name in ("html", "body"):
-        return own
-    found = {own}
+        return own, False
+    found, frames = {own}, []
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return -2
+            return -2, False
         if key == "role":
             found.add(ROLES.get(value.strip().lower(), 0))
         elif key in ("class", "id"):
             for one in value.split():
-                parts = [x.lower() for x in _PART.findall(one)]
-                known = [PARTS[p] for p in parts if p in PARTS]
-                if known and parts[0] not in LAYOUT:
-                    found.add(known[-1])
+                says, frame = named(one)
+                found.add(says)
+                if says < 0:
+                    frames.append(frame)
     low, high = min(found), max(found)
     if low < 0 < high and own >= 0:
         # Names of both kinds: an element's own word stands, else nothing is said.
-        return low if own == 2 and low == -2 else own
-    return low if low < 0 else high
+        return (low if own == 2 and low == -2 else own), False
+    return (low if low < 0 else high), low == -1 and bool(frames) and all(frames)
 
 
 @dataclass(frozen=True)
@@ -113,21 +143,28 @@ class Block:
 class Container:
     """An element that holds blocks, or declares something: its words, counted up to the root, and what it says."""
 
-    __slots__ = ("name", "says", "above", "plain", "marks", "id", "parent")
+    __slots__ = ("name", "says", "frame", "above", "plain", "marks", "id", "holds")
+
+    def __init__(self, name: str, says: int, frame: bool, above: "Container | None", number: int):
+        self.name, self.says, self.frame, self.above, self.plain, self.marks, self.id = name, says, frame, above, 0, False, number
+        self.holds = name in CONTAINERS or above is None
 
-    def __init__(self, name: str, says: int, above: "Container | None", number: int):
-        self.name, self.says, self.above, self.plain, self.marks, self.id = name, says, above, 0, False, number
-        # Elements within the text count for the container around them.
-        self.parent = number if name in CONTAINERS or above is None else above.parent
+    @property
+    def parent(self) -> int:
+        """The element that holds a block together with others; elements within the text don't."""
+        own = self
+        while not own.holds:
+            own = own.above
+        return own.id
 
 
-_SENTENCE = re.compile(r"[.!?\u2026\u3002]+[\"')\u00bb\u201d\u2019]*(?=\s|\Z)")
+_SENTENCE = re.compile(r"[.!?\u2026]+[\"')\u00bb\u201d\u2019]*(?=\s|\Z)|[\u3002\uff01\uff1f]+")
 
 
 def blocks(page: str) -> list[Block]:
     """The page's flat text blocks, those without words left out."""
     raw: list[tuple[str, int, int, Container]] = []
-    root = Container("", 0, None, 0)
+    root = Container("", 0, False, None, 0)
     stack = [root]
     names: dict[str, int] = {}
     number = 0
@@ -140,7 +177,8 @@ def blocks(page: str) -> list[Block]:
         if parts:
             words = html.unescape("".join(parts)).split()
             if words:
-                raw.append((" ".join(words), min(len(words), len(html.unescape(" ".join(linked)).split())), int(heading), stack[-1]))
+                own, links = " ".join(words), " ".join(html.unescape(" ".join(linked)).split())
+                raw.append((own, min(n_words(own), n_words(links)) if links else 0, int(heading), stack[-1]))
             parts.clear()
             linked.clear()
 
@@ -182,16 +220,19 @@ def blocks(page: str) -> list[Block]:
                     names[one.name] -= 1
                 del stack[to:]
             continue
-        # An open paragraph ends here, and so does an open item before the next.
-        if stack[-1].name == "p" or stack[-1].name == name == "li":
+        # An open paragraph ends here, and so does an open item or cell before the next.
+        if stack[-1].name == "p" or stack[-1].name == name in ("li", "td"):
             names[stack.pop().name] -= 1
-        says = declared(name, attributes)
+        if stack[-1].name == "td" and name not in ("table", "td", "th", "tr"):
+            # A cell of a layout table holds blocks; one of a data table is a block.
+            stack[-1].holds = True
+        says, frame = declared(name, attributes)
         if not says and name not in CONTAINERS:
             # Elements that say nothing and hold nothing together need no place, unless an end tag must find them.
             if name in ("p", "li") or name in HEADINGS:
                 continue
         number += 1
-        stack.append(Container(name, says, stack[-1], number))
+        stack.append(Container(name, says, frame, stack[-1], number))
         names[name] = names.get(name, 0) + 1
     text(page[at:])
     flush()
@@ -204,7 +245,7 @@ def _measured(raw: list[tuple[str, int, int, Container]]) -> list[Block]:
     held: dict[int, Container] = {}
     total = 0
     for text, linked, _, own in raw:
-        n = text.count(" ") + 1 - linked
+        n = n_words(text) - linked
         own.plain += n
         total += n
         while own is not None and own.id not in held:
@@ -220,7 +261,7 @@ def _measured(raw: list[tuple[str, int, int, Container]]) -> list[Block]:
         own = held[number]
         yes, no = claims[own.above.id] if own.above is not None else (0, 0)
         says = own.says
-        if says == -1 and 2 * own.plain > total and (own.marks or own.name == "form" and own.plain > FORM_WORDS):
+        if says == -1 and 2 * own.plain > total and (own.marks or own.frame or own.name == "form" and own.plain > FORM_WORDS):
             says = 0
         # An article within a header, a notice or the like belongs to that; a form around it doesn't.
         claims[number] = max(yes, says), max(no, -says)
@@ -229,7 +270,7 @@ def _measured(raw: list[tuple[str, int, int, Container]]) -> list[Block]:
         yes, no = claims[own.id]
         if no == 2 and heading and yes == 2 and _headline(own):
             no = 0
-        out.append(Block(text, text.count(" ") + 1, linked, len(_SENTENCE.findall(text)), heading, -no or yes, own.parent))
+        out.append(Block(text, n_words(text), linked, len(_SENTENCE.findall(text)), heading, -no or yes, own.parent))
     return out
 
 
@@ -272,7 +313,7 @@ def features(found: list[Block]) -> np.ndarray:
 #: Splits by role: not main, undeclared, main by a name, main by an element.
 ROLE_CUTS = (-0.5, 0.5, 1.5)
 #: Pages of each kind and style that the tree is grown on, and the fewest blocks of a leaf.
-PAGES_EACH, LEAF_ROWS, DEPTH = 60, 8, 24
+PAGES_EACH, LEAF_ROWS, DEPTH = 45, 8, 24
 
 
 @cache
@@ -295,7 +336,8 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = DEPTH, least: int = LEAF_ROW
     """A tree by Gini impurity: (feature, threshold, tree at or below, tree above), or a class.
 
     first are thresholds of the first feature that are split at before impurity
-    rules, so that each role has a subtree of its own.
+    rules, so that each role has a subtree of its own, and the few short articles
+    that are declared aren't outvoted by short blocks that aren't.
     """
     n, best = len(y), None
     if first:

@@ -33,7 +33,7 @@ from itertools import accumulate, pairwise
 
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import limit_batches
@@ -367,11 +367,26 @@ _ARROW_LEAVES = pa.list_(pa.struct([("text", pa.string()), ("lengths", pa.binary
 _SUMS = ["n_chars", "n_tokens", "n_pretokens"]
 
 
+#: Documents and characters of trees that a worker puts out at once, a longer document alone; and edited keys that are broadcast.
+STORED_ROWS, STORED_CHARS, EDIT_ROWS = 256, 1 << 20, 100_000
+
+
 def _stored(keys: pa.Array, key: str, docs: Iterator[Document]) -> Iterator[pa.RecordBatch]:
-    """Rows of a stored table, in batches of one document, so that only one is held twice."""
-    for i, doc in enumerate(docs):
-        sums = [pa.array([x], pa.int64()) for x in (doc.chars, doc.tokens, doc.n_pieces, doc.encoded)]
-        yield pa.RecordBatch.from_arrays([keys.slice(i, 1), *sums, pa.array([[leaf.row() for _, leaf in leaves(doc.root)]], _ARROW_LEAVES)], names=[key, *_SUMS, "reencoded", "leaves"])
+    """Rows of a stored table, in batches of bounded size."""
+
+    def batch(rows: list[tuple], first: int) -> pa.RecordBatch:
+        *sums, found = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([keys.slice(first, len(rows)), *(pa.array(x, pa.int64()) for x in sums), pa.array(found, _ARROW_LEAVES)], names=[key, *_SUMS, "reencoded", "leaves"])
+
+    rows, first, chars = [], 0, 0
+    for doc in docs:
+        rows.append((doc.chars, doc.tokens, doc.n_pieces, doc.encoded, [leaf.row() for _, leaf in leaves(doc.root)]))
+        chars += doc.chars
+        if len(rows) >= STORED_ROWS or chars >= STORED_CHARS:
+            yield batch(rows, first)
+            rows, first, chars = [], first + len(rows), 0
+    if rows:
+        yield batch(rows, first)
 
 
 def build_trees(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -395,8 +410,12 @@ def apply_edits(trees: DataFrame, edits: DataFrame, ranks: str, pattern: str, ke
     """The table of trees after edits, one row of edits a key: (key, changes array of (at, removed, inserted)).
 
     Leaves that no edit touches are passed on packed.  Trees without edits don't
-    go through Python at all.
+    go through Python at all, and with edits of few keys, which are counted, they
+    aren't shuffled either.
     """
+    edits = edits.select(key, changes)
+    if edits.limit(EDIT_ROWS + 1).count() <= EDIT_ROWS:
+        edits = F.broadcast(edits)
     limit_batches(trees.sparkSession)
     kind = trees.schema[key].dataType.simpleString()
     columns = [key, *_SUMS, "reencoded", "leaves"]
@@ -419,6 +438,25 @@ def apply_edits(trees: DataFrame, edits: DataFrame, ranks: str, pattern: str, ke
     return changed.unionByName(joined.where(~touched).select(key, *_SUMS, F.lit(0).cast("bigint").alias("reencoded"), "leaves"))
 
 
+def edit_files(spark: SparkSession, files: list[str], edits: DataFrame, to: str, ranks: str, pattern: str, key: str = "doc_id", changes: str = "edits") -> list[str]:
+    """The files of a table of trees after edits: those without an edited key as they are, the others written anew in `to`.
+
+    files are those of a table that `build_trees` gave, sorted by key if few of
+    them are to be touched; only their keys are read to tell which are.
+    """
+    trees = spark.read.parquet(*files)
+    name = F.col("_metadata.file_path")
+    keys = edits.select(F.col(key).alias("__key")).distinct()
+    if keys.limit(EDIT_ROWS + 1).count() <= EDIT_ROWS:
+        keys = F.broadcast(keys)
+    touched = {r[0] for r in trees.select(key, name.alias("__file")).join(keys, F.col(key).eqNullSafe(F.col("__key")), "left_semi").select("__file").distinct().collect()}
+    if not touched:
+        return files
+    apply_edits(spark.read.parquet(*sorted(touched)), edits, ranks, pattern, key, changes).write.parquet(to)
+    every = [r[0] for r in trees.select(name).distinct().collect()]
+    return sorted(set(every) - touched) + sorted(r[0] for r in spark.read.parquet(to).select(name).distinct().collect())
+
+
 def totals(trees: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, n_chars, n_tokens, n_pretokens) of stored trees; no leaf is read."""
     return trees.select(key, *_SUMS)

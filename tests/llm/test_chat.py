@@ -51,3 +51,13 @@ def test_order_nulls_and_repeats(spark):
     got = {r.conv_id: (r.n_turns, r.valid, r.first_bad_turn) for r in C.read_back(C.format_chats(turns)).collect()}
     assert got == {1: (3, True, None), 2: (1, False, 0), 3: (2, False, 1), 4: (1, False, 0), None: (2, True, None)}
     assert C.read_back(C.format_chats(turns.limit(0))).count() == 0
+
+
+def test_a_conversation_of_very_many_turns(spark):
+    n = 60_000
+    turns = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('[INST] ', id, ' </s>') AS text").repartition(8)
+    row = C.read_back(C.format_chats(turns)).first()
+    said = [("user", "assistant")[i % 2] + f"\n[INST] {i} </s>\n" for i in range(n)]
+    loss = "".join(f"[INST] {i} </s>" for i in range(1, n, 2))
+    assert (row.conv_id, row.n_turns, row.loss_chars) == (1, n, len(loss))
+    assert row.turns_sha256 == hashlib.sha256("".join(said).encode()).hexdigest() and row.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()

@@ -71,3 +71,29 @@ def test_repeated_rows_and_clashing_columns(spark):
     for size in (1000, 0.5):
         got = sorted(((r.doc_id or 0), r.n_hit) for r in D.decontaminate(docs, items, block_rows=size if size > 1 else 1).collect())
         assert got == [(0, 0), (1, 2), (1, 2)]
+
+
+def test_long_texts_and_empty_tables(spark):
+    passage = " ".join(f"p{i}" for i in range(14))
+    filler = " ".join(f"w{i % 5000}" for i in range(120_000))
+    docs = [(1, f"{filler} {passage} {filler}"), (2, " ".join([passage] * 3000)), (3, "w1 w2")]
+    items = [(7, passage), (8, " ".join(f"q{i}" for i in range(20)))]
+    a, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = {1: (240_014, 14, 1), 2: (42_000, 42_000, 1), 3: (2, 0, 0)}
+    for size in (D.BLOCK_ROWS, 1):
+        assert {k: v[:3] for k, v in rows(D.decontaminate(a, b, block_rows=size)).items()} == want
+        assert [r.doc_id for r in D.keep(a, b, block_rows=size).collect()] == [3]
+        for x, y in ((a.limit(0), b), (a.limit(0), b.limit(0))):
+            assert D.decontaminate(x, y, block_rows=size).count() == 0
+        assert not any(v[4] for v in rows(D.decontaminate(a, b.limit(0), block_rows=size - 2)).values())
+
+
+def test_a_window_of_very_many_documents(spark, monkeypatch):
+    from folioscope.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 50)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 20)
+    passage, other = (" ".join(f"{x}{i}" for i in range(11)) for x in "pq")
+    docs = spark.range(400).selectExpr("id AS doc_id", f"if(id % 3 = 0, '{passage} tail', if(id = 5, '{other}', 'clean words')) AS text")
+    got = D.decontaminate(docs, spark.createDataFrame([(1, passage), (2, other), (3, f"{passage} more")], "item_id bigint, text string"), block_rows=1)
+    assert {(r.n_hit, r.n_items): r.n for r in got.groupBy("n_hit", "n_items").count().toDF("n_hit", "n_items", "n").collect()} == {(11, 2): 134, (11, 1): 1, (0, 0): 265}

@@ -80,3 +80,11 @@ def test_odd_rows(spark):
     got = sorted((r.doc_id or 0, r.decoded, list(r.ids)) for r in S.encode(rows, MODEL).collect())
     assert got == [(0, "b", [1, 287, 2]), (1, "", [1, 2]), (1, "", [1, 2])]
     assert S.encode_digests(rows.limit(0), MODEL).count() == 0
+
+
+def test_very_long_texts(spark):
+    texts = [" ".join(f"word{i % 7919} ▁é\n" for i in range(150_000)), "日本語" * 100_000, "x" * 300_000 + " y"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in S.encode_digests(rows, MODEL).collect():
+        ids, back = whole(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), hashlib.sha256(back.encode()).hexdigest())

@@ -101,6 +101,18 @@ def test_stored_trees(spark, tmp_path):
     assert sum(leaf.opened for _, leaf in C.leaves(doc.root)) <= 3
 
 
+def test_only_files_with_edited_keys_are_written(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id AS doc_id", "concat('some words of row ', id) AS text").repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id")
+    C.build_trees(rows, RANKS, PATTERN).write.parquet(str(tmp_path / "trees"))
+    files = sorted(map(str, (tmp_path / "trees").glob("*.parquet")))
+    edits = spark.createDataFrame([(7, [(0, 4, "no")]), (9, [(0, 0, "x ")]), (99_999, [(0, 0, "lost")])], f"doc_id bigint, edits array<{C.EDIT}>")
+    after = C.edit_files(spark, files, edits, str(tmp_path / "next"), RANKS, PATTERN)
+    assert len(files) == 8 and sum("/trees/" in f for f in after) == 7
+    got = {r.doc_id: r.n_tokens for r in C.totals(spark.read.parquet(*after)).collect()}
+    assert len(got) == 4000 and got[7] == whole("no words of row 7") and got[9] == whole("x some words of row 9") and got[8] == whole("some words of row 8")
+    assert C.edit_files(spark, after, edits.limit(0), str(tmp_path / "none"), RANKS, PATTERN) == after
+
+
 def test_query(spark, sf):
     docs = table(spark, sf, "documents")
     got = {r.doc_id: r for r in C.count_tokens(docs, C.sample_edits("text"), RANKS, PATTERN).collect()}
