@@ -149,6 +149,24 @@ def summary(report: DataFrame, docs: DataFrame, doc: str, strict: bool = True) -
     return rows.withColumn("verdict", F.when(empty, "SIN_ARTICULOS").when(F.col("divergent") == 0, "VERIFICADA").otherwise("NO_VERIFICADA"))
 
 
+def reports(report: DataFrame, corpus: DataFrame, source: DataFrame, doc: str, strict: bool = True) -> DataFrame:
+    """(doc, veredicto, informe): each document's comparison as one JSON text.
+
+    It has the results by article, their counts, the verdict, and the source's
+    articles that the corpus lacks; one report is bounded by one document.
+    """
+    shown = F.struct(F.col("key").alias("articulo"), F.col("state").alias("estado"), F.col("ratio").alias("similitud"), F.col("left").alias("corpus"), F.col("right").alias("fuente"))
+    results = report.groupBy(doc).agg(F.array_sort(F.collect_list(shown)).alias("resultados"))
+    extra = missing(source, corpus, doc).groupBy(doc).agg(F.array_sort(F.collect_list("key")).alias("sin_contraparte"))
+    docs = report.select(doc).unionByName(source.select(doc))
+    totals = summary(report, docs, doc, strict)
+    joined = totals.join(results, doc, "left").join(extra, doc, "left")
+    counted = F.struct(F.col("exact").alias("exactos"), F.col("near").alias("casi"), F.col("divergent").alias("divergentes"))
+    empty = F.array().cast("array<string>")
+    told = F.struct(F.col(doc).cast("string").alias("documento"), F.col("verdict").alias("veredicto"), counted.alias("resumen"), F.coalesce("resultados", F.from_json(F.lit("[]"), "array<struct<articulo:string,estado:string,similitud:double,corpus:string,fuente:string>>")).alias("resultados"), F.coalesce("sin_contraparte", empty).alias("sin_contraparte"))
+    return joined.select(doc, F.col("verdict").alias("veredicto"), F.to_json(told, {"ignoreNullFields": "false"}).alias("informe"))
+
+
 def causes(report: DataFrame) -> DataFrame:
     """A report with a column `cause`: ordered guesses at why articles differ."""
     letters = lambda c: F.regexp_replace(F.col(c), r"(?U)[^\p{L}\p{N}]", "")

@@ -93,6 +93,20 @@ def category_documents(elements: DataFrame, version: str, source_date: str) -> D
     return head.unionByName(listed).unionByName(told)
 
 
+# What a category's page has around its title, elements and facts; {source} is what they were read from, {n} the number of elements.
+RULER = "=" * 80
+PAGE_DEFINITION = ["", RULER, "1.  DEFINICION", RULER, "", "[Auto-generado desde {source} — {n} elementos]", "", RULER, "2.  ELEMENTOS", RULER, "", "#     Elemento                              Descripcion", "----- ------------------------------------- -----------------------------------"]
+PAGE_FACTS = ["", RULER, "3.  METADATOS", RULER, "", "| Campo          | Valor |", "|----------------|-------|"]
+
+
+def category_pages_whole(elements: DataFrame, version: str, source_date: str, source: str) -> DataFrame:
+    """(categoria, block, at, line): whole pages in the order of block and at, with all that the format has around the rows of `category_documents`."""
+    own = category_documents(elements, version, source_date).select("categoria", (F.col("section") * 2).alias("block"), "at", "line")
+    counts = elements.where("categoria IS NOT NULL").groupBy("categoria").agg(F.count("*").cast("string").alias("n"))
+    frame = [counts.select("categoria", F.lit(block).alias("block"), F.posexplode(F.array(*[F.replace(F.lit(x.replace("{source}", source)), F.lit("{n}"), F.col("n")) for x in rows])).alias("at", "line")) for block, rows in ((1, PAGE_DEFINITION), (3, PAGE_FACTS), (5, [""]))]
+    return frame[0].unionByName(frame[1]).unionByName(frame[2]).withColumn("at", F.col("at").cast("bigint")).unionByName(own).select("categoria", "block", "at", "line")
+
+
 def form_document(elements: DataFrame, version: str, source_date: str) -> DataFrame:
     """(fase, categoria, at, part, line) of the form: phase -1 opens it, phase 99 is summary and quality points.
 

@@ -19,12 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..sources.shared import checkpointed
-from .director import answer_rules
+from ..functions.text import sha256
+from ..sources.corpus import lines
+from ..sources.shared import checkpointed, remove
+from .director import anchors, answer_rules
+from .manifest import set_hash
 
 # Outcomes in the log, the lines that a fragment without an end takes beyond its first, and the rules told to a reader.
 ACCEPTED, REJECTED, VERIFIED, BLOCKED = "aceptada", "rechazada", "verificacion-sin-cambios", "validador-bloqueo"
 OPEN_END = 2
+#: Tasks of a plan, every one of which each run has.
+MOST_TASKS = 10_000
 FIELD = "run string, fase bigint, campo string, completado boolean, na boolean, valor string, ref_articulo string, notas string"
 EVIDENCE = "run string, campo string, cita string, tipo string, verbatim string"
 LOG = "run string, ts string, task string, entrega bigint, extracciones bigint, no_aplica bigint, resultado string, errores array<string>"
@@ -105,6 +110,8 @@ def plan(tasks: DataFrame, spots: DataFrame, elements: DataFrame, sizes: DataFra
     without an end takes OPEN_END more lines.  Objectives are the ids of the
     task's phase that start with its prefix.
     """
+    if tasks.limit(MOST_TASKS + 1).count() > MOST_TASKS:
+        raise ValueError(f"a plan has {MOST_TASKS} tasks at most, which all runs share")
     of = F.col("fase_lectura").cast("bigint")
     wanted = elements.select(of.alias("fase"), "id").join(tasks.select("task", "fase", "prefix"), "fase").where(F.startswith("id", "prefix")).groupBy("task").agg(F.array_sort(F.collect_set("id")).alias("objetivos"))
     end = F.coalesce("l2", F.least(F.col("n_lines"), F.col("l1") + OPEN_END))
@@ -126,6 +133,42 @@ def begin(tasks: DataFrame, files: DataFrame, to: str) -> Version:
     return Version.write(spark, {"tasks": tasks, "state": state, **{n: spark.createDataFrame([], SCHEMAS[n]) for n in ("fields", "evidence", "log")}}, to)
 
 
+def start(docs: DataFrame, sealed: DataFrame, runs: DataFrame, patterns: dict[str, str], tasks: DataFrame, elements: DataFrame, meta: dict[str, str], to: str, until: dict[str, str] | None = None, restart: bool = False) -> tuple[Version, DataFrame, DataFrame]:
+    """Check what runs rest on, and make the state, record and log of those that hold: (version, record, problems).
+
+    docs: (filename, text); sealed: their manifest (filename, sha256, bytes);
+    runs: (run, file); patterns: anchors and what their first line has; tasks as
+    for `plan`; until: anchors whose fragment ends before another anchor's line;
+    meta: what all records say.  A run is refused, with a row (run, code,
+    detail), if its file isn't there, isn't in the seal or differs from it, or
+    if an anchor isn't found.  A version that is there is only replaced by a restart.
+    """
+    spark = docs.sparkSession
+    if _exists(spark, f"{to}/chain/_SUCCESS"):
+        if not restart:
+            raise FileExistsError(f"{to} has a version; resume it, or restart")
+        remove(spark, to)
+    runs = checkpointed(runs.select("run", "file"))
+    own = runs.join(docs.select(F.col("filename").alias("file"), "text"), "file")
+    checked = runs.join(own.select("run", sha256("text").alias("now")), "run", "left").join(sealed.select(F.col("filename").alias("file"), F.col("sha256").alias("sealed")), "file", "left")
+    code = F.when(F.col("now").isNull(), "not_in_corpus").when(F.col("sealed").isNull(), "not_sealed").when(F.col("now") != F.col("sealed"), "altered")
+    altered = checked.select("run", code.alias("code"), F.col("file").alias("detail")).where("code IS NOT NULL")
+    found = checkpointed(anchors(lines(own, "run"), patterns, "run"))
+    wanted = runs.select("run", F.explode(F.array(*map(F.lit, patterns))).alias("anchor"))
+    lacking = wanted.join(found, ["run", "anchor"], "left_anti").select("run", F.lit("anchor_missing").alias("code"), F.col("anchor").alias("detail"))
+    problems = checkpointed(altered.unionByName(lacking))
+    good = runs.join(problems.select("run"), "run", "left_anti")
+    ends = spark.createDataFrame(list((until or {}).items()), "anchor string, next string").join(found.select(F.col("anchor").alias("next"), "run", (F.col("line_no") - 1).alias("l2")), "next")
+    spots = found.join(good, "run", "left_semi").select("run", "anchor", F.col("line_no").alias("l1")).join(ends.select("run", "anchor", "l2"), ["run", "anchor"], "left")
+    spots = spots.withColumn("l2", F.when(F.col("l2") >= F.col("l1"), F.col("l2")))
+    sizes = own.join(good.select("run"), "run", "left_semi").select("run", F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"))
+    seal = set_hash(sealed).select("set_hash").first()
+    record = good.select("run", *[F.lit(v).alias(k) for k, v in meta.items()], F.lit("en_progreso").alias("estado"), F.col("file").alias("norma_archivo"), F.lit(seal["set_hash"] if seal else None).alias("corpus_set_hash"))
+    record.write.parquet(f"{to}/record")
+    version = begin(plan(tasks, spots, elements, sizes), good, to)
+    return version, spark.read.parquet(f"{to}/record"), problems
+
+
 def _current(v: Version) -> DataFrame:
     """State with the task that each run is at; a run at its end has none."""
     return v.state.join(v.tasks, ["run", "idx"])

@@ -164,7 +164,7 @@ CATEGORY_NAMES = {
 
 
 def relational_model(elements: DataFrame) -> DataFrame:
-    """(part, name, statement): the reference's whole SQL model, in the order of (part, name), without comment lines.
+    """(part, name, statement): the whole SQL model, in the order of (part, name); `model_lines` has its comments too.
 
     Base tables, a wide table of five columns an element for each category,
     indexes, the table of categories and its upserts.
@@ -187,6 +187,27 @@ def relational_model(elements: DataFrame) -> DataFrame:
     return base.unionByName(wide).unionByName(upserts)
 
 
+# Comments of the model before its parts.
+MODEL_TITLE, MODEL_RULER = "-- MODELO RELACIONAL", "-- " + "=" * 64
+MODEL_HEADS = {0: "-- TABLAS PRINCIPALES", 3: "-- INDICES", 4: "-- DATOS DE CATEGORIAS (maestra)"}
+
+
+def model_lines(elements: DataFrame, version: str, source_date: str, fingerprint: str, product: str, source: str) -> DataFrame:
+    """(part, name, at, line): the model's file line by line, in the order of part, name and at; fingerprint is that of the source.
+
+    The title and the heads of parts have an empty name.  An empty line follows
+    each statement, but neither indexes nor upserts among themselves.
+    """
+    spark = elements.sparkSession
+    stated = relational_model(elements).select("part", "name", F.posexplode(F.split("statement", "\n")).alias("at", "line"))
+    after = relational_model(elements).where("part IN (0, 1, 2, 4)").select("part", "name", F.lit(1_000_000).alias("at"), F.lit("").alias("line"))
+    ends = [(3, "~", 0, ""), (5, "~", 0, "")]
+    head = [f"{MODEL_TITLE} — {product}", f"-- Version: {version}", f"-- Hash fuente: {fingerprint}", f"-- Generado: {source_date}", f"-- Fuente: {source}", ""]
+    fixed_rows = [(-1, "", i, x) for i, x in enumerate(head)] + [(part, "", i, x) for part, title in MODEL_HEADS.items() for i, x in enumerate((MODEL_RULER, title, MODEL_RULER, ""))]
+    frame = spark.createDataFrame(fixed_rows + ends, "part int, name string, at int, line string")
+    return frame.unionByName(stated).unionByName(after).withColumn("at", F.col("at").cast("bigint"))
+
+
 def reading_form(elements: DataFrame) -> DataFrame:
     """(fase, categoria, section): the elements to read in each phase, by category."""
     line = F.concat(F.lit("- [ ] "), "id", F.lit(" "), F.coalesce("nombre", F.lit("")), F.when(F.col("requiere_ref_articulo"), " (art.)").otherwise(""))

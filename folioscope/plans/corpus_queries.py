@@ -146,7 +146,7 @@ def chunk_headings(spark, sf_dir):
     return C.chunks(chunked(spark, sf_dir), "conv_id").select("conv_id", "chunk_no", "heading", T.sha256("text").alias("sha256"))
 
 
-@query(f"WITH {CHUNKED} SELECT conv_id, sha256(text) AS sha256, sha256(text) AS rebuilt_sha256, true AS lossless FROM chunked")
+@query(f"WITH {CHUNKS}, rebuilt AS (SELECT conv_id, sha256(string_agg(text, '' ORDER BY chunk_no)) AS rebuilt_sha256 FROM chunks GROUP BY conv_id) SELECT conv_id, sha256(text) AS sha256, rebuilt_sha256, sha256(text) = rebuilt_sha256 AS lossless FROM chunked JOIN rebuilt USING (conv_id)")
 def lossless_reconstruct(spark, sf_dir):
     d = chunked(spark, sf_dir)
     return C.lossless(d, C.chunks(d, "conv_id"), "conv_id")
@@ -166,7 +166,8 @@ def _postings(spark, sf_dir):
 
 @query(f"WITH {_POSTINGS} SELECT field, count(DISTINCT token) AS n_tokens, count(DISTINCT (token, conv_id, chunk_no)) AS n_postings, count(*) AS occurrences FROM posted GROUP BY field")
 def postings_stats(spark, sf_dir):
-    return _postings(spark, sf_dir).groupBy("field").agg(F.countDistinct("token").alias("n_tokens"), F.count("*").alias("n_postings"), F.sum("tf").alias("occurrences"))
+    tokens = _postings(spark, sf_dir).groupBy("field", "token").agg(F.count("*").alias("n"), F.sum("tf").alias("tf"))
+    return tokens.groupBy("field").agg(F.count("*").alias("n_tokens"), F.sum("n").alias("n_postings"), F.sum("tf").alias("occurrences"))
 
 
 #: Searches: the first three rare words of every hundredth document.
@@ -303,6 +304,19 @@ def gold_count(spark, sf_dir):
     return G.check_counts(_count_cases(d), d)
 
 
+# Cases whose pattern or file is wrong, by their ids.
+@query(f"""WITH {DOCS}, cases AS (SELECT doc_id AS id, CASE WHEN doc_id % 7 = 0 THEN 'lost.md' ELSE filename END AS norma, doc_id % 5 IN (0, 1) AS bad FROM docs)
+SELECT id, CASE WHEN bad THEN 'invalid_pattern' ELSE 'no_such_file' END AS problem FROM cases WHERE bad OR norma = 'lost.md'""")
+def gold_problems(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    return G.count_problems(d.selectExpr("doc_id AS id", "CASE WHEN doc_id % 7 = 0 THEN 'lost.md' ELSE filename END AS norma", "CASE doc_id % 5 WHEN 0 THEN '(the' WHEN 1 THEN ' ' ELSE '^(the|la)' END AS patron"), d)
+
+
+@query(f"WITH {DOCS}, l AS (SELECT filename, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM docs) SELECT filename, line_no FROM l WHERE regexp_matches({FOLD.format('line')}, 'the and|la de') ORDER BY filename, line_no LIMIT 5")
+def gold_examples(spark, sf_dir):
+    return G.pattern_examples(corpus.lines(docs(spark, sf_dir), "filename"), "filename", "line", "the and|la de")
+
+
 def _absent_cases(d):
     pattern = F.when(F.col("doc_id") % 2 == 0, "idiot|trash").otherwise("[0-9]{3}")
     return d.select(F.col("doc_id").alias("id"), F.col("filename").alias("norma"), pattern.alias("patron"))

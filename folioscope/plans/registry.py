@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import remove, shared_folder
+from ..sources.shared import checkpointed, remove, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -56,6 +56,11 @@ def stored(spark: SparkSession, sf_dir: str, names: str | tuple[str, ...], write
     return _STORED[place][1]
 
 
+def forget() -> None:
+    """Let stored results be made anew."""
+    _STORED.clear()
+
+
 def _state(spark: SparkSession, path: str) -> tuple:
     """Names, lengths and times of a table's files."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -99,3 +104,15 @@ CHUNKS = (
     + r""", cut AS (SELECT conv_id, list_filter(string_split(regexp_replace(text, '(^|\n)(#{1,6} )', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x, i : i > 1 OR x <> '') AS parts FROM chunked),
 chunks AS (SELECT conv_id, i - 1 AS chunk_no, nullif(trim(regexp_extract(parts[i], '^(#{1,6} [^\n]*)', 1)), '') AS heading, parts[i] AS text FROM cut, unnest(range(1, len(parts) + 1)) AS t(i))"""
 )
+
+
+def numbered_rows(ordered: DataFrame, name: str) -> DataFrame:
+    """The rows of an ordered frame with their places from 1, without one task for all: parts keep the order, and each starts where those before it end."""
+    placed = checkpointed(ordered.withColumn("__at", F.monotonically_increasing_id()).withColumn("__part", F.spark_partition_id()))
+    counts = sorted((r["__part"], r["count"], r["first"]) for r in placed.groupBy("__part").agg(F.count("*").alias("count"), F.min("__at").alias("first")).collect())
+    starts, before = [], 0
+    for part, n, first in counts:
+        starts.append((part, before - first + 1))
+        before += n
+    shift = ordered.sparkSession.createDataFrame(starts, "__part int, __shift bigint")
+    return placed.join(F.broadcast(shift), "__part").withColumn(name, F.col("__at") + F.col("__shift")).drop("__at", "__part", "__shift")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.sql import functions as F
 
@@ -22,8 +23,9 @@ from ..operators import runs as N
 from ..operators import taxonomy as X
 from ..sources import corpus
 from ..streaming import ingest
-from .corpus_queries import _MANIFEST, _now
-from .registry import CHUNKED, DOCS, FLAT, FOLD, chunked, docs, query, stored, table
+from .corpus_queries import _ANSWERS as _SCORED
+from .corpus_queries import _MANIFEST, _now, gold_totals
+from .registry import CHUNKED, DOCS, FLAT, FOLD, chunked, docs, numbered_rows, query, stored, table
 
 LF = "chr(10)"
 _LINES = f"{DOCS}, split AS (SELECT filename, doc_id, string_split(text, {LF}) AS l FROM docs), rows_ AS (SELECT filename, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS line_no FROM split)"
@@ -168,6 +170,18 @@ def verdict_counts(spark, sf_dir):
     return s.select("conv_id", "exact", other, F.when(F.col("verdict") == "SIN_ARTICULOS", F.col("verdict")).when(other == 0, "VERIFICADA").otherwise("NO_TODA_IGUAL").alias("verdict"))
 
 
+# The whole report of each conversation; its ratios have no SQL form.
+@query()
+def comparison_report(spark, sf_dir):
+    a, b = _articles(spark, sf_dir, False), _articles(spark, sf_dir, True)
+    return K.reports(K.compare(a, b, "conv_id"), a, b, "conv_id")
+
+
+@query(f"WITH {_ART}, f AS (SELECT conv_id, copy_no, text, strpos({FOLD.format('text')}, 'the') AS p FROM a WHERE key = '1') SELECT conv_id, copy_no, CASE WHEN p > 0 THEN substring(text, CAST(greatest(p - 20, 1) AS BIGINT), CAST(p - greatest(p - 20, 1) + 23 AS BIGINT)) END AS shown FROM f")
+def article_keyword(spark, sf_dir):
+    return K.keyword(_articles(spark, sf_dir, False), "conv_id", "1o.", "the", 20)
+
+
 @query(f"""WITH {DOCS}, cut AS (SELECT filename, string_split(text, chr(10)) AS l FROM docs), rows_ AS (SELECT filename, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM cut), laid AS (SELECT filename, i, 'Artículo ' || i || '. ' || line AS line FROM rows_ WHERE i > 1 UNION ALL SELECT filename, i, line FROM rows_ WHERE i = 1)
 SELECT filename, CAST(i - 1 AS VARCHAR) AS n, CAST(sum(length(line) + 1) OVER (PARTITION BY filename ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS "start", CAST(sum(length(line) + 1) OVER (PARTITION BY filename ORDER BY i) - CASE WHEN lead(i) OVER (PARTITION BY filename ORDER BY i) IS NULL THEN 1 ELSE 0 END AS BIGINT) AS "end" FROM laid QUALIFY i > 1""")
 def article_offsets(spark, sf_dir):
@@ -320,20 +334,41 @@ def tax_category_document(spark, sf_dir):
     return O.category_documents(_elements(spark, sf_dir), "1.0", "2024-01-01").where("NOT startswith(line, '| Hash fuente')")
 
 
+# The pages whole, but for the fingerprint of their source, which has no SQL form.
+_PAGE_ROWS = ", ".join(f"({block}, {i}, '{line}')" for block, rows in ((1, O.PAGE_DEFINITION), (3, O.PAGE_FACTS), (5, [""])) for i, line in enumerate(rows))
+
+
+@query(f"""WITH {_EL}, names AS (SELECT * FROM (VALUES {_CATEGORY_NAMES}) AS t(categoria, name)), ranked AS (SELECT *, row_number() OVER (PARTITION BY categoria ORDER BY id, nombre NULLS FIRST) - 1 AS "at" FROM el),
+facts AS (SELECT categoria, count(*) AS n, min_by(fase_lectura, "at") AS fase, string_agg(DISTINCT origen, ', ' ORDER BY origen) AS origins FROM ranked GROUP BY categoria), f AS (SELECT categoria, unnest(['| Categoria      | ' || categoria || ' |', '| Elementos      | ' || n || ' |', '| Fase principal | ' || fase || ' |', '| Origenes       | ' || origins || ' |']) AS line, unnest([0, 1, 2, 3]) AS "at" FROM facts)
+SELECT categoria, block, CAST(i AS BIGINT) AS "at", replace(replace(line, '{{source}}', 'part'), '{{n}}', CAST(n AS VARCHAR)) AS line FROM facts, (VALUES {_PAGE_ROWS}) AS t(block, i, line)
+UNION ALL SELECT categoria, 0, CAST(0 AS BIGINT), '# CATEGORIA ' || categoria || ' — ' || coalesce(name, '') FROM (SELECT DISTINCT categoria FROM el) LEFT JOIN names USING (categoria)
+UNION ALL SELECT DISTINCT categoria, 0, 1, '# NP-CAT-' || categoria || '  v1.0  2024-01-01' FROM el
+UNION ALL SELECT categoria, 2, "at", CASE WHEN length(id) < 5 THEN rpad(id, 5, ' ') ELSE id END || ' ' || CASE WHEN length(coalesce(nombre, '')) < 37 THEN rpad(coalesce(nombre, ''), 37, ' ') ELSE nombre END || ' ' || descripcion || CASE WHEN origen <> 'base' THEN ' [' || upper(origen) || ']' ELSE '' END FROM ranked
+UNION ALL SELECT categoria, 4, "at", line FROM f""")
+def tax_category_pages(spark, sf_dir):
+    return O.category_pages_whole(_elements(spark, sf_dir), "1.0", "2024-01-01", "part").where("NOT startswith(line, '| Hash fuente')")
+
+
+_CLOSING = ", ".join(f"({i}, '{line}')" for i, line in enumerate([*O.SUMMARY, *[f"- [ ] {what} ... {points} pts" for what, points in O.QUALITY], f"**PUNTUACION TOTAL: _____ / {sum(p for _, p in O.QUALITY)}**"], 1))
+
+
 @query(f"""WITH {_EL}, names AS (SELECT * FROM (VALUES {_PHASE_NAMES}) AS t(fase, name)), k AS (SELECT CAST(fase_lectura AS BIGINT) AS fase, categoria, id, nombre, requiere_ref_articulo AS need, row_number() OVER (PARTITION BY fase_lectura, categoria ORDER BY id, nombre NULLS FIRST) AS "at" FROM el), ph AS (SELECT DISTINCT fase FROM k)
 SELECT fase, '' AS categoria, CAST(0 AS BIGINT) AS "at", CAST(0 AS BIGINT) AS part, 'FASE ' || fase || ' — ' || coalesce(name, '') AS line FROM ph LEFT JOIN names USING (fase)
 UNION ALL SELECT fase, '~', 0, 0, '**Decision Fase ' || fase || ':** [ ] CONTINUAR  [ ] PAUSAR  [ ] ABANDONAR' FROM ph UNION ALL SELECT fase, '~', 1, 0, '**Firma:** {O.BLANK}  **Fecha:** {O.BLANK}' FROM ph
 UNION ALL SELECT fase, categoria, 0, 0, '### Categoria ' || categoria || ' (' || count(*) || ' elementos)' FROM k GROUP BY 1, 2
 UNION ALL SELECT fase, categoria, "at", 0, '- [ ] **' || id || '** — ' || coalesce(nombre, '') FROM k UNION ALL SELECT fase, categoria, "at", 1, '  - VALOR: {O.BLANK}' FROM k UNION ALL SELECT fase, categoria, "at", 2, '  - REF. ARTICULO: {O.BLANK}' || CASE WHEN need THEN ' (obligatorio)' ELSE '' END FROM k UNION ALL SELECT fase, categoria, "at", 3, '  - NOTAS: {O.BLANK}' FROM k
 UNION ALL SELECT -1, '', i, 0, line FROM (SELECT unnest([0, 1, 2, 3]) AS i, unnest(['# NP-FICHA  v1.0  2024-01-01', '**Total de campos:** ' || count(*), '**Categorias:** ' || count(DISTINCT categoria) || ' (' || string_agg(DISTINCT categoria, ', ' ORDER BY categoria) || ')', '**Fases:** ' || count(DISTINCT fase) || ' (' || array_to_string(list_sort(list_distinct(list(fase))), ', ') || ')']) AS line FROM k)
-UNION ALL SELECT 99, '', 0, 0, 'Elementos completados: _____ / ' || count(*) FROM k""")
+UNION ALL SELECT 99, '', 0, 0, 'Elementos completados: _____ / ' || count(*) FROM k UNION ALL SELECT 99, '', i, 0, line FROM (VALUES {_CLOSING}) AS t(i, line)""")
 def tax_form_document(spark, sf_dir):
-    return O.form_document(_elements(spark, sf_dir), "1.0", "2024-01-01").where("fase < 99 OR at = 0")
+    return O.form_document(_elements(spark, sf_dir), "1.0", "2024-01-01")
+
+
+_FIXED_PARTS = ", ".join(f"('{part}', '{name}', '{json.dumps(body)}')" for part, name, body in [*[("meta", k, x) for k, x in O.META.items()], ("evidencia", "", O.EVIDENCE)])
 
 
-@query(f"""WITH {_EL} SELECT CAST(fase_lectura AS VARCHAR) AS part, id AS name, CASE WHEN bool_or(requiere_ref_articulo) AND NOT bool_and(requiere_ref_articulo) THEN greatest(max(x), max(y)) ELSE max(CASE WHEN requiere_ref_articulo THEN x ELSE y END) END AS body FROM (SELECT *, '{{"type": "object", "properties": {{"completado": {{"type": "boolean"}}, "na": {{"type": "boolean"}}, "valor": {{"type": "string"}}, "ref_articulo": {{"type": "string"' AS a, '}}, "notas": {{"type": "string"}}}}}}' AS z, a || ', "minLength": 1' || z AS x, a || z AS y FROM el) GROUP BY 1, 2""")
+@query(f"""WITH {_EL} SELECT CAST(fase_lectura AS VARCHAR) AS part, id AS name, CASE WHEN bool_or(requiere_ref_articulo) AND NOT bool_and(requiere_ref_articulo) THEN greatest(max(x), max(y)) ELSE max(CASE WHEN requiere_ref_articulo THEN x ELSE y END) END AS body FROM (SELECT *, '{{"type": "object", "properties": {{"completado": {{"type": "boolean"}}, "na": {{"type": "boolean"}}, "valor": {{"type": "string"}}, "ref_articulo": {{"type": "string"' AS a, '}}, "notas": {{"type": "string"}}}}}}' AS z, a || ', "minLength": 1' || z AS x, a || z AS y FROM el) GROUP BY 1, 2 UNION ALL SELECT part, name, body FROM (VALUES {_FIXED_PARTS}) AS t(part, name, body)""")
 def tax_schema_parts(spark, sf_dir):
-    return O.schema_parts(_elements(spark, sf_dir)).where("part NOT IN ('meta', 'evidencia')")
+    return O.schema_parts(_elements(spark, sf_dir))
 
 
 # The whole SQL model; a test compares it with the statements that it should have.
@@ -356,11 +391,15 @@ def narrative_refs(spark, sf_dir):
     return X.broken_references(table(spark, sf_dir, "documents").select("doc_id", F.concat(prefix, "text").alias("text")), _elements(spark, sf_dir), "doc_id")
 
 
-@query(f"""WITH {_EL}, said AS (SELECT doc_id, 1 AS line_no, 'elementos' AS what, doc_id % 3000 AS stated FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT doc_id, 1, 'fases', doc_id % 20 FROM documents WHERE doc_id % 3 = 1),
-t AS (SELECT 'elementos' AS what, count(*) AS computed FROM el UNION ALL SELECT 'fases', count(DISTINCT fase_lectura) FROM el) SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, what, stated, computed FROM said JOIN t USING (what) WHERE stated <> computed""")
+@query(f"""WITH {_EL}, l AS (SELECT doc_id, unnest(string_split(text, {LF})) AS line, generate_subscripts(string_split(text, {LF}), 1) AS line_no FROM documents),
+said AS (SELECT doc_id, line_no, CASE (doc_id + line_no) % 9 WHEN 2 THEN 'fases' WHEN 5 THEN 'fases' WHEN 4 THEN 'categorias' ELSE 'elementos' END AS what, (doc_id + line_no) % 300 AS stated FROM l WHERE (doc_id + line_no) % 9 IN (1, 2, 3, 4, 5, 6)),
+t AS (SELECT 'elementos' AS what, count(*) AS computed FROM el UNION ALL SELECT 'fases', count(DISTINCT fase_lectura) FROM el UNION ALL SELECT 'categorias', count(DISTINCT categoria) FROM el) SELECT DISTINCT doc_id, CAST(line_no AS BIGINT) AS line_no, what, stated, computed FROM said JOIN t USING (what) WHERE stated <> computed""")
 def narrative_totals(spark, sf_dir):
-    line = F.expr("CASE doc_id % 3 WHEN 0 THEN 'Total de elementos: ' || doc_id % 3000 WHEN 1 THEN 'Son ' || doc_id % 20 || ' fases' ELSE '2024-01-01 total elementos: 7' END")
-    return X.stale_totals(table(spark, sf_dir, "documents").select("doc_id", F.lit(1).cast("bigint").alias("line_no"), line.alias("line")), _elements(spark, sf_dir), "doc_id")
+    # Every line but some states a total, in one of the six ways, and goes on with its text's letters.
+    n, rest = "(doc_id + line_no) % 300", "' ' || translate(line, '0123456789:=|', '')"
+    line = F.expr(f"CASE (doc_id + line_no) % 9 WHEN 0 THEN '2024-01-01 total elementos: 7' WHEN 1 THEN 'Total de elementos: ' || {n} || {rest} WHEN 2 THEN 'Son ' || {n} || ' fases' || {rest} WHEN 3 THEN 'Elementos totales = ' || {n} || {rest} WHEN 4 THEN '| Categorias | ' || {n} || ' |' || {rest} WHEN 5 THEN 'fases de lectura: ' || {n} || {rest} WHEN 6 THEN 'Elementos | ' || {n} || {rest} ELSE translate(line, '0123456789:=|', '') END")
+    rows = corpus.lines(table(spark, sf_dir, "documents"), "doc_id")
+    return X.stale_totals(rows.select("doc_id", "line_no", line.alias("line")), _elements(spark, sf_dir), "doc_id")
 
 
 # A record for each document; some have no evidence.
@@ -457,6 +496,34 @@ def response_rules(spark, sf_dir):
     return D.answer_rules(answers, skipped, objectives, docs(spark, sf_dir), own, stored, last=True)
 
 
+# Answers about every document, with a fault of each kind at some modulus.
+@query(f"""WITH {DOCS}, ob AS (SELECT doc_id, 'A.' || i AS campo, i % 2 = 0 AS need FROM docs, range(1, 6) AS t(i)),
+an AS (SELECT doc_id, filename, text, 'A.1' AS campo, 'v' AS valor, filename || '#L1' AS cita, CASE WHEN doc_id % 8 = 0 THEN 'surely absent 123' ELSE '' END AS verbatim, 'art' AS ref FROM docs
+UNION ALL SELECT doc_id, filename, text, 'A.2', CASE WHEN doc_id % 3 = 0 THEN ' ' ELSE 'v' END, CASE WHEN doc_id % 9 = 0 THEN 'other.md#L1' ELSE filename || '#L1' END, '', CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'art' END FROM docs
+UNION ALL SELECT doc_id, filename, text, 'A.3', 'v', CASE doc_id % 4 WHEN 0 THEN 'nothing' WHEN 1 THEN filename || '#L99999' ELSE filename || '#L1' END, '', '' FROM docs UNION ALL SELECT doc_id, filename, text, 'Z.9', 'v', 'nothing', '', '' FROM docs WHERE doc_id % 5 = 0),
+sk AS (SELECT doc_id, 'A.4' AS campo, CASE WHEN doc_id % 6 = 0 THEN ' ' ELSE 'r' END AS motivo FROM docs UNION ALL SELECT doc_id, 'A.5', 'r' FROM docs WHERE doc_id % 7 <> 0 UNION ALL SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'A.1' ELSE 'Q.1' END, 'r' FROM docs WHERE doc_id % 11 = 0),
+g AS (SELECT an.*, need, need IS NOT NULL AS asked, regexp_extract(cita, '^(.+\\.md)#L', 1) AS file, CAST(nullif(regexp_extract(cita, '#L([0-9]+)$', 1), '') AS BIGINT) AS n FROM an LEFT JOIN ob USING (doc_id, campo))
+SELECT CAST(doc_id AS VARCHAR) AS task, code, campo FROM (SELECT doc_id, 'not_an_objective' AS code, campo FROM g WHERE NOT asked UNION ALL SELECT doc_id, 'blank_value', campo FROM g WHERE asked AND trim(valor) = '' UNION ALL SELECT doc_id, 'malformed_citation', campo FROM g WHERE asked AND n IS NULL
+UNION ALL SELECT doc_id, 'other_file', campo FROM g WHERE asked AND n IS NOT NULL AND file <> filename UNION ALL SELECT doc_id, 'no_reference', campo FROM g WHERE asked AND need AND trim(ref) = '' UNION ALL SELECT doc_id, 'bad_range', campo FROM g WHERE asked AND file = filename AND n > len(string_split(text, {LF}))
+UNION ALL SELECT doc_id, 'not_found', campo FROM g WHERE asked AND file = filename AND n = 1 AND NOT contains({FOLD.format(f'split_part(text, {LF}, 1)')}, verbatim) UNION ALL SELECT doc_id, 'skips_no_objective', campo FROM sk WHERE campo = 'Q.1' UNION ALL SELECT doc_id, 'skips_answered', campo FROM sk WHERE campo = 'A.1' UNION ALL SELECT doc_id, 'no_reason', campo FROM sk WHERE trim(motivo) = ''
+UNION ALL SELECT doc_id, 'unanswered', 'A.5' FROM docs WHERE doc_id % 7 = 0)""")
+def response_rules_all(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    entry = lambda campo, valor, cita, verbatim, ref: f"named_struct('campo', '{campo}', 'valor', {valor}, 'cita', {cita}, 'verbatim', {verbatim}, 'ref_articulo', {ref})"
+    own = "filename || '#L1'"
+    answers = [
+        entry("A.1", "'v'", own, "if(doc_id % 8 = 0, 'surely absent 123', '')", "'art'"),
+        entry("A.2", "if(doc_id % 3 = 0, ' ', 'v')", f"if(doc_id % 9 = 0, 'other.md#L1', {own})", "''", "if(doc_id % 7 = 0, '', 'art')"),
+        entry("A.3", "'v'", f"CASE doc_id % 4 WHEN 0 THEN 'nothing' WHEN 1 THEN filename || '#L99999' ELSE {own} END", "''", "''"),
+    ]
+    sent = d.selectExpr("cast(doc_id AS string) AS task", "filename AS file", f"inline(array({', '.join(answers)}))").unionByName(d.where("doc_id % 5 = 0").selectExpr("cast(doc_id AS string) AS task", "filename AS file", "'Z.9' AS campo", "'v' AS valor", "'nothing' AS cita", "'' AS verbatim", "'' AS ref_articulo"))
+    skip = lambda where, campo, motivo: d.where(where).selectExpr("cast(doc_id AS string) AS task", f"{campo} AS campo", f"{motivo} AS motivo")
+    skipped = skip("true", "'A.4'", "if(doc_id % 6 = 0, ' ', 'r')").unionByName(skip("doc_id % 7 <> 0", "'A.5'", "'r'")).unionByName(skip("doc_id % 11 = 0", "if(doc_id % 2 = 0, 'A.1', 'Q.1')", "'r'"))
+    objectives = d.selectExpr("cast(doc_id AS string) AS task", "explode(sequence(1, 5)) AS i").selectExpr("task", "'A.' || i AS campo", "i % 2 = 0 AS needs_ref")
+    none = spark.createDataFrame([], "task string, campo string")
+    return D.answer_rules(sent, skipped, objectives, d, F.col("file"), none, last=True)
+
+
 # Reading runs: every document is one, with two tasks and up to two fragments in the first.
 _RUNS = f"{DOCS}, r AS (SELECT doc_id, filename, string_split(text, chr(10)) AS l, len(l) AS n FROM docs)"
 
@@ -470,6 +537,29 @@ def _first_version(spark, sf_dir):
     return N.Version.load(spark, path)
 
 
+# One call that checks every document against its seal, looks for its anchors and makes the state of those that hold.
+@query(f"""WITH {_LINES}, two AS (SELECT doc_id, line, {FLAT.format("line || coalesce(' ' || lead(line) OVER (PARTITION BY doc_id ORDER BY line_no), '')")} AS two, line_no FROM rows_),
+f AS (SELECT doc_id, coalesce(min(line_no) FILTER (regexp_matches(line, '(?i)the')), min(line_no) FILTER (regexp_matches(two, '(?i)the'))) AS mark FROM two GROUP BY doc_id),
+p AS (SELECT doc_id, 'altered' AS code FROM docs WHERE doc_id % 50 = 0 UNION ALL SELECT doc_id, 'not_sealed' FROM docs WHERE doc_id % 70 = 1 UNION ALL SELECT doc_id, 'anchor_missing' FROM f WHERE mark IS NULL),
+c AS (SELECT doc_id, string_agg(code, ',' ORDER BY code) AS problems FROM p GROUP BY doc_id)
+SELECT CAST(doc_id AS VARCHAR) AS run, problems IS NULL AS started, coalesce(problems, '') AS problems, CASE WHEN problems IS NULL THEN mark END AS l1 FROM docs JOIN f USING (doc_id) LEFT JOIN c USING (doc_id)""")
+def run_start(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    runs = d.select(F.col("doc_id").cast("string").alias("run"), F.col("filename").alias("file"))
+    sealed = M.manifest(d.where("doc_id % 70 <> 1").select("filename", F.when(F.col("doc_id") % 50 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text")), "filename")
+    tasks = spark.createDataFrame([(0, "T1", 1, "identity", "A.", ["mark"])], "idx bigint, task string, fase bigint, titulo string, prefix string, names array<string>")
+
+    def write(to: str) -> None:
+        _, _, problems = N.start(d, sealed, runs, {"mark": "the"}, tasks, _elements(spark, sf_dir), {"version": "1.0", "fecha_analisis": "2024-01-01"}, f"{to}/run")
+        problems.write.parquet(f"{to}/problems")
+
+    path = stored(spark, sf_dir, ("documents", "part"), write, "runs-start")
+    version, problems = N.Version.load(spark, f"{path}/run"), spark.read.parquet(f"{path}/problems")
+    told = problems.groupBy("run").agg(F.array_join(F.array_sort(F.collect_list("code")), ",").alias("problems"))
+    first = version.tasks.select("run", F.try_element_at("fragmentos", F.lit(1))["l1"].alias("l1"))
+    return runs.select("run").join(version.state.select("run", F.lit(True).alias("started")), "run", "left").join(told, "run", "left").join(first, "run", "left").select("run", F.coalesce("started", F.lit(False)).alias("started"), F.coalesce("problems", F.lit("")).alias("problems"), "l1")
+
+
 def _document_lines(spark, sf_dir):
     return corpus.lines(docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("run"), "text"), "run")
 
@@ -535,6 +625,19 @@ def budget(spark, sf_dir):
     return D.budget(_log(spark, sf_dir), fragment_delivery(spark, sf_dir))
 
 
+# What a finished run has shown: scores of the gold cases, and a hash of the fields that the log has led to.
+@query(f"""WITH {_MERGED}, {_SCORED}, named AS (SELECT task || '/' || campo AS name, sha256(coalesce(valor, '')) AS h FROM merged), s AS (SELECT count(*) AS fields, sha256(string_agg(name || ':' || h || {LF}, '' ORDER BY name)) AS fields_hash FROM named),
+g AS (SELECT count(*) FILTER (outcome = 'correct') AS mechanical, count(*) FILTER (outcome = 'citada-y-resuelta') AS human, count(*) AS total FROM outcomes)
+SELECT '2024-01-01' AS created_at, mechanical, human, total, fields, fields_hash, sha256('{{"created_at": "2024-01-01", "fields": ' || fields || ', "fields_hash": "' || fields_hash || '", "gold": {{"human": ' || human || ', "mechanical": ' || mechanical || ', "total": ' || total || '}}}}') AS fingerprint FROM s, g""")
+def run_certificate(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    sealed = M.manifest(d, "filename")
+    rows = gate.run(spark, {"integrity": lambda: M.integrity_diff(M.manifest(docs(spark, sf_dir), "filename"), sealed)})
+    found = D.certificate(M.integrity_diff(sealed, sealed), gold_totals(spark, sf_dir), rows, D.merge_log(_log(spark, sf_dir)), "2024-01-01")
+    gold = found["gold"]
+    return spark.createDataFrame([(found["created_at"], gold["mechanical"], gold["human"], gold["total"], found["fields"], found["fields_hash"], found["fingerprint"])], "created_at string, mechanical bigint, human bigint, total bigint, fields bigint, fields_hash string, fingerprint string")
+
+
 # Errata. RE2 has no lookarounds, so the oracle marks the pairs in two overlapping passes.
 def _glued_rows(spark, sf_dir):
     rows = corpus.lines(docs(spark, sf_dir), "filename")
@@ -550,6 +653,22 @@ def glued_words(spark, sf_dir):
     return E.glued_words(_glued_rows(spark, sf_dir), "filename")
 
 
+@query(f"WITH {_GLUED}, n AS (SELECT filename, count(*) AS n FROM fixed WHERE f <> line GROUP BY filename) SELECT filename, n, row_number() OVER (ORDER BY n DESC, filename) AS place FROM n")
+def repair_order(spark, sf_dir):
+    return numbered_rows(E.repair_summary(glued_words(spark, sf_dir), "filename"), "place")
+
+
+@query(f"""WITH {_GLUED} SELECT filename, sha256(string_agg(f, {LF} ORDER BY line_no)) AS sha256 FROM fixed GROUP BY filename""")
+def repair_version(spark, sf_dir):
+    """A repaired corpus, written as a version of its own and read back."""
+    def write(to: str) -> None:
+        own = _glued_rows(spark, sf_dir).groupBy("filename").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text"))
+        E.write_version(E.apply_unglue(own), to, "repaired", "filename")
+
+    path = stored(spark, sf_dir, "documents", write, "repaired")
+    return spark.read.parquet(f"{path}/version=repaired").select("filename", T.sha256("text").alias("sha256"))
+
+
 @query(f"WITH {_GLUED} SELECT filename, CAST(i AS BIGINT) AS span_id, count(*) AS n_lines FROM fixed, (VALUES (1, 1, 4), (2, 3, 30)) AS s(i, l1, l2) WHERE f <> line AND line_no BETWEEN l1 AND l2 GROUP BY 1, 2")
 def errata_overlap(spark, sf_dir):
     return E.overlap(glued_words(spark, sf_dir), _errata_spans(docs(spark, sf_dir)), "filename")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,8 +55,8 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     found = spark.read.option("columnNameOfCorruptRecord", "_corrupt").schema(f"{schema}, _corrupt string")
     try:
         docs = found.json(path, multiLine=True)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         columns = spark.createDataFrame([], schema).schema.fields
         return spark.range(1).select(*[F.lit(None).cast(c.dataType).alias(c.name) for c in columns], F.lit("missing").alias("problem"))
@@ -89,12 +90,17 @@ def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
+def write_reports(rows: DataFrame, path: str, key: str, text: str = "informe") -> None:
+    """One text a key, each in a folder named by its key; written by the executors, whole before anything is shown."""
+    rows.select(F.col(key).cast("string").alias("documento"), F.col(text).alias("value")).write.mode("overwrite").partitionBy("documento").text(path)
+
+
 def write_artifact(rows: DataFrame, path: str, text: str = "text", order: str = "line_no") -> None:
     """A bounded, ordered report as one text file, written beside its place and moved there."""
-    body = "".join(r[0] + "\n" for r in rows.orderBy(order).select(text).toLocalIterator())
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     with open(f"{path}.new", "w", encoding="utf-8") as out:
-        out.write(body)
+        for r in rows.orderBy(order).select(text).toLocalIterator():
+            out.write(r[0] + "\n")
     os.replace(f"{path}.new", path)
 
 

@@ -143,3 +143,32 @@ def test_bucket_hash_tells_any_change(spark):
     assert (own.file_count, own.total_bytes) == (500, sum(range(500))) and seal(rows[::-1], 7) == own
     assert seal(rows[1:]).bucket_hash != own.bucket_hash != seal([("g.md", *rows[0][1:]), *rows[1:]]).bucket_hash
     assert seal([]).file_count == 0
+
+
+def test_reports_are_written_by_document(spark, tmp_path):
+    a = spark.createDataFrame([(1, "1", 0, "uno"), (1, "2", 0, "dos"), (1, "3", 0, "tres cuatro"), (2, "1", 0, "x")], "doc int, key string, copy_no long, text string")
+    b = spark.createDataFrame([(1, "1", 0, "Uno"), (1, "3", 0, "tres cuatra"), (1, "9", 0, "z"), (2, "1", 0, "x"), (3, "1", 0, "solo")], "doc int, key string, copy_no long, text string")
+    rows = K.reports(K.compare(a, b, "doc"), a, b, "doc")
+    corpus.write_reports(rows, str(tmp_path / "informes"), "doc")
+    found = {int(p.parent.name.split("=")[1]): json.loads(p.read_text()) for p in (tmp_path / "informes").glob("documento=*/*.txt")}
+    assert {k: v["veredicto"] for k, v in found.items()} == {1: "NO_VERIFICADA", 2: "VERIFICADA", 3: "SIN_ARTICULOS"}
+    one = found[1]
+    assert one["resumen"] == {"exactos": 1, "casi": 0, "divergentes": 2} and one["sin_contraparte"] == ["9"]
+    assert [(r["articulo"], r["estado"]) for r in one["resultados"]] == [("1", "exacto"), ("2", "ausente_en_fuente"), ("3", "divergente")]
+    assert one["resultados"][2]["corpus"] == "tres cuatro" and one["resultados"][1]["similitud"] is None
+    assert found[3]["resultados"] == [] and found[3]["sin_contraparte"] == ["1"]
+
+
+def test_whole_pages_and_model(spark, elements):
+    from folioscope.operators import taxonomy as X
+
+    page = [r.line for r in O.category_pages_whole(elements, "1.0", "2024-01-01", "part").where("categoria = 'A'").orderBy("block", "at").collect()]
+    assert page[0].startswith("# CATEGORIA A") and page[7] == "[Auto-generado desde part — 2 elementos]"
+    at = page.index("----- ------------------------------------- -----------------------------------")
+    assert page[at + 1].startswith("A.10  Ten") and page[at + 2].startswith("A.2   Two") and page[-1] == "" and page[-2].startswith("| Hash fuente")
+    lines = [r.line for r in X.model_lines(elements, "1.0", "2024-01-01", "abc", "norms", "part").orderBy("part", "name", "at").collect()]
+    assert lines[:5] == ["-- MODELO RELACIONAL — norms", "-- Version: 1.0", "-- Hash fuente: abc", "-- Generado: 2024-01-01", "-- Fuente: part"]
+    assert lines.index("-- TABLAS PRINCIPALES") < lines.index("CREATE TABLE IF NOT EXISTS normas (") < lines.index("-- INDICES") < lines.index("-- DATOS DE CATEGORIAS (maestra)")
+    assert [x for x in lines if not x.startswith("--") and x] == [x for r in X.relational_model(elements).orderBy("part", "name").collect() for x in r.statement.split("\n")]
+    end = lines.index(");")
+    assert lines[end + 1] == "" and lines[-1] == ""
