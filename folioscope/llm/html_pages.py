@@ -203,10 +203,15 @@ class Writer:
         return f"<!DOCTYPE html><html><head><title>{self.phrase(2, 5)}</title></head><body>{''.join(parts)}</body></html>"
 
 
+def made(seed: int, kind: str, style: str, i: int) -> tuple[str, set[str]]:
+    """One page of a kind and style: (html, texts of the article's blocks)."""
+    writer = Writer(random.Random(f"{seed} {kind} {style} {i}"), style)
+    return writer.page(kind), writer.main
+
+
 def pages(seed: int, each: int, kinds: tuple[str, ...] = KINDS, styles: tuple[str, ...] = STYLES) -> Iterator[tuple[str, str, str, set[str]]]:
     """(kind, style, html, texts of the article's blocks)."""
     for kind in kinds:
         for style in styles:
             for i in range(each):
-                writer = Writer(random.Random(f"{seed} {kind} {style} {i}"), style)
-                yield kind, style, writer.page(kind), writer.main
+                yield kind, style, *made(seed, kind, style, i)

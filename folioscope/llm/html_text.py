@@ -32,15 +32,15 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from . import html_pages
-from .common import map_texts
+from .common import limit_batches, map_texts
 
 #: Elements whose content is no text, elements that start a new block, and those whose names are kept on the stack of ancestors.
 RAW = ("script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp")
@@ -316,20 +316,44 @@ ROLE_CUTS = (-0.5, 0.5, 1.5)
 PAGES_EACH, LEAF_ROWS, DEPTH = 45, 8, 24
 
 
-@cache
-def labelled() -> tuple[np.ndarray, np.ndarray]:
-    """Measures and labels of the blocks of the labelled pages."""
-    xs, ys = [], []
-    for _, _, page, main in html_pages.pages(1, PAGES_EACH):
-        found = blocks(page)
-        xs.append(features(found))
-        ys += [int(b.text in main) for b in found]
-    return np.concatenate(xs), np.array(ys)
+SEED = 1
 
 
-@cache
-def tree() -> tuple | int:
-    return grow(*labelled(), first=ROLE_CUTS)
+def measured(page: str, main: set[str]) -> tuple[np.ndarray, list[int]]:
+    """Measures and labels of a labelled page's blocks."""
+    found = blocks(page)
+    return features(found), [int(b.text in main) for b in found]
+
+
+def labelled(spark: SparkSession | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Measures and labels of the blocks of the labelled pages, a few ten thousand rows; with a session the pages are made and measured on its executors."""
+    if spark is None:
+        xs, ys = zip(*(measured(page, main) for _, _, page, main in html_pages.pages(SEED, PAGES_EACH)), strict=True)
+        return np.concatenate(xs), np.concatenate(ys)
+    kinds, styles = html_pages.KINDS, html_pages.STYLES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in batch.column(0).to_pylist():
+                rest, i = divmod(n, PAGES_EACH)
+                x, y = measured(*html_pages.made(SEED, kinds[rest // len(styles)], styles[rest % len(styles)], i))
+                yield pa.RecordBatch.from_arrays([pa.array([n] * len(y), pa.int64()), pa.array(list(x), pa.list_(pa.float64())), pa.array(y, pa.int32())], names=["page", "x", "y"])
+
+    limit_batches(spark)
+    n = len(kinds) * len(styles) * PAGES_EACH
+    rows = spark.range(0, n, 1, max(1, min(n // 60, spark.sparkContext.defaultParallelism))).mapInArrow(run, "page bigint, x array<double>, y int").toArrow()
+    x = rows.column("x").combine_chunks()
+    return np.asarray(x.flatten()).reshape(len(x), -1), rows.column("y").to_numpy()
+
+
+_grown: list = []
+
+
+def tree(spark: SparkSession | None = None) -> tuple | int:
+    """The tree over the labelled pages, grown once in a process; its splits don't depend on the order of rows."""
+    if not _grown:
+        _grown.append(grow(*labelled(spark), first=ROLE_CUTS))
+    return _grown[0]
 
 
 def grow(x: np.ndarray, y: np.ndarray, depth: int = DEPTH, least: int = LEAF_ROWS, first: tuple[float, ...] = ()) -> tuple | int:
@@ -379,7 +403,7 @@ def main_text(page: str, by: tuple | int) -> str:
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """(key, url, text, n_chars) of every page."""
-    by = tree()
+    by = tree(pages.sparkSession)
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
 
     def run(pages: list[bytes]) -> list:

@@ -54,6 +54,13 @@ def test_tree_fits_its_table():
     assert np.mean([H.decide(TREE, r) == k for r, k in zip(x.tolist(), y.tolist(), strict=True)]) > 0.98
 
 
+def test_the_tree_is_the_same_from_executors(spark):
+    x, y = H.labelled()
+    u, v = H.labelled(spark)
+    assert x.shape == u.shape and sorted(map(tuple, np.column_stack([x, y]).tolist())) == sorted(map(tuple, np.column_stack([u, v]).tolist()))
+    assert H.grow(u, v, first=H.ROLE_CUTS) == TREE
+
+
 def test_pages_held_out():
     """Precision and recall in words, by kind and by style, on pages that the tree wasn't grown on."""
     right, kept, main = {}, {}, {}
