@@ -168,15 +168,17 @@ def structure_rules(cases: DataFrame) -> DataFrame:
 
 def answer_rules(answers: DataFrame, cases: DataFrame) -> DataFrame:
     """(id, code): what is wrong with a set of answers."""
-    a = answers.withColumn("n", F.count("*").over(W.partitionBy("id")))
-    joined = cases.select("id", F.lit(True).alias("asked")).join(a, "id", "full_outer")
+    # One row an id on either side, so that many of one id don't meet each other.
+    unknown = ~F.coalesce(F.col("tipo_respuesta").isin(*KINDS), F.lit(False))
+    a = answers.groupBy("id").agg(F.count("*").alias("n"), F.bool_or(unknown).alias("unknown"))
+    joined = cases.select("id", F.lit(True).alias("asked")).distinct().join(a, "id", "full_outer")
     rules = {
         "no_answer": F.col("asked") & F.col("n").isNull(),
         "not_asked": F.col("asked").isNull(),
         "answered_twice": F.col("n") > 1,
-        "unknown_kind": F.col("n").isNotNull() & ~F.coalesce(F.col("tipo_respuesta").isin(*KINDS), F.lit(False)),
+        "unknown_kind": F.col("unknown"),
     }
-    return joined.select("id", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in rules.items()]))).alias("code")).distinct()
+    return joined.select("id", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in rules.items()]))).alias("code"))
 
 
 def score(cases: DataFrame, answers: DataFrame, files: DataFrame) -> DataFrame:

@@ -49,3 +49,11 @@ def test_what_runs_share_is_kept_once(spark, tmp_path):
     after = N.submit(v, answers, spark.createDataFrame([], "run string, task string, campo string, motivo string"), docs, "t", elements, str(tmp_path / "1"))
     assert {(len(r.errores), tuple(r.dadas)) for r in after.entries.collect()} == {(0, ("A.7",))}
     assert {tuple(r.errores) for r in after.log.collect()} == {tuple(sorted(f"A.{i}:unanswered" for i in range(300) if i != 7))}
+
+
+def test_many_rows_of_one_id_do_not_meet(spark):
+    cases = spark.range(30_000).selectExpr("1L AS id").unionByName(spark.range(2, 3).toDF("id"))
+    answers = spark.range(30_000).selectExpr("1L AS id", "'cita' AS tipo_respuesta")
+    began = time.time()
+    assert sorted(tuple(r) for r in G.answer_rules(answers, cases).collect()) == [(1, "answered_twice"), (2, "no_answer")]
+    assert time.time() - began < 15
