@@ -120,6 +120,13 @@ def words(x: Column | str) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(_text(x), F.lit(WORD), F.lit(0)), F.lower))
 
 
+def folded_words(x: Column | str) -> Column:
+    """Distinct folded words of six letters or more, in order of appearance."""
+    # The accents of words become letters of the same place, so the same words are found; all are folded at once.
+    plain = F.regexp_extract_all(F.translate(_text(x), "ÁÉÍÓÚÜÑáéíóúüñ", "AEIOUUNaeiouun"), F.lit("[A-Za-z]{6,}"), F.lit(0))
+    return F.array_distinct(F.when(F.size(plain) > 0, F.split(F.lower(F.array_join(plain, " ")), " ")))
+
+
 def sha256(x: Column | str) -> Column:
     return F.sha2(_text(x).cast("binary"), 256)
 

@@ -110,7 +110,8 @@ def _postings_of_documents(spark, sf_dir):
 
 @query(f"WITH {_TOKENS} SELECT * FROM df")
 def token_df(spark, sf_dir):
-    return S.frequencies(_postings_of_documents(spark, sf_dir))
+    path = stored(spark, sf_dir, "documents", lambda to: S.document_frequency(table(spark, sf_dir, "documents"), "doc_id").write.parquet(to), "frequencies")
+    return spark.read.parquet(path)
 
 
 @query(f"WITH {_TOKENS} SELECT * FROM df WHERE df BETWEEN 1 AND 8")

@@ -66,3 +66,17 @@ def test_scans_with_few_and_many_terms(spark, monkeypatch, most):
     queries = spark.createDataFrame([(1, "uno"), (1, "dos"), (2, "dos"), (3, "nada")], "q int, token string")
     assert sorted(tuple(r) for r in S.search_scan(docs, queries, "doc").collect()) == [(1, 1), (2, 1), (2, 2)]
     assert sorted(tuple(r) for r in S.term_scan(docs, queries.withColumnRenamed("token", "term"), "doc").collect()) == [("dos", 1), ("dos", 2), ("uno", 1)]
+
+
+def test_indexes_are_made_without_a_shuffle(spark):
+    docs = spark.createDataFrame([(1, 0, "uno dos uno"), (2, 5, "dos"), (3, 6, None), (4, 7, "")], "doc int, part int, text string")
+    for found in (S.postings(docs, "doc"), C.postings(docs, ["doc", "part"], {"text": "text"})):
+        assert "Exchange" not in plan_of(found)
+        assert sorted((r.token, r.doc, r.tf) for r in found.collect()) == [("dos", 1, 1), ("dos", 2, 1), ("uno", 1, 2)]
+
+
+def test_frequencies_do_not_lay_out_documents(spark):
+    docs = spark.range(1000).selectExpr("id AS doc", "'uno dos uno' AS text").repartition(1)
+    found = S.document_frequency(docs, "doc")
+    assert sorted(tuple(r) for r in found.collect()) == [("dos", 1000, 1000), ("uno", 1000, 2000)]
+    assert S.block_frequencies(docs.selectExpr("split(text, ' ') AS own"), "own").count() == 2
