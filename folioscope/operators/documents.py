@@ -2,7 +2,8 @@
 
 Lines are rows, so that no document has to fit one value; `sources.corpus.write_artifact`
 writes them in their order.  Elements may have a column `orden` for their place
-in the source; without it they go by id.
+in the source; without it they go by id and name, and a column `fuente`, if there
+is one, tells the order of those that have both alike.
 """
 
 from __future__ import annotations
@@ -67,7 +68,7 @@ def thousands(n: Column | str) -> Column:
 
 
 def _order(elements: DataFrame) -> list[str]:
-    return ["orden", "id"] if "orden" in elements.columns else ["id", "nombre"]
+    return ["orden", "id"] if "orden" in elements.columns else ["id", "nombre", *[c for c in ("fuente",) if c in elements.columns]]
 
 
 def _names(names: dict, key: Column) -> Column:
@@ -82,7 +83,7 @@ def category_documents(elements: DataFrame, version: str, source_date: str) -> D
     origin = F.when(F.coalesce(F.col("origen"), F.lit("base")) != "base", F.concat(F.lit(" ["), F.upper("origen"), F.lit("]"))).otherwise("")
     text = F.concat(pad("id", 5), F.lit(" "), pad(F.coalesce("nombre", F.lit("")), 37), F.lit(" "), F.replace(F.coalesce("descripcion", F.lit("")), F.lit("\n"), F.lit(" ")), origin)
     listed = known.select("categoria", F.lit(1).alias("section"), at.alias("at"), text.alias("line"))
-    one = F.struct(*[c for c in elements.columns if c != "orden"])
+    one = F.struct(*[c for c in elements.columns if c not in ("orden", "fuente")])
     numbered = known.select("*", at.alias("at"), one.alias("whole"))
     facts = numbered.groupBy("categoria").agg(F.count("*").alias("n"), F.min_by("fase_lectura", "at").alias("fase"), F.array_join(F.array_sort(F.collect_set("origen")), ", ").alias("origins"), F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("at", "whole"))), lambda x: x["whole"])).alias("source"))
     print_ = F.left(json_fingerprint("source"), F.lit(16))

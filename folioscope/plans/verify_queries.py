@@ -237,7 +237,12 @@ _EL = f"el AS ({_elements_sql('duck')})"
 
 
 def _elements(spark, sf_dir):
-    return spark.sql(_elements_sql("spark").replace("FROM part", "FROM {part}"), part=table(spark, sf_dir, "part"))
+    return _placed_elements(spark, sf_dir).drop("fuente")
+
+
+def _placed_elements(spark, sf_dir):
+    """The elements with their place in the source, by which rows of one id and name stay in their order."""
+    return spark.sql(_elements_sql("spark").replace(" FROM part", ", p_partkey AS fuente FROM {part}"), part=table(spark, sf_dir, "part"))
 
 
 @query(f"""WITH {_EL} SELECT 'categoria' AS grouping, categoria AS value, count(*) AS n FROM el GROUP BY categoria UNION ALL SELECT 'fase', CAST(fase_lectura AS VARCHAR), count(*) FROM el GROUP BY fase_lectura
@@ -331,7 +336,7 @@ UNION ALL SELECT DISTINCT categoria, 0, 1, '# NP-CAT-' || categoria || '  v1.0
 UNION ALL SELECT categoria, 1, "at", CASE WHEN length(id) < 5 THEN rpad(id, 5, ' ') ELSE id END || ' ' || CASE WHEN length(coalesce(nombre, '')) < 37 THEN rpad(coalesce(nombre, ''), 37, ' ') ELSE nombre END || ' ' || descripcion || CASE WHEN origen <> 'base' THEN ' [' || upper(origen) || ']' ELSE '' END FROM ranked
 UNION ALL SELECT categoria, 2, "at", line FROM f""")
 def tax_category_document(spark, sf_dir):
-    return O.category_documents(_elements(spark, sf_dir), "1.0", "2024-01-01").where("NOT startswith(line, '| Hash fuente')")
+    return O.category_documents(_placed_elements(spark, sf_dir), "1.0", "2024-01-01").where("NOT startswith(line, '| Hash fuente')")
 
 
 # The pages whole, but for the fingerprint of their source, which has no SQL form.
@@ -346,7 +351,7 @@ UNION ALL SELECT DISTINCT categoria, 0, 1, '# NP-CAT-' || categoria || '  v1.0
 UNION ALL SELECT categoria, 2, "at", CASE WHEN length(id) < 5 THEN rpad(id, 5, ' ') ELSE id END || ' ' || CASE WHEN length(coalesce(nombre, '')) < 37 THEN rpad(coalesce(nombre, ''), 37, ' ') ELSE nombre END || ' ' || descripcion || CASE WHEN origen <> 'base' THEN ' [' || upper(origen) || ']' ELSE '' END FROM ranked
 UNION ALL SELECT categoria, 4, "at", line FROM f""")
 def tax_category_pages(spark, sf_dir):
-    return O.category_pages_whole(_elements(spark, sf_dir), "1.0", "2024-01-01", "part").where("NOT startswith(line, '| Hash fuente')")
+    return O.category_pages_whole(_placed_elements(spark, sf_dir), "1.0", "2024-01-01", "part").where("NOT startswith(line, '| Hash fuente')")
 
 
 _CLOSING = ", ".join(f"({i}, '{line}')" for i, line in enumerate([*O.SUMMARY, *[f"- [ ] {what} ... {points} pts" for what, points in O.QUALITY], f"**PUNTUACION TOTAL: _____ / {sum(p for _, p in O.QUALITY)}**"], 1))
@@ -360,7 +365,7 @@ UNION ALL SELECT fase, categoria, "at", 0, '- [ ] **' || id || '** — ' || coal
 UNION ALL SELECT -1, '', i, 0, line FROM (SELECT unnest([0, 1, 2, 3]) AS i, unnest(['# NP-FICHA  v1.0  2024-01-01', '**Total de campos:** ' || count(*), '**Categorias:** ' || count(DISTINCT categoria) || ' (' || string_agg(DISTINCT categoria, ', ' ORDER BY categoria) || ')', '**Fases:** ' || count(DISTINCT fase) || ' (' || array_to_string(list_sort(list_distinct(list(fase))), ', ') || ')']) AS line FROM k)
 UNION ALL SELECT 99, '', 0, 0, 'Elementos completados: _____ / ' || count(*) FROM k UNION ALL SELECT 99, '', i, 0, line FROM (VALUES {_CLOSING}) AS t(i, line)""")
 def tax_form_document(spark, sf_dir):
-    return O.form_document(_elements(spark, sf_dir), "1.0", "2024-01-01")
+    return O.form_document(_placed_elements(spark, sf_dir), "1.0", "2024-01-01")
 
 
 _FIXED_PARTS = ", ".join(f"('{part}', '{name}', '{json.dumps(body)}')" for part, name, body in [*[("meta", k, x) for k, x in O.META.items()], ("evidencia", "", O.EVIDENCE)])

@@ -80,3 +80,12 @@ def test_frequencies_do_not_lay_out_documents(spark):
     found = S.document_frequency(docs, "doc")
     assert sorted(tuple(r) for r in found.collect()) == [("dos", 1000, 1000), ("uno", 1000, 2000)]
     assert S.block_frequencies(docs.selectExpr("split(text, ' ') AS own"), "own").count() == 2
+
+
+def test_elements_of_one_id_and_name_keep_the_order_of_their_source(spark):
+    rows = [("A.1", "n", f"d{i}", i % 3 == 0, i) for i in (5, 2, 9, 0, 7, 4, 1, 8, 3, 6)]
+    elements = spark.createDataFrame(rows, "id string, nombre string, descripcion string, requiere_ref_articulo boolean, fuente int").selectExpr("*", "'A' AS categoria", "1 AS fase_lectura", "'base' AS origen").repartition(3)
+    pages = O.category_documents(elements, "1", "d").where("section = 1").orderBy("at")
+    assert [r.line.split()[-1] for r in pages.collect()] == [f"d{i}" for i in range(10)]
+    form = O.form_document(elements, "1", "d").where("fase = 1 AND part = 2").orderBy("at")
+    assert [r.line.endswith("(obligatorio)") for r in form.collect()] == [i % 3 == 0 for i in range(10)]
