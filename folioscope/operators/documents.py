@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.canonical import json_fingerprint
+from ..functions.canonical import json_canonical, list_fingerprints
 from ..functions.text import pad
 from .taxonomy import CATEGORY_NAMES
 
@@ -83,15 +83,18 @@ def category_documents(elements: DataFrame, version: str, source_date: str) -> D
     origin = F.when(F.coalesce(F.col("origen"), F.lit("base")) != "base", F.concat(F.lit(" ["), F.upper("origen"), F.lit("]"))).otherwise("")
     text = F.concat(pad("id", 5), F.lit(" "), pad(F.coalesce("nombre", F.lit("")), 37), F.lit(" "), F.replace(F.coalesce("descripcion", F.lit("")), F.lit("\n"), F.lit(" ")), origin)
     listed = known.select("categoria", F.lit(1).alias("section"), at.alias("at"), text.alias("line"))
-    one = F.struct(*[c for c in elements.columns if c not in ("orden", "fuente")])
-    numbered = known.select("*", at.alias("at"), one.alias("whole"))
-    facts = numbered.groupBy("categoria").agg(F.count("*").alias("n"), F.min_by("fase_lectura", "at").alias("fase"), F.array_join(F.array_sort(F.collect_set("origen")), ", ").alias("origins"), F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("at", "whole"))), lambda x: x["whole"])).alias("source"))
-    print_ = F.left(json_fingerprint("source"), F.lit(16))
-    rows = [("Categoria     ", key), ("Elementos     ", F.col("n").cast("string")), ("Fase principal", F.coalesce(F.col("fase").cast("string"), F.lit(""))), ("Origenes      ", F.col("origins")), ("Hash fuente   ", F.col("print"))]
-    told = facts.withColumn("print", print_).select("categoria", F.lit(2).alias("section"), F.posexplode(F.array(*[F.concat(F.lit(f"| {name} | "), value, F.lit(" |")) for name, value in rows])).alias("at", "line")).withColumn("at", F.col("at").cast("bigint"))
+    first = F.min_by("fase_lectura", F.struct(*_order(elements)))
+    facts = known.groupBy("categoria").agg(F.count("*").alias("n"), first.alias("fase"), F.array_join(F.array_sort(F.collect_set("origen")), ", ").alias("origins"))
+    rows = [("Categoria     ", key), ("Elementos     ", F.col("n").cast("string")), ("Fase principal", F.coalesce(F.col("fase").cast("string"), F.lit(""))), ("Origenes      ", F.col("origins"))]
+    fact = lambda name, value: F.concat(F.lit(f"| {name} | "), value, F.lit(" |"))
+    told = facts.select("categoria", F.lit(2).alias("section"), F.posexplode(F.array(*[fact(*row) for row in rows])).alias("at", "line")).withColumn("at", F.col("at").cast("bigint"))
+    # The source's elements are rows up to the digest: a category as one JSON value would have to fit a task's memory.
+    one = json_canonical(F.to_json(F.struct(*[c for c in elements.columns if c not in ("orden", "fuente")])))
+    prints = list_fingerprints(known.select("categoria", *_order(elements), one.alias("__one")), "categoria", _order(elements), "__one")
+    printed = prints.select("categoria", F.lit(2).alias("section"), F.lit(len(rows)).cast("bigint").alias("at"), fact("Hash fuente   ", F.left("print", F.lit(16))).alias("line"))
     title = [F.concat(F.lit("# CATEGORIA "), key, F.lit(" — "), _names(CATEGORY_NAMES, key)), F.concat(F.lit("# NP-CAT-"), key, F.lit(f"  {stamp(version, source_date)}"))]
     head = known.select("categoria").distinct().select("categoria", F.lit(0).alias("section"), F.posexplode(F.array(*title)).alias("at", "line")).withColumn("at", F.col("at").cast("bigint"))
-    return head.unionByName(listed).unionByName(told)
+    return head.unionByName(listed).unionByName(told).unionByName(printed)
 
 
 # What a category's page has around its title, elements and facts; {source} is what they were read from, {n} the number of elements.

@@ -1,9 +1,11 @@
 """What must not grow faster than the input: rows that meet, what is moved, and what is kept."""
 
+import json
 import time
 
 import pytest
 
+from folioscope.functions.canonical import fingerprint
 from folioscope.operators import chunks as C
 from folioscope.operators import documents as O
 from folioscope.operators import gold as G
@@ -89,3 +91,25 @@ def test_elements_of_one_id_and_name_keep_the_order_of_their_source(spark):
     assert [r.line.split()[-1] for r in pages.collect()] == [f"d{i}" for i in range(10)]
     form = O.form_document(elements, "1", "d").where("fase = 1 AND part = 2").orderBy("at")
     assert [r.line.endswith("(obligatorio)") for r in form.collect()] == [i % 3 == 0 for i in range(10)]
+
+
+def test_a_category_is_never_one_value(spark):
+    elements = spark.range(400).selectExpr(
+        "concat('A.', id % 7) AS id", "if(id % 5 = 0, null, 'ñ \"x\"') AS nombre", "concat('d\n', id) AS descripcion", "if(id % 3 = 0, 'B', 'A') AS categoria",
+        "cast(id % 10 AS int) AS fase_lectura", "if(id % 4 = 0, 'otro', 'base') AS origen", "array('u', 'v') AS glosario_terminos", "400 - id AS fuente",
+    )
+    expected = {}
+    for c in "AB":
+        rows = sorted((r.asDict() for r in elements.where(f"categoria = '{c}'").collect()), key=lambda r: (r["id"], r["nombre"] is not None, r["fuente"]))
+        source = [{k: v for k, v in r.items() if k != "fuente" and v is not None} for r in rows]
+        expected[c] = [f"| Fase principal | {rows[0]['fase_lectura']} |", f"| Hash fuente    | {fingerprint(json.dumps(source), 16)} |"]
+    per_batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(per_batch)
+    spark.conf.set(per_batch, "7")
+    try:
+        pages = O.category_documents(elements.repartition(5), "1", "d")
+        assert "collect_list" not in plan_of(pages)
+        told = pages.where("section = 2").orderBy("at").collect()
+    finally:
+        spark.conf.set(per_batch, before)
+    assert {c: [r.line for r in told if r.categoria == c and r.at in (2, 4)] for c in "AB"} == expected
