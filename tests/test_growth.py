@@ -117,7 +117,7 @@ def test_a_category_is_never_one_value(spark):
     assert {c: [r.line for r in told if r.categoria == c and r.at in (2, 4)] for c in "AB"} == expected
 
 
-@pytest.mark.parametrize("name", ["tax_category_document", "tax_category_pages"])
+@pytest.mark.parametrize("name", ["tax_category_document", "tax_category_pages", "tax_form_document"])
 def test_documents_differ_from_their_sql_in_ties_only(spark, sf, tmp_path, name):
     part = spark.read.parquet(f"{sf}/part.parquet")
     n = part.count()
